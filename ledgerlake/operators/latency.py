@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.operators.changes import LIVE_OPERATIONS
+from ledgerlake.operators.changes import LIVE_OPERATIONS, open_envelope
 from ledgerlake.operators.ranking import order_statistics, ordinals
 
 # Fields of an event envelope that carry its clocks.
@@ -17,18 +17,17 @@ _EVENT = (
 
 def live_events(log: DataFrame, table: str) -> DataFrame:
     """Live changes of one table: ``row_id, offset, event_op, emitted_ms, source_ms``."""
-    payload = F.col("event.payload")
-    row_id = F.coalesce(payload["after"]["id"], payload["before"]["id"]).try_cast("bigint")
+    row_id = F.coalesce(F.col("after.id"), F.col("before.id")).try_cast("bigint")
     return (
         log.filter((F.col("table") == table) & F.col("value").isNotNull())
-        .select("offset", F.from_json("value", _EVENT).alias("event"))
-        .filter(payload["op"].isin(*LIVE_OPERATIONS))
+        .select("offset", open_envelope(_EVENT))
+        .filter(F.col("op").isin(*LIVE_OPERATIONS))
         .select(
             row_id.alias("row_id"),
             "offset",
-            payload["op"].alias("event_op"),
-            payload["ts_ms"].alias("emitted_ms"),
-            payload["source"]["ts_ms"].alias("source_ms"),
+            F.col("op").alias("event_op"),
+            F.col("ts_ms").alias("emitted_ms"),
+            F.col("source.ts_ms").alias("source_ms"),
         )
         .filter(F.col("row_id").isNotNull())
     )

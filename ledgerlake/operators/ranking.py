@@ -12,13 +12,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Width of a coarse bucket. With values below 2**40 (a decimal(12,2) in cents) a group has
-# at most 2**20 buckets of at most 2**20 distinct values, which bounds every window.
-BUCKET_WIDTH = 1 << 20
+# A coarse bucket drops this many low bits. With values below 2**40 (a decimal(12,2) in
+# cents) a group has at most 2**20 buckets of at most 2**20 distinct values, which bounds
+# every window.
+BUCKET_BITS = 20
 
 
-def _bucket(value: Column, width: int) -> Column:
-    return F.floor(value / F.lit(width)).cast("bigint")
+def _bucket(value: Column, bits: int) -> Column:
+    return F.shiftright(value.cast("bigint"), bits)
 
 
 def same_keys(left: str, right: str, keys: Sequence[str]) -> Column:
@@ -35,14 +36,14 @@ def ordinals(
     order: str,
     tie_break: Sequence[str] = (),
     alias: str = "ordinal",
-    width: int = BUCKET_WIDTH,
+    bits: int = BUCKET_BITS,
 ) -> DataFrame:
     """Position of each row within its key, from 1, by an integer ``order`` column.
 
     Equals ``row_number() over (partition by keys order by order, tie_break)``; the key
     columns must not be NULL. The final window reuses the partitioning of the join.
     """
-    bucketed = rows.withColumn("_bucket", _bucket(F.col(order), width))
+    bucketed = rows.withColumn("_bucket", _bucket(F.col(order), bits))
     sizes = bucketed.groupBy(*keys, "_bucket").agg(F.count("*").alias("_n"))
     earlier = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     before = sizes.select(
@@ -59,7 +60,7 @@ def order_statistics(
     keys: Sequence[str],
     value: str,
     ranks: Mapping[str, Column],
-    width: int = BUCKET_WIDTH,
+    bits: int = BUCKET_BITS,
 ) -> DataFrame:
     """Exact order statistics of an integer ``value`` per key.
 
@@ -70,7 +71,7 @@ def order_statistics(
         rows.filter(F.col(value).isNotNull())
         .groupBy(*keys, F.col(value).alias("_v"))
         .agg(F.count("*").alias("_c"))
-        .withColumn("_bucket", _bucket(F.col("_v"), width))
+        .withColumn("_bucket", _bucket(F.col("_v"), bits))
     )
     per_key = Window.partitionBy(*keys)
     earlier = per_key.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)

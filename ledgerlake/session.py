@@ -18,6 +18,10 @@ SQL_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
+# Settings that only a new session can take: no call-site capture for every column
+# expression, which is most of the driver time of building a large plan.
+STATIC_DEFAULTS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 _LOCAL_SCRATCH: dict[str, str] = {}
 
 
@@ -26,7 +30,7 @@ def build_session(app: str, master: str | None = None, **conf: str) -> SparkSess
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    settings = {**SQL_DEFAULTS, **{k.replace("__", "."): v for k, v in conf.items()}}
+    settings = {**SQL_DEFAULTS, **STATIC_DEFAULTS, **{k.replace("__", "."): v for k, v in conf.items()}}
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

@@ -22,7 +22,8 @@ def read_operation_log(spark: SparkSession, path: str) -> DataFrame:
 def operations(documents: DataFrame, entries: Column) -> DataFrame:
     """One row per entry of a log document; ``seq`` is its place in the document."""
     entry = F.col("entry")
-    return documents.select(F.posexplode(entries).alias("pos", "entry")).select(
+    opened = documents.select(F.posexplode_outer(entries).alias("pos", "entry"))
+    return opened.filter(entry.isNotNull()).select(
         F.col("pos").cast("bigint").alias("seq"),
         entry["op"].alias("op"),
         entry["egresoId"].alias("row_id"),
