@@ -305,12 +305,16 @@ def outlier_recompute_problems(
 
 # ---------------------------------------------------------------------------- state gates
 def state_problems(
-    state: DataFrame, table: str, keys: Sequence[str], not_null: Sequence[str] = ()
+    state: DataFrame,
+    table: str,
+    keys: Sequence[str],
+    not_null: Sequence[str] = (),
+    last_op: str = LAST_OP,
 ) -> DataFrame:
     """Empty table, repeated keys, a delete as last operation, or null amounts."""
     per_key = state.groupBy(*keys).agg(
         F.count("*").alias("_n"),
-        F.count_if(F.col(LAST_OP) == DELETE).alias("_deletes"),
+        F.count_if(F.col(last_op) == DELETE).alias("_deletes"),
         *[F.count_if(F.col(c).isNull()).alias(f"_null_{c}") for c in not_null],
     )
     total = lambda name: F.coalesce(F.sum(name), F.lit(0))
@@ -326,7 +330,7 @@ def state_problems(
     findings = [
         finding(F.col("n") == 0, "rows", F.lit("table is empty")),
         finding(F.col("repeated") > 0, "key", _text(F.col("repeated"), " repeated rows")),
-        finding(F.col("deletes") > 0, LAST_OP, _text(F.col("deletes"), " rows end in a delete")),
+        finding(F.col("deletes") > 0, last_op, _text(F.col("deletes"), " rows end in a delete")),
         *[
             finding(F.col(f"null_{c}") > 0, c, _text(F.col(f"null_{c}"), " null values"))
             for c in not_null

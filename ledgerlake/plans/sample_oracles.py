@@ -363,9 +363,10 @@ ORACLES = {
         body='SELECT "table", ingest_date, topic, "partition", "offset", epoch_ms(log_ts) AS log_ts, "key", value '
         "FROM full_log",
     ),
-    "stream_landing": """SELECT 'orders_ledger' AS "table", CAST(o_orderdate AS DATE) AS ingest_date,
+    "stream_landing": """SELECT 'orders_ledger' AS "table", CAST(date_trunc('year', o_orderdate) AS DATE) AS ingest_date,
   'lake.ledger.orders_ledger' AS topic, CAST(o_orderkey % 3 AS INTEGER) AS "partition",
-  o_orderkey * 3 AS "offset", epoch_ms(o_orderdate) AS log_ts, CAST(o_orderkey AS VARCHAR) AS "key",
+  o_orderkey * 3 AS "offset", epoch_ms(date_trunc('year', o_orderdate)) AS log_ts,
+  CAST(o_orderkey AS VARCHAR) AS "key",
   '{"o_custkey":' || o_custkey || ',"o_orderstatus":"' || o_orderstatus || '","o_orderpriority":"'
     || o_orderpriority || '"}' AS value FROM orders""",
     "stream_change_summary": _with(*_FULL_LOG, body=_CHANGE_COUNTS),

@@ -69,10 +69,11 @@ def raw_landing(spark, folder):
 
 @query
 def stream_landing(spark, folder):
-    """A stream over the orders is landed, and the stream runs again: nothing is repeated."""
+    """A stream over the orders, which arrive on the first day of their year, is landed; the
+    stream then runs again and repeats nothing."""
     schema = t.table(spark, folder, "orders").schema
     stream = events.file_events(spark, folder, schema, glob="orders.parquet")
-    key, instant = F.col("o_orderkey"), F.col("o_orderdate").cast("timestamp")
+    key, instant = F.col("o_orderkey"), F.date_trunc("year", F.col("o_orderdate").cast("timestamp"))
     message = stream.select(
         F.lit(f"{t.TOPIC_PREFIX}orders_ledger").alias("topic"),
         (key % 3).cast("int").alias("partition"),

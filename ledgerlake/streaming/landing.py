@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,7 +33,12 @@ def landing_rows(messages: DataFrame, prefix: str, tables: Iterable[str] | None
     return rows if tables is None else rows.filter(F.col("table").isin(*tables))
 
 
-def start_landing(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+def start_landing(
+    rows: DataFrame,
+    path: str,
+    checkpoint: str,
+    partition_by: Sequence[str] = ("table", "ingest_date"),
+) -> StreamingQuery:
     """Append the rows to Parquet by table and date, drain what is available and stop.
 
     The file sink commits each batch once, so a restart neither loses nor repeats rows.
@@ -42,7 +47,7 @@ def start_landing(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery
         rows.writeStream.format("parquet")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
-        .partitionBy("table", "ingest_date")
+        .partitionBy(*partition_by)
         .trigger(availableNow=True)
         .start()
     )
