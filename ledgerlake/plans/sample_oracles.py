@@ -370,11 +370,7 @@ ORACLES = {
   '{"o_custkey":' || o_custkey || ',"o_orderstatus":"' || o_orderstatus || '","o_orderpriority":"'
     || o_orderpriority || '"}' AS value FROM orders""",
     "stream_change_summary": _with(*_FULL_LOG, body=_CHANGE_COUNTS),
-    "ingest_allowlist": _with(
-        *_ORDER_LOG, "state",
-        body="""SELECT 'orders_ledger' AS "table", (SELECT count(*) FROM order_log) AS n_rows,
-  'id,owner_id,amount' AS fields, count(*) AS n_state, CAST(sum(amount) AS DECIMAL(22,2)) AS total FROM state""",
-    ),
+    "ingest_allowlist": _with(*_ORDER_LOG, "state", body="SELECT id, owner_id, amount FROM state"),
     "oplog_accepted": _with("accepted", body="SELECT row_id, seq, op, sent_ms, answered_ms, http FROM accepted"),
     # -------------------------------------------------------------------------- change log
     "change_log_build": _with(

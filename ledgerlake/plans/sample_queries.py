@@ -110,13 +110,7 @@ def ingest_allowlist(spark, folder):
     messages = t.messages(t.full_log(spark, folder))
     landed = landing.landing_rows(messages, t.TOPIC_PREFIX, [t.ORDERS_LEDGER.name])
     spec = TableSpec(t.ORDERS_LEDGER.name, "id BIGINT, owner_id INT, amount DECIMAL(12,2)")
-    per_table = changes.raw_profile(landed).filter("scope = 'table'").select("table", "n_rows")
-    state = changes.current_state(landed, spec)
-    summary = state.agg(F.count("*").alias("n_state"), F.sum("amount").alias("total"))
-    stored = summary.select(
-        F.lit(spec.name).alias("table"), F.lit(",".join(spec.columns)).alias("fields"), "n_state", "total"
-    )
-    return per_table.join(stored, "table")
+    return changes.current_state(landed, spec).select(*spec.columns)
 
 
 @query
