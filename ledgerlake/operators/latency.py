@@ -40,7 +40,7 @@ def pair_operations(operations: DataFrame, events: DataFrame) -> DataFrame:
     its log document. The events of a row are numbered by offset, its operations by the time
     they were sent.
     """
-    wanted = events.join(operations.select("row_id").distinct(), "row_id", "left_semi")
+    wanted = events.join(operations.select("row_id"), "row_id", "left_semi")
     numbered_events = ordinals(wanted, ["row_id"], "offset")
     numbered = ordinals(
         operations.filter(F.col("row_id").isNotNull()), ["row_id"], "sent_ms", ["seq"]

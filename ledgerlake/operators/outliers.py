@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.functions import money
@@ -21,9 +21,10 @@ EXTREME_FACTOR = "3.0"
 MIN_GROUP = 8
 MILD, EXTREME = "mild", "extreme"
 
-# A group above this many rows takes the distributed quartile path. At most
-# (all rows / HOT_GROUP_ROWS) groups can be hot, which bounds what is broadcast for them.
-HOT_GROUP_ROWS = 5_000_000
+# A group above this many rows takes the distributed quartile path, so that no task holds
+# more than this many amounts. At most (all rows / HOT_GROUP_ROWS) groups can be hot: keys of
+# a million groups, some tens of MB, for 2 * 10**12 rows. That bounds what is broadcast.
+HOT_GROUP_ROWS = 2_000_000
 
 QUARTILE = "decimal(18,4)"
 FENCE = "decimal(24,6)"
@@ -61,13 +62,23 @@ def _split(rows: DataFrame, group: Sequence[str], hot: DataFrame) -> tuple[DataF
     return left.join(bounded, on, "left_anti"), left.join(bounded, on, "left_semi")
 
 
+def _quartiles(amount: str) -> Column:
+    """Both quartiles in cents, from one pass over the amounts of a group."""
+    return F.percentile(_cents(amount), F.array(F.lit(0.25), F.lit(0.75)))
+
+
 def _ordinary_quartiles(rows: DataFrame, group: Sequence[str], amount: str) -> DataFrame:
-    quarter = lambda p: F.percentile(_cents(amount), F.lit(p)) * 4
-    return rows.groupBy(*group).agg(
-        F.count("*").alias("n_group"), quarter(0.25).alias("_q1"), quarter(0.75).alias("_q3")
+    return (
+        rows.groupBy(*group)
+        .agg(F.count("*").alias("n_group"), _quartiles(amount).alias("_q"))
+        .select(*group, "n_group", *_in_quarters())
     )
 
 
+def _in_quarters() -> list[Column]:
+    return [(F.col("_q")[i] * 4).alias(name) for i, name in enumerate(("_q1", "_q3"))]
+
+
 def _hot_quartiles(rows: DataFrame, group: Sequence[str], amount: str) -> DataFrame:
     """Same result as :func:`_ordinary_quartiles`, for groups spread over many tasks."""
     span = F.col("_n") - 1
@@ -135,15 +146,20 @@ def iqr_outliers(
 ) -> DataFrame:
     """Rows strictly above the mild fence of their group, with severity and excess.
 
-    Ordinary groups join their fences on the group; the few hot groups get their fences by
-    broadcast, so no join partition holds a whole hot group. The output has only the listed
-    columns: free text stays behind.
+    Ordinary groups are shuffled once and judged in a window over the group, without a join.
+    The few hot groups get their fences by broadcast, so no task holds a whole hot group. A
+    row without a group key is not judged. The output has only the listed columns: free text
+    stays behind.
     """
-    needed = rows.select(*dict.fromkeys([*group, amount, *keep]))
+    needed = rows.select(*dict.fromkeys([*group, amount, *keep])).dropna(subset=list(group))
     ordinary, hot = _split(needed, group, _hot_groups(needed, group, fences.hot_rows))
-    ordinary_stats = judged(_with_fences(_ordinary_quartiles(ordinary, group, amount), fences), fences)
+    whole = Window.partitionBy(*group)
+    quartiles = ordinary.withColumn("n_group", F.count("*").over(whole)).withColumn(
+        "_q", _quartiles(amount).over(whole)
+    )
+    in_place = _with_fences(quartiles.select(*needed.columns, "n_group", *_in_quarters()), fences)
     hot_stats = judged(_with_fences(_hot_quartiles(hot, group, amount), fences), fences)
-    found = _above(ordinary.join(ordinary_stats, list(group)), amount).unionByName(
+    found = _above(judged(in_place, fences), amount).unionByName(
         _above(hot.join(F.broadcast(hot_stats), list(group)), amount)
     )
     severity = F.when(F.col(amount) > F.col("extreme_fence"), F.lit(fences.extreme_name)).otherwise(

@@ -61,6 +61,21 @@ def test_no_python_and_no_cross_join(spark, name):
     assert not re.search(r"ArrowEvalPython|BatchEvalPython|MapInPandas|CartesianProduct|BroadcastNestedLoopJoin", text)
 
 
+def test_raw_profile_reads_payloads_only_to_find_empty_ones(stored_log):
+    text = plan(changes.raw_profile(stored_log))
+    assert text.count("ReadSchema: struct<value:string>") == text.count("PushedFilters: [IsNull(value)]") == 1
+    assert text.count("ReadSchema: struct<>") == 1
+
+
+def test_outliers_judge_ordinary_groups_without_a_join(spark):
+    """The join with group fences only exists in the branch of the hot groups."""
+    found = t.found_outliers(spark, SMOKE)
+    found.collect()
+    final = plan(found).split("Initial Plan")[0]
+    assert final.count("FileScan") == 2  # amounts and catalogue; no group turned out to be hot
+    assert "SortMergeJoin" not in final
+
+
 # ---------------------------------------------------------------------------------- volume
 ROWS = 3000
 
