@@ -236,10 +236,9 @@ def offset_backlog(spark, folder):
 
 
 def _pairs(spark, folder):
-    document = F.from_json("document", oplog.OPERATION_LOG)
-    documents = t.operation_documents(spark, folder).select(document.alias("d"))
-    accepted = oplog.accepted(oplog.operations(documents, F.col("d.operaciones")))
-    captured = latency.live_events(t.full_log(spark, folder), t.ORDERS_LEDGER.name)
+    logs = t.operation_logs(spark, folder)
+    accepted = oplog.accepted(oplog.operations(logs, F.col("operaciones")))
+    captured = latency.live_events(t.order_log(spark, folder), t.ORDERS_LEDGER.name)
     return latency.pair_operations(accepted, captured)
 
 
