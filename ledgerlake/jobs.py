@@ -1,7 +1,9 @@
 """Command line of the finance lake, one job per layer.
 
-    spark-submit -m ledgerlake.jobs land --lake <folder> --servers <brokers> --prefix <topics>
-    spark-submit -m ledgerlake.jobs daily --lake <folder> --messages <folder> --prefix <topics>
+    python -m ledgerlake.jobs land --lake <folder> --servers <brokers> --prefix <topics.>
+    python -m ledgerlake.jobs daily --lake <folder> --messages <folder> --prefix <topics.>
+
+or ``spark-submit ledgerlake/jobs.py …`` with the package on the Python path.
 
 Exit codes: 0 done, 1 a gate or a verification failed, 99 nothing to do (not configured, or
 no new messages), so that a scheduler can mark the step as skipped.

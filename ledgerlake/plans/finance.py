@@ -374,40 +374,41 @@ def has_new_data(spark: SparkSession, lake: Lake, available: DataFrame) -> bool:
     return not offset_backlog(available, consumed_offsets(log)).isEmpty()
 
 
+MONTHLY = {name: spec for name, spec in CURATED.items() if "mes" in spec.columns}
+HIGH_AMOUNTS = {"anomalias": CURATED["anomalias"]}
+
+
 def batch_steps(spark: SparkSession, lake: Lake) -> list[Step]:
     """State, curated tables, outliers and publication, each with its gate."""
-    state = lambda: read_layer(spark, lake.state, SOURCE)
-    tables = lambda: read_layer(spark, lake.curated, CURATED)
-    main = lambda all_tables: {k: v for k, v in all_tables.items() if k != "anomalias"}
+
+    def state() -> Tables:
+        return read_layer(spark, lake.state, SOURCE)
+
+    def stored(specs: Mapping[str, TableSpec]) -> Tables:
+        return read_layer(spark, lake.curated, specs)
+
+    def build_state() -> dict[str, int]:
+        return rebuild_state(read_raw_log(spark, lake.raw, RAW_NAMES), lake.state)
+
+    def build(specs: Mapping[str, TableSpec]) -> dict[str, int]:
+        tables = curated(state())
+        return write_curated({name: tables[name] for name in specs}, lake.curated)
+
+    def monthly_problems() -> DataFrame:
+        tables = stored(MONTHLY)
+        return contract_problems(spark, tables).unionByName(coherence_problems(tables, state()))
+
+    def high_amount_problems() -> DataFrame:
+        tables = stored(HIGH_AMOUNTS)
+        return contract_problems(spark, tables).unionByName(outlier_problems(tables["anomalias"], state()))
+
     return [
-        Step(
-            "state",
-            lambda: rebuild_state(read_raw_log(spark, lake.raw, RAW_NAMES), lake.state),
-            lambda: state_problems(state()),
-        ),
-        Step(
-            "curated",
-            lambda: write_curated(main(curated(state())), lake.curated),
-            lambda: quality.all_problems(
-                [
-                    contract_problems(spark, {n: spark.read.parquet(f"{lake.curated}/{n}") for n in main(CURATED)}),
-                    coherence_problems({n: spark.read.parquet(f"{lake.curated}/{n}") for n in main(CURATED)}, state()),
-                ]
-            ),
-        ),
-        Step(
-            "outliers",
-            lambda: write_layer(high_amounts(state()), f"{lake.curated}/anomalias"),
-            lambda: quality.all_problems(
-                [
-                    contract_problems(spark, {"anomalias": tables()["anomalias"]}),
-                    outlier_problems(tables()["anomalias"], state()),
-                ]
-            ),
-        ),
+        Step("state", build_state, lambda: state_problems(state())),
+        Step("curated", lambda: build(MONTHLY), monthly_problems),
+        Step("outliers", lambda: build(HIGH_AMOUNTS), high_amount_problems),
         Step(
             "publish",
-            lambda: publish.publish(tables(), lake.published),
+            lambda: publish.publish(stored(CURATED), lake.published),
             lambda: publish.verify_published(spark, lake.published),
         ),
     ]

@@ -539,8 +539,8 @@ GROUP BY owner_id""",
         + ", ".join(
             f"CASE WHEN {v} < 0 THEN '-$' ELSE '$' END || format('{{:,}}', CAST(trunc(abs({v})) AS BIGINT)) || '.' || "
             f"lpad(CAST(CAST(abs({v}) * 100 AS BIGINT) % 100 AS VARCHAR), 2, '0') AS {n}"
-            for v, n in (("i", "inflows"), ("o", "outflows"), ("i - o", "net"))
-        ).replace("abs(i - o)", "abs(i - o)").replace("i - o < 0", "(i - o) < 0")
+            for v, n in (("i", "inflows"), ("o", "outflows"), ("(i - o)", "net"))
+        )
         + " FROM (SELECT owner_id, sum(total_in) AS i, sum(total_out) AS o FROM balance GROUP BY owner_id)",
     ),
     "portfolio_running": _with(

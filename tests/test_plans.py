@@ -37,6 +37,17 @@ def test_state_prunes_partitions_and_keys_and_parses_once(stored_log):
     assert "topic" not in text  # unused columns are not read
 
 
+def test_renamed_raw_columns_still_prune_partitions(spark, folder):
+    from ledgerlake.plans import finance
+    from ledgerlake.sources.tables import read_raw_log
+
+    raw = volume.catalogue_log(spark, "destinos", 3).withColumnsRenamed(finance.RAW_NAMES)
+    write_layer(raw, f"{folder}/raw", partition_by=["tabla", "fecha"])
+    log = read_raw_log(spark, f"{folder}/raw", finance.RAW_NAMES)
+    text = plan(finance.state_of(log, "destinos"))
+    assert re.search(r"PartitionFilters: \[[^\]]*tabla#\d+ = destinos", text)
+
+
 @pytest.mark.parametrize("operator", [changes.change_counts, changes.describe_changes])
 def test_log_operators_parse_once(stored_log, operator):
     assert plan(operator(stored_log)).count("from_json") == 1
