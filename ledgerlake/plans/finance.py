@@ -374,8 +374,8 @@ def has_new_data(spark: SparkSession, lake: Lake, available: DataFrame) -> bool:
     return not offset_backlog(available, consumed_offsets(log)).isEmpty()
 
 
-MONTHLY = {name: spec for name, spec in CURATED.items() if "mes" in spec.columns}
 HIGH_AMOUNTS = {"anomalias": CURATED["anomalias"]}
+MONTHLY = {name: spec for name, spec in CURATED.items() if name not in HIGH_AMOUNTS}
 
 
 def batch_steps(spark: SparkSession, lake: Lake) -> list[Step]:
