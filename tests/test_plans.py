@@ -7,7 +7,6 @@ import re
 
 import pytest
 
-import __spark_entry__ as entries
 from ledgerlake.operators import changes, quality
 from ledgerlake.plans import sample_tables as t
 from ledgerlake.plans import volume
@@ -66,12 +65,6 @@ def test_breakdown_comparison_has_no_join(spark):
     assert "Join" not in plan(found)
 
 
-@pytest.mark.parametrize("name", [n for n in entries.queries() if not n.startswith(("stream", "publish"))])
-def test_no_python_and_no_cross_join(spark, name):
-    text = plan(entries.queries()[name](spark, SMOKE))
-    assert not re.search(r"ArrowEvalPython|BatchEvalPython|MapInPandas|CartesianProduct|BroadcastNestedLoopJoin", text)
-
-
 def test_raw_profile_reads_payloads_only_to_find_empty_ones(stored_log):
     text = plan(changes.raw_profile(stored_log))
     assert text.count("ReadSchema: struct<value:string>") == text.count("PushedFilters: [IsNull(value)]") == 1
