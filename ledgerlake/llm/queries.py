@@ -5,23 +5,52 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerlake.llm import quality_rules, secret_scan
+from ledgerlake.llm import ngram_join, quality_rules, secret_scan, token_shards, warc
 from ledgerlake.sources.tables import read_table
 
 
+def _documents(spark: SparkSession, folder: str) -> DataFrame:
+    return read_table(spark, folder, "documents.parquet")
+
+
 def quality(spark: SparkSession, folder: str) -> DataFrame:
     """Figures and verdict of every document."""
-    return quality_rules.assess(read_table(spark, folder, "documents.parquet"))
+    return quality_rules.assess(_documents(spark, folder))
+
+
+def archives(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page written to web archives and read back."""
+    planned = warc.plan_records(read_table(spark, folder, "pages.parquet"), least_revisit=1000)
+    written = warc.write_archives(planned, warc.shared_uri(spark, "archives"))
+    records = warc.read_archives(written, payloads=False)
+    return records.select(
+        F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
 
 
 def secrets(spark: SparkSession, folder: str) -> DataFrame:
     """Counts, digest and spans of the secrets of every document."""
-    found = secret_scan.scan(read_table(spark, folder, "documents.parquet"))
+    found = secret_scan.scan(_documents(spark, folder))
     return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_entropy")
 
 
+def ngram_components(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of documents that share nine tenths of their three-word shingles."""
+    return ngram_join.near_copies(_documents(spark, folder), ngram_join.Join(size=3, percent=90))
+
+
+def shards(spark: SparkSession, folder: str) -> DataFrame:
+    """Every sequence of the training order with its slot, place, checksum and documents."""
+    index = token_shards.with_slots(token_shards.write_shards(_documents(spark, folder)))
+    return index.select("slot", "shard", "position", "n_tokens", "crc32", "doc_ids")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": quality,
+    "op5_warc": archives,
     "op7_secret_scan": secrets,
+    "op9_ngram_join": ngram_components,
+    "op10_token_shards": shards,
 }
