@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import ngram_join, quality_rules, secret_scan, token_shards, warc
+from ledgerlake.llm import mixing, ngram_join, quality_rules, secret_scan, string_tiling, token_shards, warc
 from ledgerlake.sources.tables import read_table
 
 
@@ -20,6 +20,11 @@ def quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.assess(_documents(spark, folder))
 
 
+def decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document, whether test items contaminate it, and which."""
+    return string_tiling.judge(_documents(spark, folder), read_table(spark, folder, "benchmark.parquet"))
+
+
 def archives(spark: SparkSession, folder: str) -> DataFrame:
     """Every page written to web archives and read back."""
     planned = warc.plan_records(read_table(spark, folder, "pages.parquet"), least_revisit=1000)
@@ -36,6 +41,13 @@ def secrets(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_entropy")
 
 
+def mixture(spark: SparkSession, folder: str) -> DataFrame:
+    """Rate of every document in the mixture of the target weights, and what it rests on."""
+    fitted, scored = mixing.fit_mixture(_documents(spark, folder), read_table(spark, folder, "labels.parquet"))
+    posterior = [F.get("posterior", F.lit(k)).alias(f"p_{name}") for k, name in enumerate(mixing.DOMAINS)]
+    return mixing.with_rates(scored, fitted).select("doc_id", "n_tokens", *posterior, "rate")
+
+
 def ngram_components(spark: SparkSession, folder: str) -> DataFrame:
     """Components of documents that share nine tenths of their three-word shingles."""
     return ngram_join.near_copies(_documents(spark, folder), ngram_join.Join(size=3, percent=90))
@@ -49,8 +61,10 @@ def shards(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": quality,
+    "op3_decontamination": decontamination,
     "op5_warc": archives,
     "op7_secret_scan": secrets,
+    "op8_mixing": mixture,
     "op9_ngram_join": ngram_components,
     "op10_token_shards": shards,
 }
