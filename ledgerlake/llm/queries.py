@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import mixing, ngram_join, quality_rules, secret_scan, string_tiling, token_shards, warc
+from ledgerlake.llm import (
+    license_scan,
+    mixing,
+    ngram_join,
+    quality_rules,
+    secret_scan,
+    string_tiling,
+    token_shards,
+    url_rules,
+    warc,
+)
 from ledgerlake.sources.tables import read_table
 
 
@@ -25,6 +35,22 @@ def decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return string_tiling.judge(_documents(spark, folder), read_table(spark, folder, "benchmark.parquet"))
 
 
+def urls(spark: SparkSession, folder: str) -> DataFrame:
+    """Verdict on every page by given rules and by rules mined from labels.
+
+    The number in a page's path names the document that the page shows, whose labels are the page's:
+    a toxic or poor document is one to block.
+    """
+    pages = read_table(spark, folder, "pages.parquet").select("page_id", "url")
+    bad = F.max(((F.col("quality") == 0) | (F.col("toxic") == 1)).cast("int"))
+    labels = read_table(spark, folder, "labels.parquet").groupBy("doc_id").agg(bad.alias("bad"))
+    _, path = url_rules.host_and_path(F.col("url"))
+    number = F.try_to_number(F.regexp_extract(path, "/([0-9]{1,18})", 1), F.lit("9" * 18)).cast("long")
+    labelled = pages.select("url", number.alias("doc_id")).join(labels, "doc_id")
+    verdict = F.when(F.col("bad") == 1, url_rules.BLOCK).when(F.col("bad") == 0, url_rules.ALLOW)
+    return url_rules.judge(pages, labelled.select("url", verdict.alias("label")))
+
+
 def archives(spark: SparkSession, folder: str) -> DataFrame:
     """Every page written to web archives and read back."""
     planned = warc.plan_records(read_table(spark, folder, "pages.parquet"), least_revisit=1000)
@@ -35,6 +61,11 @@ def archives(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def licences(spark: SparkSession, folder: str) -> DataFrame:
+    """Words, base phrases, licence labels and score of every document."""
+    return license_scan.scan(_documents(spark, folder))
+
+
 def secrets(spark: SparkSession, folder: str) -> DataFrame:
     """Counts, digest and spans of the secrets of every document."""
     found = secret_scan.scan(_documents(spark, folder))
@@ -62,7 +93,9 @@ def shards(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": quality,
     "op3_decontamination": decontamination,
+    "op4_url_filter": urls,
     "op5_warc": archives,
+    "op6_license_scan": licences,
     "op7_secret_scan": secrets,
     "op8_mixing": mixture,
     "op9_ngram_join": ngram_components,
