@@ -1,14 +1,14 @@
-"""Connected components of links by least labels, in rounds written to the shared folder."""
+"""Connected components of links by least labels, in rounds written to a workspace."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import materialise
+from ledgerlake.llm.common import Workspace
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, space: Workspace) -> DataFrame:
     """``node, label`` for every end of ``links`` (a, b): the least node that it reaches.
 
     A round takes the least label among a node and its neighbours, then the label of that
@@ -16,8 +16,8 @@ def components(links: DataFrame) -> DataFrame:
     """
     both = links.select(F.col("a").alias("node"), F.col("b").alias("other"))
     both = both.union(links.select(F.col("b").alias("node"), F.col("a").alias("other"))).distinct()
-    both = materialise(both, "links")
-    labels = materialise(
+    both = space.keep(both, "links")
+    labels = space.keep(
         both.groupBy("node").agg(F.min("other").alias("other")).select("node", F.least("node", "other").alias("label")),
         "labels",
     )
@@ -30,11 +30,11 @@ def components(links: DataFrame) -> DataFrame:
         hooked = labels.join(near, "node").select(
             "node", F.col("label").alias("before"), F.least("label", "seen").alias("label")
         )
-        hooked = materialise(hooked, "hooked")
+        hooked = space.keep(hooked, "hooked")
         jumped = hooked.join(
             hooked.select(F.col("node").alias("label"), F.col("label").alias("further")), "label"
         ).select("node", "before", F.least("label", "further").alias("label"))
-        labels = materialise(jumped, "labels")
+        labels = space.keep(jumped, "labels")
         if labels.where("label != before").isEmpty():
             return labels.select("node", "label")
         labels = labels.select("node", "label")

@@ -48,7 +48,8 @@ _SPACES = b" \t\n\x0b\x0c\r"
 @dataclass(frozen=True)
 class Fit:
     """Of the classifier: passes, penalty and the percentage of texts a feature must occur in.
-    Of the rates: most gradient steps, and the share of the budget missed at which they end.
+    Of the rates: most gradient steps, the share of the budget missed at which they end, and
+    how often a domain may be repeated: its target is at most so many times what it has.
     """
 
     passes: int = 120
@@ -56,6 +57,7 @@ class Fit:
     least_pct: int = 2
     steps: int = 60
     tolerance: float = 1e-4
+    repeats: float = 1.0
 
 
 @dataclass(frozen=True)
@@ -209,10 +211,9 @@ def solve(scored: DataFrame, weights: dict[str, float], budget: float | None, fi
     if not len(both) or not both.any():
         return 0.0, np.zeros((0, width)), np.zeros(width), np.zeros(width)
     square, present = both[: width * width].reshape(width, width), both[width * width :]
-    if budget is None:  # the most tokens for which no domain has to be repeated
-        asked = wanted > 0
-        budget = float((present[asked] / wanted[asked]).min())
-    targets = wanted * budget
+    if budget is None:  # all of the domain that weighs most
+        budget = float(present[wanted.argmax()] / wanted.max())
+    targets = np.minimum(wanted * budget, fit.repeats * present)
     usable = np.diag(square) > 1e-9 * square.max()
     scale = np.where(usable, np.diag(square), 1.0)
     root = np.sqrt(scale)
@@ -271,7 +272,10 @@ def resample(documents: DataFrame, mixture: Mixture, key: str = "doc_id", text:
     bounded_batches(documents.sparkSession)
     names = documents.columns
     draw = F.pmod(F.xxhash64(documents[key], documents[text], F.lit(seed)), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    drawn = documents.select(*[documents[c] for c in names], draw)
+    spot = "draw"
+    while spot in names:
+        spot += "_"
+    drawn = documents.select(*[documents[c] for c in names], draw.alias(spot))
     at = names.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

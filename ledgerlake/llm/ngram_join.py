@@ -10,7 +10,8 @@ The join then works on classes of equal sets, of which copies are members:
    candidates are cut at the same pivots, overlaps are counted per pair and fragment, and
    summed per pair. The sum is the exact size of the intersection.
 3. Rounds. First, each n-gram's first class is compared with the others of its list, which
-   joins large groups of near copies in as many comparisons as they have classes. Afterwards
+   joins large groups of near copies in as many comparisons as they have classes. Next, each
+   list draws a class that is compared with those of other components. Afterwards
    only pairs of classes that are not yet connected and were not compared are left. So every
    candidate pair is either compared or known to be connected, and no link is lost.
 
@@ -34,7 +35,17 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import WordHashes, bounded_batches, materialise, mix, window_hashes
+from ledgerlake.llm.common import (
+    WordHashes,
+    Workspace,
+    bounded_batches,
+    hash_filter,
+    materialise,
+    mix,
+    where_in_filter,
+    window_hashes,
+    without_rows,
+)
 from ledgerlake.llm.components import components
 
 SKETCH_ROWS = 2
@@ -44,11 +55,12 @@ LEVEL_BITS = 16
 
 @dataclass(frozen=True)
 class Join:
-    """Words per n-gram, least Jaccard in percent and number of fragments."""
+    """Words per n-gram, least Jaccard in percent, number of fragments, rounds of drawn heads."""
 
     size: int = 5
     percent: int = 80
     fragments: int = 8
+    draws: int = 2
 
 
 def ngram_set(text: str | None, size: int, hashes: WordHashes) -> np.ndarray:
@@ -70,7 +82,8 @@ def _places(grams: np.ndarray, row: int) -> np.ndarray:
 class Order:
     """The global order: how often an n-gram occurs at most, then its hash.
 
-    ``level`` holds, per sketch cell, the logarithm of its count on 16 bits.
+    ``level`` holds, per sketch cell, the logarithm of its count on 15 bits, so keys are
+    nonnegative as longs.
     """
 
     level: np.ndarray
@@ -108,7 +121,7 @@ def global_order(texts: DataFrame, join: Join) -> Order:
     table = summed.toArrow()  # at most SKETCH_ROWS * SKETCH_WIDTH rows
     cells = np.zeros(SKETCH_ROWS * SKETCH_WIDTH, dtype=np.int64)
     cells[table["cell"].to_numpy()] = table["n"].to_numpy()
-    level = np.rint(1024 * np.log2(np.maximum(cells, 1))).astype(np.uint16).reshape(SKETCH_ROWS, SKETCH_WIDTH)
+    level = np.rint(512 * np.log2(np.maximum(cells, 1))).astype(np.uint16).reshape(SKETCH_ROWS, SKETCH_WIDTH)
     # Weight per level as the first sketch row has it; within a level hashes are spread evenly.
     weights = np.bincount(level[0], weights=cells[:SKETCH_WIDTH], minlength=1 << LEVEL_BITS)
     upto = np.concatenate([[0.0], np.cumsum(weights)])
@@ -210,15 +223,37 @@ def _first_round(postings: DataFrame, percent: int) -> DataFrame:
     return pairs.select(F.col("head.class").alias("a"), F.col("class").alias("b"), F.col("head.n").alias("n_a"), F.col("n").alias("n_b")).distinct()
 
 
-def _second_round(postings: DataFrame, labels: DataFrame, compared: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs across components that were not compared."""
-    labelled = postings.join(labels.withColumnRenamed("node", "class"), "class", "left")
+def _mixed_lists(space: Workspace, postings: DataFrame, labels: DataFrame) -> DataFrame:
+    """Postings with the label of their class, of lists that hold more than one component."""
+    labelled = postings.drop("label").join(labels.withColumnRenamed("node", "class"), "class", "left")
     labelled = labelled.withColumn("label", F.coalesce("label", "class"))
-    mixed = labelled.groupBy("code").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("m"))
-    mixed = mixed.where("low != high and m > 2").select("code")
-    labelled = materialise(labelled.join(mixed, "code", "left_semi"), "mixed-lists")
-    left = labelled.select("code", *[F.col(c).alias(c + "_a") for c in ("class", "n", "place", "label")])
-    right = labelled.select("code", *[F.col(c).alias(c + "_b") for c in ("class", "n", "place", "label")])
+    mixed = labelled.groupBy("code").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    return space.keep(labelled.join(mixed.where("low != high").select("code"), "code", "left_semi"), "mixed-lists")
+
+
+def _drawn_heads(lists: DataFrame, percent: int, number: int) -> DataFrame:
+    """A class drawn from every list with each class of another component in it.
+
+    Lists draw for themselves, so a class meets many others of a large component at once and
+    is likely to be linked with one of them.
+    """
+    draw = F.xxhash64("class", "code", F.lit(number))
+    heads = lists.groupBy("code").agg(F.min(F.struct(draw.alias("draw"), "class", "n", "place", "label")).alias("head"))
+    pairs = lists.join(heads, "code").where(F.col("label") != F.col("head.label"))
+    pairs = pairs.where(_may_reach(percent, F.col("n"), F.col("place"), F.col("head.n"), F.col("head.place")))
+    first = F.col("class") < F.col("head.class")
+    return pairs.select(
+        F.when(first, F.col("class")).otherwise(F.col("head.class")).alias("a"),
+        F.when(first, F.col("head.class")).otherwise(F.col("class")).alias("b"),
+        F.when(first, F.col("n")).otherwise(F.col("head.n")).alias("n_a"),
+        F.when(first, F.col("head.n")).otherwise(F.col("n")).alias("n_b"),
+    ).distinct()
+
+
+def _rest(lists: DataFrame, percent: int) -> DataFrame:
+    """All pairs of a list across components."""
+    left = lists.select("code", *[F.col(c).alias(c + "_a") for c in ("class", "n", "place", "label")])
+    right = lists.select("code", *[F.col(c).alias(c + "_b") for c in ("class", "n", "place", "label")])
     pairs = left.join(
         right,
         (left["code"] == right["code"])
@@ -226,19 +261,35 @@ def _second_round(postings: DataFrame, labels: DataFrame, compared: DataFrame, p
         & (F.col("label_a") != F.col("label_b"))
         & _may_reach(percent, F.col("n_a"), F.col("place_a"), F.col("n_b"), F.col("place_b")),
     )
-    pairs = pairs.select(F.col("class_a").alias("a"), F.col("class_b").alias("b"), "n_a", "n_b").distinct()
-    return pairs.join(compared.select("a", "b"), ["a", "b"], "left_anti")
+    return pairs.select(F.col("class_a").alias("a"), F.col("class_b").alias("b"), "n_a", "n_b").distinct()
 
 
-def _links(pairs: DataFrame, classes: DataFrame, texts: DataFrame, order: Order, join: Join) -> DataFrame:
+def _plausible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Pairs whose prefixes share enough.
+
+    Up to the end of the prefix that ends first, both prefixes hold all n-grams of their set. So
+    the sets share what the prefixes share and at most what lies beyond that end.
+    """
+    ours = classes.select(F.col("class").alias("a"), F.col("prefix").alias("prefix_a"))
+    theirs = classes.select(F.col("class").alias("b"), F.col("prefix").alias("prefix_b"))
+    both = pairs.join(ours, "a").join(theirs, "b")
+    beyond = F.when(
+        F.element_at("prefix_a", -1) <= F.element_at("prefix_b", -1), F.col("n_a") - F.size("prefix_a")
+    ).otherwise(F.col("n_b") - F.size("prefix_b"))
+    most = F.size(F.array_intersect("prefix_a", "prefix_b")) + beyond
+    return both.where((100 + percent) * most >= percent * (F.col("n_a") + F.col("n_b"))).select("a", "b", "n_a", "n_b")
+
+
+def _links(space: Workspace, pairs: DataFrame, classes: DataFrame, texts: DataFrame, order: Order, join: Join) -> DataFrame:
     """Pairs that reach the threshold: overlaps per fragment, summed per pair."""
+    pairs = space.keep(_plausible(pairs, classes, join.percent), "plausible-pairs")
     wanted = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct()
-    wanted = wanted.join(classes.select("class", "least", "text_hash"), "class")
-    found = texts.join(
+    wanted = space.keep(wanted.join(classes.select("class", "least", "text_hash"), "class"), "wanted-sets")
+    found = where_in_filter(texts, "text_hash", hash_filter(wanted, "text_hash")).join(
         wanted.select("class", F.col("least").alias("key_"), F.col("text_hash").alias("hash_")),
         (F.col("text_hash") == F.col("hash_")) & F.col("key").eqNullSafe(F.col("key_")),
     )
-    cut = materialise(segments(found, order, join), "segments")
+    cut = space.keep(segments(found, order, join), "segments")
     ours = cut.select(F.col("class").alias("a"), "fragment", F.col("grams").alias("grams_a"))
     theirs = cut.select(F.col("class").alias("b"), "fragment", F.col("grams").alias("grams_b"))
     partial = (
@@ -249,16 +300,20 @@ def _links(pairs: DataFrame, classes: DataFrame, texts: DataFrame, order: Order,
     # Rows repeated in the table give a fragment more than once, always with the same count.
     once = partial.groupBy("a", "b", "n_a", "n_b", "fragment").agg(F.max("shared").alias("shared"))
     total = once.groupBy("a", "b", "n_a", "n_b").agg(F.sum("shared").alias("shared"))
-    return total.where((100 + join.percent) * F.col("shared") >= join.percent * (F.col("n_a") + F.col("n_b")))
+    linked = (100 + join.percent) * F.col("shared") >= join.percent * (F.col("n_a") + F.col("n_b"))
+    return total.where(linked).select("a", "b")
 
 
-def near_copies(documents: DataFrame, join: Join = Join(), key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: the key, n_shingles and component_id."""
+def memberships(documents: DataFrame, join: Join = Join(), key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Per row: key, text_hash, n (size of its set), class (null if empty), component (a class) and
+    component_key (the least key of the component)."""
     bounded_batches(documents.sparkSession)
+    space = Workspace(documents.sparkSession, "ngram-join")
     body = documents[text]
     texts = documents.select(documents[key].alias("key"), F.xxhash64(body).alias("text_hash"), body.alias("text"))
     order = global_order(texts.select("text"), join)
-    rows = materialise(describe(texts, order, join), "sets")
+    rows = space.keep(describe(texts, order, join), "sets")
+    clash = F.raise_error(F.lit("two sets share a 64-bit identity")).cast("long")
     classes = (
         rows.where("class is not null")
         .groupBy("class")
@@ -273,33 +328,51 @@ def near_copies(documents: DataFrame, join: Join = Join(), key: str = "doc_id",
             "class",
             F.col("chosen.key").alias("least"),
             F.col("chosen.text_hash").alias("text_hash"),
-            F.when(F.col("rest") != F.col("rest_too"), F.raise_error(F.lit("two sets share a 64-bit identity")).cast("long")).otherwise(F.col("n")).alias("n"),
+            F.when(F.col("rest") != F.col("rest_too"), clash).otherwise(F.col("n")).alias("n"),
             "prefix",
         )
     )
-    classes = materialise(classes, "classes")
+    classes = space.keep(classes, "classes")
     postings = classes.select("class", "n", F.posexplode("prefix").alias("place", "code"))
     shared = postings.groupBy("code").agg(F.count("*").alias("m")).where("m > 1").select("code")
-    postings = materialise(postings.join(shared, "code", "left_semi"), "postings")
-    first = materialise(_first_round(postings, join.percent), "pairs")
-    links = materialise(_links(first, classes, texts, order, join), "links").select("a", "b")
-    labels = components(links)
-    second = materialise(_second_round(postings, labels, first, join.percent), "pairs")
-    if not second.isEmpty():
-        more = _links(second, classes, texts, order, join).select("a", "b")
-        labels = components(materialise(links.union(more), "links"))
-    least = (
-        classes.select("class", "least")
-        .join(labels.withColumnRenamed("node", "class"), "class")
-        .groupBy("label")
-        .agg(F.min("least").alias("component"))
-    )
-    least = labels.join(least, "label").select(F.col("node").alias("class"), "component")
-    members = classes.select("class", "least").join(least, "class", "left")
-    members = members.select("class", F.coalesce("component", "least").alias("component"))
-    joined = rows.select("key", "n", "class").join(members, "class", "left")
-    return joined.select(
-        F.col("key").alias(key),
-        F.col("n").alias("n_shingles"),
-        F.when(F.col("class").isNull(), F.col("key")).otherwise(F.col("component")).alias("component_id"),
+    postings = space.keep(postings.join(shared, "code", "left_semi"), "postings")
+    first = space.keep(_first_round(postings, join.percent), "pairs")
+    links = space.keep(_links(space, first, classes, texts, order, join), "links")
+    labels, compared, lists = components(links, space), first.select("a", "b"), postings
+    for number in range(join.draws + 1):
+        lists = _mixed_lists(space, lists, labels)
+        pairs = _drawn_heads(lists, join.percent, number) if number < join.draws else _rest(lists, join.percent)
+        pairs = space.keep(pairs.join(compared, ["a", "b"], "left_anti"), "pairs")
+        if pairs.isEmpty():
+            continue
+        compared = compared.union(pairs.select("a", "b"))
+        links = links.union(space.keep(_links(space, pairs, classes, texts, order, join), "links"))
+        labels = components(links, space)
+    labelled = classes.select("class", "least").join(labels.withColumnRenamed("node", "class"), "class", "left")
+    labelled = labelled.select("class", "least", F.coalesce("label", "class").alias("component"))
+    least = labelled.groupBy("component").agg(F.min("least").alias("component_key"))
+    members = labelled.join(least, "component").select("class", "component", "component_key")
+    result = rows.select("key", "text_hash", "n", "class").join(members, "class", "left")
+    return space.result(result, "memberships")
+
+
+def near_copies(documents: DataFrame, join: Join = Join(), key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Per row: the key, n_shingles and component_id."""
+    component = F.when(F.col("class").isNull(), F.col("key")).otherwise(F.col("component_key"))
+    return memberships(documents, join, key, text).select(
+        F.col("key").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id")
     )
+
+
+def keep_one(documents: DataFrame, join: Join = Join(), key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The documents, one row of each component: that with the least key, then text hash.
+
+    Rows without words stay, since they are linked with nothing.
+    """
+    rows = memberships(documents, join, key, text).where("class is not null")
+    rank = F.struct(F.col("key").isNull().alias("none"), "key", "text_hash")
+    chosen = rows.groupBy("component").agg(F.min(rank).alias("one")).select("one.key", "one.text_hash")
+    counted = rows.groupBy("key", "text_hash").agg(F.count("*").alias("m"))
+    repeated = counted.where("m > 1").select("key", "text_hash")
+    removed = materialise(counted.select("key", "text_hash").subtract(chosen), "removed-rows")
+    return without_rows(documents, removed, key, text, materialise(repeated, "repeated-rows"))

@@ -33,7 +33,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import WordHashes, bounded_batches, materialise, mix
+from ledgerlake.llm.common import (
+    WordHashes,
+    bounded_batches,
+    hash_filter,
+    materialise,
+    mix,
+    where_in_filter,
+    without_rows,
+)
 
 BITMAP = 1 << 22
 
@@ -209,7 +217,9 @@ def contaminations(
     test_texts = tests.select(F.col("key").alias("i_key"), F.col("text_hash").alias("i_text_hash"), F.col("text").alias("item_text"))
     pairs = bound.select(F.col("item").alias("p_key"), F.col("item_hash").alias("p_text_hash"), F.col("key").alias("d_key"), F.col("text_hash").alias("d_text_hash"))
     pairs = pairs.join(test_texts, _same("p_", "i_")).select("d_key", "d_text_hash", F.col("p_key").alias("item"), "item_text")
-    both = texts.join(pairs, _same("", "d_")).select("key", "text_hash", "item", "text", "item_text")
+    pairs = materialise(pairs, "tiling-texts")
+    near = where_in_filter(texts, "text_hash", hash_filter(pairs, "d_text_hash"))
+    both = near.join(pairs, _same("", "d_")).select("key", "text_hash", "item", "text", "item_text")
     key_kind, item_kind = both.schema["key"].dataType.simpleString(), both.schema["item"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -258,6 +268,4 @@ def judge(documents: DataFrame, items: DataFrame, tiling: Tiling = Tiling(), key
 def remove_contaminated(documents: DataFrame, items: DataFrame, tiling: Tiling = Tiling(), key: str = "doc_id", item: str = "item_id", text: str = "text") -> DataFrame:
     """The documents that no item contaminates, with all their columns."""
     found = materialise(contaminations(documents, items, tiling, key, item, text), "contaminations")
-    found = found.select(F.col("key").alias("f_key"), F.col("text_hash").alias("f_text_hash")).distinct()
-    same = documents[key].eqNullSafe(found["f_key"]) & F.xxhash64(documents[text]).eqNullSafe(found["f_text_hash"])
-    return documents.join(found, same, "left_anti")
+    return without_rows(documents, found.select("key", "text_hash").distinct(), key, text)
