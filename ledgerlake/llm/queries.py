@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.llm import (
     license_scan,
+    line_dedup,
     mixing,
     ngram_join,
     quality_rules,
@@ -25,6 +26,11 @@ def _documents(spark: SparkSession, folder: str) -> DataFrame:
     return read_table(spark, folder, "documents.parquet")
 
 
+def lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines of every document, and those removed since an earlier line is nearly equal."""
+    return line_dedup.summarise(_documents(spark, folder))
+
+
 def quality(spark: SparkSession, folder: str) -> DataFrame:
     """Figures and verdict of every document."""
     return quality_rules.assess(_documents(spark, folder))
@@ -91,6 +97,7 @@ def shards(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_dedup": lines,
     "op2_quality_rules": quality,
     "op3_decontamination": decontamination,
     "op4_url_filter": urls,
