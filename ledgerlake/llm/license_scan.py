@@ -173,7 +173,9 @@ def found_templates(rows: DataFrame, lookup: Lookup = Lookup()) -> DataFrame:
         F.transform(F.array_distinct(F.transform("hits", lambda h: h["word"])), lambda w: F.named_struct(F.lit("df"), rarity[w], F.lit("word"), w))
     )
     rare = F.transform(F.slice(ranked, 1, lookup.rare), lambda x: x["word"])
-    placed = holders.select("key", "text_hash", "phrases", rare.alias("rare"), F.explode("hits").alias("hit"))
+    # Written, so that the rare words are found once per text and not once per place.
+    looked_up = materialise(holders.select("key", "text_hash", "phrases", rare.alias("rare"), "hits"), "licence-lookups")
+    placed = looked_up.select("key", "text_hash", "phrases", "rare", F.explode("hits").alias("hit"))
     placed = placed.select("key", "text_hash", "phrases", F.col("hit.word").alias("word"), F.col("hit.place").alias("place"), F.array_contains("rare", F.col("hit.word")).alias("is_rare"))
     lying = placed.join(postings, "word").where(F.array_contains("phrases", F.col("phrase")))
     lying = lying.select("key", "text_hash", "template", "label", "size", (F.col("place") - F.col("at")).alias("offset"), "at", "is_rare")

@@ -131,9 +131,14 @@ def _side(frame: DataFrame, side: str, *more: str) -> DataFrame:
 _PAIR = ["doc_a", "line_a", "doc_b", "line_b"]
 
 
+def _band(n: Column, percent: int) -> Column:
+    """Sizes of one band are alike enough to be compared."""
+    return n.cast("long") if percent >= 100 else F.floor(F.log(n.cast("double")) / F.log(F.lit(100.0 / percent)))
+
+
 def _first_pairs(classes: DataFrame, lines: Lines) -> DataFrame:
     """The earliest class of each list (word, like lengths) with the others, for the last words of the prefix."""
-    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / lines.percent)))
+    band = _band(F.col("n"), lines.percent)
     last = F.greatest(F.size("prefix") - lines.first_words, F.lit(0))
     postings = classes.select("doc", "line", "n", band.alias("band"), last.alias("skip"), F.posexplode("prefix").alias("place", "code"))
     postings = postings.where(F.col("place") >= F.col("skip")).drop("skip")

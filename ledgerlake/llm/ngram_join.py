@@ -214,9 +214,14 @@ def _may_reach(percent: int, n_a: Column, i_a: Column, n_b: Column, i_b: Column)
     return lengths & ((100 + percent) * most >= percent * (n_a + n_b))
 
 
+def _band(n: Column, percent: int) -> Column:
+    """Sizes of one band are alike enough to be compared."""
+    return n.cast("long") if percent >= 100 else F.floor(F.log(n.cast("double")) / F.log(F.lit(100.0 / percent)))
+
+
 def _first_round(postings: DataFrame, percent: int) -> DataFrame:
     """The first class of every list (of one n-gram and like lengths) with each other class."""
-    banded = postings.withColumn("band", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent))))
+    banded = postings.withColumn("band", _band(F.col("n"), percent))
     heads = banded.groupBy("code", "band").agg(F.min(F.struct("class", "n", "place")).alias("head"))
     pairs = banded.join(heads, ["code", "band"]).where(F.col("class") != F.col("head.class"))
     pairs = pairs.where(_may_reach(percent, F.col("n"), F.col("place"), F.col("head.n"), F.col("head.place")))
