@@ -14,13 +14,13 @@ from ledgerlake.session import scratch_dir
 
 # Bytes below which an Arrow batch stays when rows go to a Python worker, so that batches
 # of very long texts fit beside the heap of an executor.
-BATCH_BYTES = "8m"
+BATCH_BYTES = "2m"
 
 # Bits of a filter on hashes (2 MB), whatever the number of hashes.
 FILTER_BITS = 1 << 24
 
 # Words that a task keeps hashed; above that the memory is emptied and filled anew.
-CACHED_WORDS = 400_000
+CACHED_WORDS = 120_000
 
 
 def bounded_batches(spark: SparkSession) -> None:
