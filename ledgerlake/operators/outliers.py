@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.functions import money
-from ledgerlake.operators.ranking import order_statistics, same_keys
 
 # Fence factors, smallest group that is judged, severity names.
 MILD_FACTOR = "1.5"
@@ -21,12 +20,8 @@ EXTREME_FACTOR = "3.0"
 MIN_GROUP = 8
 MILD, EXTREME = "mild", "extreme"
 
-# A group above this many rows takes the distributed quartile path, so that no task holds
-# more than this many amounts. At most (all rows / HOT_GROUP_ROWS) groups can be hot: keys of
-# a million groups, some tens of MB, for 2 * 10**12 rows. That bounds what is broadcast.
-HOT_GROUP_ROWS = 2_000_000
-
-QUARTILE = "decimal(18,4)"
+# Wide enough for quartiles and fences of any decimal(18,2) amount.
+QUARTILE = "decimal(20,4)"
 FENCE = "decimal(24,6)"
 
 
@@ -37,7 +32,6 @@ class Fences:
     mild: str = MILD_FACTOR
     extreme: str = EXTREME_FACTOR
     min_rows: int = MIN_GROUP
-    hot_rows: int = HOT_GROUP_ROWS
     mild_name: str = MILD
     extreme_name: str = EXTREME
 
@@ -47,61 +41,31 @@ def _cents(amount: str) -> Column:
 
 
 def _from_quarter_cents(quarters: Column) -> Column:
-    return (quarters.cast("decimal(18,0)") * F.lit("0.0025").cast("decimal(4,4)")).cast(QUARTILE)
-
-
-def _hot_groups(rows: DataFrame, group: Sequence[str], hot_rows: int) -> DataFrame:
-    """Keys of the groups too large for one task; usually none."""
-    return rows.groupBy(*group).agg(F.count("*").alias("_n")).filter(F.col("_n") > hot_rows).drop("_n")
-
+    return (quarters.cast("decimal(19,0)") * F.lit("0.0025").cast("decimal(4,4)")).cast(QUARTILE)
 
-def _split(rows: DataFrame, group: Sequence[str], hot: DataFrame) -> tuple[DataFrame, DataFrame]:
-    on = same_keys("r", "h", group)
-    bounded = F.broadcast(hot.alias("h"))
-    left = rows.alias("r")
-    return left.join(bounded, on, "left_anti"), left.join(bounded, on, "left_semi")
 
+def _quartiles(rows: DataFrame, group: Sequence[str], amount: str) -> DataFrame:
+    """``group…, n_group, _q1, _q3`` with both quartiles in quarter cents, in whole numbers.
 
-def _quartiles(amount: str) -> Column:
-    """Both quartiles in cents, from one pass over the amounts of a group."""
-    return F.percentile(_cents(amount), F.array(F.lit(0.25), F.lit(0.75)))
-
-
-def _ordinary_quartiles(rows: DataFrame, group: Sequence[str], amount: str) -> DataFrame:
-    return (
-        rows.groupBy(*group)
-        .agg(F.count("*").alias("n_group"), _quartiles(amount).alias("_q"))
-        .select(*group, "n_group", *_in_quarters())
+    Equal amounts are counted first, on the map side as well, so a very large group moves one
+    row per distinct amount. Running counts then give the place of every amount.
+    """
+    counts = rows.groupBy(*group, _cents(amount).alias("_cents")).agg(F.count("*").alias("_n"))
+    of_group = Window.partitionBy(*group)
+    present = F.when(F.col("_cents").isNotNull(), F.col("_n"))
+    placed = counts.withColumn("_upto", F.sum(present).over(of_group.orderBy("_cents"))).withColumn(
+        "_last", F.sum(present).over(of_group) - 1
     )
 
+    def at(rank: Column) -> Column:
+        here = (rank < F.col("_upto")) & (rank >= F.col("_upto") - F.col("_n"))
+        return F.max(F.when(here & F.col("_cents").isNotNull(), F.col("_cents")))
 
-def _in_quarters() -> list[Column]:
-    return [(F.col("_q")[i] * 4).alias(name) for i, name in enumerate(("_q1", "_q3"))]
-
-
-def _hot_quartiles(rows: DataFrame, group: Sequence[str], amount: str) -> DataFrame:
-    """Same result as :func:`_ordinary_quartiles`, for groups spread over many tasks."""
-    span = F.col("_n") - 1
-    ranks = {
-        "q1_lo": F.floor(span / 4),
-        "q1_hi": F.ceil(span / 4),
-        "q3_lo": F.floor(span * 3 / 4),
-        "q3_hi": F.ceil(span * 3 / 4),
-    }
-    values = rows.select(*group, _cents(amount).alias("_cents"))
-    stats = order_statistics(values, group, "_cents", ranks)
-    interpolate = lambda lo, hi, weight: F.col(lo) * 4 + (F.col(hi) - F.col(lo)) * weight
-    quartiles = stats.select(
-        *group,
-        interpolate("q1_lo", "q1_hi", span % 4).alias("_q1"),
-        interpolate("q3_lo", "q3_hi", (span * 3) % 4).alias("_q3"),
-    )
-    sizes = rows.groupBy(*group).agg(F.count("*").alias("n_group"))
-    return (
-        sizes.alias("s")
-        .join(quartiles.alias("q"), same_keys("s", "q", group), "left")
-        .select("s.*", "q._q1", "q._q3")
-    )
+    ranks = {"q1": F.col("_last"), "q3": F.col("_last") * 3}
+    ends = [at(f(r / 4)).alias(f"_{q}_{f.__name__}") for q, r in ranks.items() for f in (F.floor, F.ceil)]
+    found = placed.groupBy(*group).agg(F.sum("_n").alias("n_group"), F.max("_last").alias("_last"), *ends)
+    between = lambda q, r: F.col(f"_{q}_floor") * 4 + (F.col(f"_{q}_ceil") - F.col(f"_{q}_floor")) * (r % 4)
+    return found.select(*group, "n_group", *[between(q, r).alias(f"_{q}") for q, r in ranks.items()])
 
 
 def _with_fences(quartiles: DataFrame, fences: Fences) -> DataFrame:
@@ -125,11 +89,7 @@ def group_fences(
 
     ``n_group`` counts all rows; quartiles interpolate linearly over non-null amounts.
     """
-    needed = rows.select(*group, amount)
-    ordinary, hot = _split(needed, group, _hot_groups(needed, group, fences.hot_rows))
-    return _with_fences(_ordinary_quartiles(ordinary, group, amount), fences).unionByName(
-        _with_fences(_hot_quartiles(hot, group, amount), fences)
-    )
+    return _with_fences(_quartiles(rows.select(*group, amount), group, amount), fences)
 
 
 def judged(stats: DataFrame, fences: Fences = Fences()) -> DataFrame:
@@ -146,22 +106,13 @@ def iqr_outliers(
 ) -> DataFrame:
     """Rows strictly above the mild fence of their group, with severity and excess.
 
-    Ordinary groups are shuffled once and judged in a window over the group, without a join.
-    The few hot groups get their fences by broadcast, so no task holds a whole hot group. A
-    row without a group key is not judged. The output has only the listed columns: free text
-    stays behind.
+    Fences are joined without a hint: Spark broadcasts few groups and splits a group that is
+    skewed. A row without a group key is not judged. The output has only the listed columns:
+    free text stays behind.
     """
     needed = rows.select(*dict.fromkeys([*group, amount, *keep])).dropna(subset=list(group))
-    ordinary, hot = _split(needed, group, _hot_groups(needed, group, fences.hot_rows))
-    whole = Window.partitionBy(*group)
-    quartiles = ordinary.withColumn("n_group", F.count("*").over(whole)).withColumn(
-        "_q", _quartiles(amount).over(whole)
-    )
-    in_place = _with_fences(quartiles.select(*needed.columns, "n_group", *_in_quarters()), fences)
-    hot_stats = judged(_with_fences(_hot_quartiles(hot, group, amount), fences), fences)
-    found = _above(judged(in_place, fences), amount).unionByName(
-        _above(hot.join(F.broadcast(hot_stats), list(group)), amount)
-    )
+    stats = judged(group_fences(needed, group, amount, fences), fences)
+    found = needed.join(stats, list(group)).filter(F.col(amount) > F.col("mild_fence"))
     severity = F.when(F.col(amount) > F.col("extreme_fence"), F.lit(fences.extreme_name)).otherwise(
         F.lit(fences.mild_name)
     )
@@ -180,10 +131,6 @@ def iqr_outliers(
     )
 
 
-def _above(joined: DataFrame, amount: str) -> DataFrame:
-    return joined.filter(F.col(amount) > F.col("mild_fence"))
-
-
 def run_summary(
     stats: DataFrame, found: DataFrame, fences: Fences = Fences()
 ) -> DataFrame:

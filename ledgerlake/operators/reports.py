@@ -66,13 +66,16 @@ def spend_by_period(spend: DataFrame, period: str, name: str, total: str) -> Dat
 
 
 def spend_columns(
-    spend: DataFrame, period: str, name: str, total: str, names: Mapping[str, str]
+    spend: DataFrame, period: str, name: str, total: str, names: Mapping[str, str], other: str = "other"
 ) -> DataFrame:
     """The same with one column per name; ``names`` maps a value to its column name, so no
-    job has to look for the values first."""
+    job has to look for the values first. All other names share the column ``other``, so a
+    row sums up to the spend of its period."""
     amount = F.coalesce(F.col(total), F.lit(0)).cast(money.MONEY)
+    rest = F.col(name).isNull() | ~F.col(name).isin(list(names))
     return spend.groupBy(period).agg(
-        *[money.total(F.when(F.col(name) == v, amount)).alias(c) for v, c in names.items()]
+        *[money.total(F.when(F.col(name) == v, amount)).alias(c) for v, c in names.items()],
+        money.total(F.when(rest, amount)).alias(other),
     )
 
 

@@ -320,11 +320,15 @@ def recompute_spend_problems(
 
 
 def outlier_problems(found: DataFrame, state: Tables, fences: outliers.Fences = FENCES) -> DataFrame:
-    """Rules of the outlier table, its source rows, and the distributed recomputation."""
+    """Rules of the outlier table, its source rows, and the recomputation in SQL."""
     neutral = found.withColumnsRenamed({v: k for k, v in _OUTLIER_NAMES.items()})
     rows = rollup.active_rows(state["egresos"], "eliminado_en")
-    again = high_amounts(state, outliers.Fences(**{**vars(fences), "hot_rows": 0}))
-    expected = again.withColumnsRenamed({v: k for k, v in _OUTLIER_NAMES.items()})
+    neutral_rows = rows.select(
+        "id", F.col("usuario_id").alias("entity"), F.coalesce("destino_id", F.lit(NO_ID)).alias("dim_id"), F.col("monto").alias("amount")
+    )
+    expected = recompute.outliers(
+        neutral_rows, fences.min_rows, fences.mild, fences.extreme, fences.mild_name, fences.extreme_name
+    )
     return quality.all_problems(
         [
             quality.outlier_rule_problems(neutral, "anomalias", "id", "monto", fences),

@@ -57,3 +57,34 @@ def spend(outflows: DataFrame, catalogue: DataFrame, sentinel, missing: str) ->
         outflows=outflows,
         catalogue=catalogue,
     )
+
+
+def outliers(rows: DataFrame, min_rows: int, mild: str, extreme: str, mild_name: str, extreme_name: str) -> DataFrame:
+    """``id, n_group, q1, q3, iqr, mild_fence, extreme_fence, excess, severity`` of high amounts.
+
+    ``rows`` has ``id, entity, dim_id, amount``. Quartiles come from Spark's own percentile of
+    whole cents, so amounts up to 2**53 cents are exact.
+    """
+    return rows.sparkSession.sql(
+        """
+        WITH g AS (SELECT entity, dim_id, count(*) AS n_group,
+                          percentile(CAST(amount * 100 AS BIGINT), array(0.25, 0.75)) AS q
+                   FROM {rows} WHERE entity IS NOT NULL AND dim_id IS NOT NULL GROUP BY entity, dim_id),
+             q AS (SELECT entity, dim_id, n_group, CAST(CAST(q[0] * 4 AS BIGINT) * 0.0025BD AS DECIMAL(20,4)) AS q1,
+                          CAST(CAST(q[1] * 4 AS BIGINT) * 0.0025BD AS DECIMAL(20,4)) AS q3 FROM g),
+             f AS (SELECT *, q3 - q1 AS iqr, q3 + CAST(:mild AS DECIMAL(6,2)) * (q3 - q1) AS low,
+                          q3 + CAST(:extreme AS DECIMAL(6,2)) * (q3 - q1) AS high FROM q)
+        SELECT r.id, f.n_group, CAST(round(q1, 2) AS DECIMAL(18,2)) AS q1, CAST(round(q3, 2) AS DECIMAL(18,2)) AS q3,
+               CAST(round(iqr, 2) AS DECIMAL(18,2)) AS iqr, CAST(round(low, 2) AS DECIMAL(18,2)) AS mild_fence,
+               CAST(round(high, 2) AS DECIMAL(18,2)) AS extreme_fence,
+               CAST(round(r.amount - low, 2) AS DECIMAL(18,2)) AS excess,
+               CASE WHEN r.amount > high THEN :extreme_name ELSE :mild_name END AS severity
+        FROM {rows} r JOIN f ON r.entity = f.entity AND r.dim_id = f.dim_id
+        WHERE f.n_group >= :min_rows AND iqr > 0 AND r.amount > low
+        """,
+        args={
+            "mild": mild, "extreme": extreme, "min_rows": min_rows,
+            "mild_name": mild_name, "extreme_name": extreme_name,
+        },
+        rows=rows,
+    )

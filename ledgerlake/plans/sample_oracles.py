@@ -559,8 +559,12 @@ FROM category_spend GROUP BY period, label""",
         *_LEDGER_BASE, "method_spend",
         body="SELECT period, "
         + ", ".join(
-            f"CAST(coalesce(sum(total) FILTER (WHERE label = '{v}'), 0) AS DECIMAL(18,2)) AS {c}"
-            for v, c in [*((f"NATION_{i}", f"method_{i}") for i in range(5)), ("No method", "no_method")]
+            f"CAST(coalesce(sum(total) FILTER (WHERE {which}), 0) AS DECIMAL(18,2)) AS {c}"
+            for which, c in [
+                *((f"label = 'NATION_{i}'", f"method_{i}") for i in range(5)),
+                ("label = 'No method'", "no_method"),
+                ("label NOT IN ('NATION_0', 'NATION_1', 'NATION_2', 'NATION_3', 'NATION_4', 'No method')", "other_methods"),
+            ]
         )
         + " FROM method_spend GROUP BY period",
     ),

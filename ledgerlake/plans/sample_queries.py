@@ -405,9 +405,9 @@ def category_by_period(spark, folder):
 
 @query
 def method_by_period(spark, folder):
-    """One column per payment method of the first catalogue entries, months as rows."""
+    """Months as rows; a column for some payment methods and one for all the others."""
     names = {f"NATION_{i}": f"method_{i}" for i in range(5)} | {t.NO_METHOD: "no_method"}
-    return reports.spend_columns(t.method_spend(spark, folder), "period", "label", "total", names)
+    return reports.spend_columns(t.method_spend(spark, folder), "period", "label", "total", names, "other_methods")
 
 
 @query
@@ -540,10 +540,14 @@ def check_outlier_orphans(spark, folder):
 
 @query
 def check_outlier_recompute(spark, folder):
-    """Against the distributed quartile path, which treats every group as a hot one."""
+    """Against the same table in separate SQL."""
     rows = t.found_outliers(spark, folder).filter(~_every("event_id", 5))
     rows = _plant(rows, "severity", _every("event_id", 7), F.lit(outliers.EXTREME))
-    expected = t.found_outliers(spark, folder, outliers.Fences(hot_rows=0))
+    neutral = t.movements(spark, folder).selectExpr("event_id AS id", "user_id AS entity", "category_id AS dim_id", "amount")
+    fences = outliers.Fences()
+    expected = recompute.outliers(
+        neutral, fences.min_rows, fences.mild, fences.extreme, fences.mild_name, fences.extreme_name
+    ).withColumnRenamed("id", "event_id")
     return quality.outlier_recompute_problems(rows, expected, "outliers", "event_id")
 
 
