@@ -57,13 +57,13 @@ def _message(table: str, source: str, where: str, step: int, value: str, instant
     return (
         f"SELECT '{table}' AS \"table\", CAST({instant} AS DATE) AS ingest_date, "
         f"'lake.ledger.{table}' AS topic, CAST(id % 3 AS INTEGER) AS \"partition\", "
-        f"id * 3 + {step} AS \"offset\", {instant} AS log_ts, CAST(id AS VARCHAR) AS \"key\", "
+        f"id * 16 + {step} AS \"offset\", {instant} AS log_ts, CAST(id AS VARCHAR) AS \"key\", "
         f"{value} AS value FROM {source} WHERE {where}"
     )
 
 
 _ORIGINAL = _row_json("amount", "ts", "CAST(NULL AS TIMESTAMP)")
-_RAISED = _row_json("amount + 5.00", "ts + INTERVAL 1 DAY", "CAST(NULL AS TIMESTAMP)")
+_DEARER = _row_json("amount + 1.25", "ts + INTERVAL 1 DAY", "CAST(NULL AS TIMESTAMP)")
 _HIDDEN = _row_json("amount", "ts + INTERVAL 1 DAY", "ts + INTERVAL 1 DAY")
 _OWNER = "'{\"id\":' || id || ',\"name\":\"' || name || '\",\"segment\":\"' || segment || '\"}'"
 _LEDGER = "orders_ledger"
@@ -71,22 +71,22 @@ _LEDGER = "orders_ledger"
 _ORDER_EVENTS = "\n  UNION ALL ".join(
     [
         _event(_LEDGER, "order_rows", "true", "c", 0, "'null'", _ORIGINAL, 0),
-        _event(_LEDGER, "order_rows", "id % 10 = 3", "u", 1, _ORIGINAL, _RAISED, 1),
-        _event(_LEDGER, "order_rows", "id % 20 = 11", "u", 1, _ORIGINAL, _HIDDEN, 1),
-        _event(_LEDGER, "order_rows", "id % 50 = 7", "d", 2, _ORIGINAL, "'null'", 2),
-        _message(_LEDGER, "order_rows", "id % 50 = 7", 3, "CAST(NULL AS VARCHAR)", "(ts + INTERVAL 2 DAY)"),
+        _event(_LEDGER, "order_rows", "id % 6 = 1", "u", 1, _ORIGINAL, _DEARER, 1),
+        _event(_LEDGER, "order_rows", "id % 12 = 5", "u", 2, _ORIGINAL, _HIDDEN, 1),
+        _event(_LEDGER, "order_rows", "id % 18 = 3", "d", 3, _ORIGINAL, "'null'", 2),
+        _message(_LEDGER, "order_rows", "id % 18 = 3", 4, "CAST(NULL AS VARCHAR)", "(ts + INTERVAL 2 DAY)"),
     ]
 )
 _DAMAGE = "\n  UNION ALL ".join(
     [
-        _message(_LEDGER, "order_rows", "id % 97 = 0", 4, "'{\"payload\":{\"op\":\"u\",\"after\":{\"id\":' || id"),
-        _message(_LEDGER, "order_rows", "id % 101 = 0", 5, "'{\"payload\":null}'"),
+        _message(_LEDGER, "order_rows", "id % 97 = 0", 5, "'{\"payload\":{\"op\":\"u\",\"after\":{\"id\":' || id"),
+        _message(_LEDGER, "order_rows", "id % 101 = 0", 6, "'{\"payload\":null}'"),
         _message(
-            _LEDGER, "order_rows", "id % 103 = 0", 6,
+            _LEDGER, "order_rows", "id % 103 = 0", 7,
             "'{\"payload\":{\"op\":\"c\",\"before\":null,\"after\":{\"note\":\"lost\"}}}'",
         ),
         _message(
-            _LEDGER, "order_rows", "id % 107 = 0", 7,
+            _LEDGER, "order_rows", "id % 107 = 0", 8,
             "'{\"payload\":{\"op\":\"u\",\"before\":null,\"after\":{\"id\":' || id || ',\"amount\":\"12,50\"}}}'",
         ),
     ]
@@ -133,8 +133,8 @@ _CTE = {
     "entries": """entries AS (
   SELECT o_orderkey AS entry_id, o_custkey AS owner_id, CAST(o_totalprice AS DECIMAL(12,2)) AS amount,
          o_orderstatus = 'F' AS is_inflow,
-         CASE WHEN o_orderkey % 33 <> 0 THEN CAST(o_custkey % 7 AS INTEGER) END AS category_id,
-         CASE WHEN o_orderkey % 33 <> 7 THEN CAST(o_orderkey % 30 AS INTEGER) END AS method_id,
+         CASE WHEN o_orderkey % 19 <> 0 THEN CAST(o_custkey % 6 AS INTEGER) END AS category_id,
+         CASE WHEN o_orderkey % 19 <> 7 THEN CAST(o_orderkey % 30 AS INTEGER) END AS method_id,
          CASE WHEN o_orderkey % 5 = 0 THEN CAST(o_orderkey % 3 AS INTEGER) END AS recurrence_id,
          o_orderdate AS started_at,
          CASE WHEN o_orderkey % 4 = 0 THEN o_orderdate + to_days(CAST(o_orderkey % 45 AS INTEGER)) END AS ended_at,
@@ -193,7 +193,7 @@ stats AS (
   WHERE n_group >= 8 AND iqr > 0 AND m.amount > mild_fence)""",
     "order_rows": """order_rows AS (
   SELECT o_orderkey AS id, CAST(o_custkey AS INTEGER) AS owner_id,
-         CASE WHEN o_orderkey % 33 <> 0 THEN CAST(o_custkey % 7 AS INTEGER) END AS category_id,
+         CASE WHEN o_orderkey % 19 <> 0 THEN CAST(o_custkey % 6 AS INTEGER) END AS category_id,
          CAST(o_totalprice AS DECIMAL(12,2)) AS amount, 'order ' || o_orderkey AS note,
          o_orderstatus = 'F' AS is_inflow, o_orderdate AS ts FROM orders)""",
     "order_log": f"order_log AS ({_ORDER_EVENTS})",
@@ -210,7 +210,7 @@ owner_log AS ("""
     "accepted": """calls AS (
   SELECT o_orderkey AS row_id, 'crear' AS op, 0 AS days, 0 AS rnk,
          CASE WHEN o_orderkey % 13 = 0 THEN 500 ELSE 201 END AS http, o_orderdate AS ts FROM orders
-  UNION ALL SELECT o_orderkey, 'actualizar', 1, 1, 200, o_orderdate FROM orders WHERE o_orderkey % 10 = 3
+  UNION ALL SELECT o_orderkey, 'actualizar', 1, 1, 200, o_orderdate FROM orders WHERE o_orderkey % 6 = 1
   UNION ALL SELECT o_orderkey, 'eliminar', 2, 2, 204, o_orderdate FROM orders WHERE o_orderkey % 29 = 0),
 accepted AS (
   SELECT row_id, seq, op, epoch_ms(ts) + days * 86400000 - row_id % 50 AS sent_ms,
@@ -379,15 +379,15 @@ ORACLES = {
     ),
     "change_encode": _with(
         "order_rows",
-        body="""SELECT id * 3 AS "offset", 'c' AS op, NULL::BIGINT AS before_id,
+        body="""SELECT id * 16 AS "offset", 'c' AS op, NULL::BIGINT AS before_id,
   NULL::DECIMAL(12,2) AS before_amount, NULL::BOOLEAN AS before_is_inflow, NULL::DATE AS before_started_on,
   id AS after_id, amount AS after_amount, is_inflow AS after_is_inflow, CAST(ts AS DATE) AS after_started_on
 FROM order_rows
-UNION ALL SELECT id * 3 + 1, 'u', id, amount, is_inflow, CAST(ts AS DATE), id,
-  CAST(amount + CASE WHEN id % 10 = 3 THEN 5 ELSE 0 END AS DECIMAL(12,2)), is_inflow, CAST(ts AS DATE)
-FROM order_rows WHERE id % 10 = 3 OR id % 20 = 11
-UNION ALL SELECT id * 3 + 2, 'd', id, amount, is_inflow, CAST(ts AS DATE), NULL, NULL, NULL, NULL
-FROM order_rows WHERE id % 50 = 7""",
+UNION ALL SELECT id * 16 + CASE WHEN id % 6 = 1 THEN 1 ELSE 2 END, 'u', id, amount, is_inflow, CAST(ts AS DATE), id,
+  CAST(amount + CASE WHEN id % 6 = 1 THEN 1.25 ELSE 0 END AS DECIMAL(12,2)), is_inflow, CAST(ts AS DATE)
+FROM order_rows WHERE id % 6 = 1 OR id % 12 = 5
+UNION ALL SELECT id * 16 + 3, 'd', id, amount, is_inflow, CAST(ts AS DATE), NULL, NULL, NULL, NULL
+FROM order_rows WHERE id % 18 = 3""",
     ),
     "change_parse": _with(
         *_ORDER_LOG,
@@ -399,8 +399,8 @@ FROM order_rows WHERE id % 50 = 7""",
     "change_quarantine": _with(
         "order_rows",
         body=f"""SELECT "offset", "partition",
-  CASE ("offset" - CAST("key" AS BIGINT) * 3) WHEN 4 THEN 'unreadable envelope' WHEN 5 THEN 'unreadable envelope'
-       WHEN 6 THEN 'missing key' ELSE 'bad value: amount' END AS reason, value FROM ({_DAMAGE})""",
+  CASE ("offset" - CAST("key" AS BIGINT) * 16) WHEN 5 THEN 'unreadable envelope' WHEN 6 THEN 'unreadable envelope'
+       WHEN 7 THEN 'missing key' ELSE 'bad value: amount' END AS reason, value FROM ({_DAMAGE})""",
     ),
     "latest_state": _with(*_ORDER_LOG, "state", body=f"SELECT {_STATE_COLUMNS} FROM state"),
     "latest_state_lenient": _with(

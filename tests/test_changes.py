@@ -221,8 +221,30 @@ def test_encoding_round_trip(spark):
     data = [(1, 7, Decimal("1.50"), None, True, DAY, NOON, None), (2, None, None, 'say "x"', None, None, None, NOON)]
     table = spark.createDataFrame(data, SPEC.schema)
     after = F.struct(*[wire.encode(F.col(f.name), f.dataType).alias(f.name) for f in SPEC.schema.fields])
-    encoded = changes.encode_changes(table, SPEC.name, "c", 0, wire.typed_null(after), after, F.lit(NOON))
+    created = changes.Event(F.lit(NOON), "c", after=after)
+    encoded = changes.change_messages(table, SPEC.name, [created], F.lit(0), F.col("id"))
     value = json.loads(encoded.filter("key = '1'").first()["value"])
     assert value["payload"]["before"] is None and value["payload"]["after"]["note"] is None
     back = changes.current_state(encoded, SPEC).select(*SPEC.columns)
     assert rows(back) == rows(table)
+
+
+@pytest.mark.parametrize("partitions", [1, 2, 3])
+def test_messages_have_places_of_their_own(spark, partitions):
+    from pyspark.sql import functions as F
+
+    rows_ = spark.range(40)
+    image, key, at = F.struct("id"), F.col("id"), F.lit(NOON)
+    events = [
+        changes.Event(at, "c", after=image),
+        changes.Event(at, "u", image, image, happens=key % 3 == 0),
+        changes.Event(at, "d", before=image, happens=key % 4 == 1),
+        changes.Event(at, happens=key % 4 == 1),
+        changes.Event(at, text=F.lit("broken"), happens=key == 7),
+    ]
+    log_ = changes.change_messages(rows_, "t", events, key % partitions, key * len(events), topic_prefix="p.")
+    got = [(r.partition, r.offset, r.key, r.value) for r in log_.collect()]
+    assert len({(p, o) for p, o, _, _ in got}) == len(got) == 40 + 14 + 10 + 10 + 1
+    of_nine = [(o, v and json.loads(v)["payload"]["op"]) for _, o, k, v in sorted(got) if k == "9"]
+    assert of_nine == [(45, "c"), (46, "u"), (47, "d"), (48, None)]
+    assert {v for _, o, k, v in got if k == "7" and o == 39} == {"broken"}
