@@ -26,7 +26,7 @@ an empty table gives an empty one; further columns are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -207,11 +207,30 @@ def segments(texts: DataFrame, order: Order, join: Join) -> DataFrame:
     return texts.select("class", "text").mapInArrow(run, "class long, fragment int, grams array<long>")
 
 
-def _may_reach(percent: int, n_a: Column, i_a: Column, n_b: Column, i_b: Column) -> Column:
-    """Length and positional filter for a shared n-gram at places ``i`` (from 0) of two sets."""
-    lengths = 100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b)
-    most = 1 + F.least(n_a - i_a, n_b - i_b) - 1
-    return lengths & ((100 + percent) * most >= percent * (n_a + n_b))
+def _may_reach(percent: int, a: Callable[[str], Column], b: Callable[[str], Column]) -> Column:
+    """Length and positional filter for an n-gram of two sets, at ``place`` (from 0) in either.
+
+    No more is shared than stands from there on. Of the set whose prefix ends first, no more
+    than ``most``: what its prefix alone holds would have to stand in the other prefix.
+    """
+    lengths = 100 * F.least(a("n"), b("n")) >= percent * F.greatest(a("n"), b("n"))
+    alone = F.when(a("last") <= b("last"), a("most")).otherwise(b("most"))
+    most = F.least(a("n") - a("place"), b("n") - b("place"), alone)
+    return lengths & ((100 + percent) * most >= percent * (a("n") + b("n")))
+
+
+def _postings(classes: DataFrame, space: Workspace) -> DataFrame:
+    """Places of the prefix n-grams that several prefixes hold: class, n, most, last, place, code.
+
+    ``most`` is the size of the set without the n-grams that only its own prefix holds, ``last``
+    the end of its prefix.
+    """
+    ends = [F.size("prefix").alias("length"), F.element_at("prefix", -1).alias("last")]
+    placed = classes.select("class", "n", *ends, F.posexplode("prefix").alias("place", "code"))
+    shared = placed.groupBy("code").agg(F.count("*").alias("m")).where("m > 1").select("code")
+    placed = space.keep(placed.join(shared, "code", "left_semi"), "postings")
+    most = placed.groupBy("class").agg((F.first("n") - F.first("length") + F.count("*")).alias("most"))
+    return space.keep(placed.drop("length").join(most, "class"), "postings")
 
 
 def _band(n: Column, percent: int) -> Column:
@@ -222,9 +241,9 @@ def _band(n: Column, percent: int) -> Column:
 def _first_round(postings: DataFrame, percent: int) -> DataFrame:
     """The first class of every list (of one n-gram and like lengths) with each other class."""
     banded = postings.withColumn("band", _band(F.col("n"), percent))
-    heads = banded.groupBy("code", "band").agg(F.min(F.struct("class", "n", "place")).alias("head"))
+    heads = banded.groupBy("code", "band").agg(F.min(F.struct("class", "n", "place", "most", "last")).alias("head"))
     pairs = banded.join(heads, ["code", "band"]).where(F.col("class") != F.col("head.class"))
-    pairs = pairs.where(_may_reach(percent, F.col("n"), F.col("place"), F.col("head.n"), F.col("head.place")))
+    pairs = pairs.where(_may_reach(percent, F.col, lambda c: F.col(f"head.{c}")))
     return pairs.select(F.col("head.class").alias("a"), F.col("class").alias("b"), F.col("head.n").alias("n_a"), F.col("n").alias("n_b")).distinct()
 
 
@@ -243,9 +262,9 @@ def _drawn_heads(lists: DataFrame, percent: int, number: int) -> DataFrame:
     is likely to be linked with one of them.
     """
     draw = F.xxhash64("class", "code", F.lit(number))
-    heads = lists.groupBy("code").agg(F.min(F.struct(draw.alias("draw"), "class", "n", "place", "label")).alias("head"))
+    heads = lists.groupBy("code").agg(F.min(F.struct(draw.alias("draw"), "class", "n", "place", "most", "last", "label")).alias("head"))
     pairs = lists.join(heads, "code").where(F.col("label") != F.col("head.label"))
-    pairs = pairs.where(_may_reach(percent, F.col("n"), F.col("place"), F.col("head.n"), F.col("head.place")))
+    pairs = pairs.where(_may_reach(percent, F.col, lambda c: F.col(f"head.{c}")))
     first = F.col("class") < F.col("head.class")
     return pairs.select(
         F.when(first, F.col("class")).otherwise(F.col("head.class")).alias("a"),
@@ -257,14 +276,14 @@ def _drawn_heads(lists: DataFrame, percent: int, number: int) -> DataFrame:
 
 def _rest(lists: DataFrame, percent: int) -> DataFrame:
     """All pairs of a list across components."""
-    left = lists.select("code", *[F.col(c).alias(c + "_a") for c in ("class", "n", "place", "label")])
-    right = lists.select("code", *[F.col(c).alias(c + "_b") for c in ("class", "n", "place", "label")])
+    left = lists.select("code", *[F.col(c).alias(c + "_a") for c in ("class", "n", "place", "most", "last", "label")])
+    right = lists.select("code", *[F.col(c).alias(c + "_b") for c in ("class", "n", "place", "most", "last", "label")])
     pairs = left.join(
         right,
         (left["code"] == right["code"])
         & (F.col("class_a") < F.col("class_b"))
         & (F.col("label_a") != F.col("label_b"))
-        & _may_reach(percent, F.col("n_a"), F.col("place_a"), F.col("n_b"), F.col("place_b")),
+        & _may_reach(percent, lambda c: F.col(f"{c}_a"), lambda c: F.col(f"{c}_b")),
     )
     return pairs.select(F.col("class_a").alias("a"), F.col("class_b").alias("b"), "n_a", "n_b").distinct()
 
@@ -338,9 +357,7 @@ def memberships(documents: DataFrame, join: Join = Join(), key: str = "doc_id",
         )
     )
     classes = space.keep(classes, "classes")
-    postings = classes.select("class", "n", F.posexplode("prefix").alias("place", "code"))
-    shared = postings.groupBy("code").agg(F.count("*").alias("m")).where("m > 1").select("code")
-    postings = space.keep(postings.join(shared, "code", "left_semi"), "postings")
+    postings = _postings(classes, space)
     first = space.keep(_first_round(postings, join.percent), "pairs")
     links = space.keep(_links(space, first, classes, texts, order, join), "links")
     labels, compared, lists = components(links, space), first.select("a", "b"), postings
