@@ -5,8 +5,8 @@
 
 or ``spark-submit ledgerlake/jobs.py …`` with the package on the Python path.
 
-Exit codes: 0 done, 1 a gate or a verification failed, 99 nothing to do (not configured, or
-no new messages), so that a scheduler can mark the step as skipped.
+Exit codes: 0 done, 1 a gate or a verification failed, 99 nothing to do (not configured), so
+that a scheduler can mark the step as skipped. The load reads what has been published.
 """
 
 from __future__ import annotations
@@ -84,22 +84,22 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
         if not args.dataset:
             print("no --dataset: the load is skipped")
             return SKIPPED
-        tables = finance.read_layer(spark, lake.curated, finance.CURATED)
+        tables = {name: publish.read_published(spark, lake.published, name) for name in finance.CURATED}
         print(warehouse.load_tables(spark, tables, finance.CURATED, args.dataset))
     elif args.job == "plan":
         targets = {name: f"{lake.published}/{name}" for name in finance.CURATED}
         publish.plan(spark, lake.curated, targets).show(truncate=False)
     elif args.job == "profile":
-        changes.raw_profile(read_raw_log(spark, lake.raw, finance.RAW_NAMES)).orderBy(
-            "scope", "table", "ingest_date"
-        ).show(200, truncate=False)
+        profile = changes.raw_profile(read_raw_log(spark, lake.raw, finance.RAW_NAMES))
+        for row in profile.orderBy("scope", "table", "ingest_date").toLocalIterator():
+            print(*row, sep="\t")
     else:
         _summary(spark, lake)
     return DONE
 
 
 def _summary(spark: SparkSession, lake: finance.Lake) -> None:
-    """Where outliers concentrate, the largest of them, and the last months of every owner."""
+    """A screen of each: where outliers concentrate, the largest of them, the owners' last months."""
     tables = finance.read_layer(spark, lake.curated, finance.CURATED)
     found = tables["anomalias"]
     outliers.hotspots(found, ["usuario_id", "destino"], 8).show(truncate=False)

@@ -140,17 +140,26 @@ def state_of(log: DataFrame, table: str, mode: str = "strict") -> DataFrame:
     return changes.current_state(log, SOURCE[table], mode, lineage=LINEAGE)
 
 
-def rebuild_state(log: DataFrame, root: str, mode: str = "strict", parallel: int = 4) -> dict[str, int]:
+def rebuild_state(
+    log: DataFrame, root: str, mode: str = "strict", parallel: int = 4, quarantine: str | None = None
+) -> dict[str, int]:
     """Rewrite the state of every captured table; returns the rows of each.
 
     Each table reads its own partition of the log. The writes are independent jobs, several
-    at a time, so that a small table does not wait for a large one.
+    at a time, so that a small table does not wait for a large one. With ``quarantine``, the events
+    that can't become state are written to that folder first and counted as well, as
+    ``quarantined <table>``: none is lost unseen, also when a bad value then stops the run.
     """
     def write(table: str) -> int:
         return write_layer(state_of(log, table, mode), f"{root}/{table}")
 
+    def set_aside(table: str) -> int:
+        return write_layer(changes.quarantined(log, SOURCE[table]), f"{quarantine}/{table}")
+
     with ThreadPoolExecutor(parallel) as pool:
-        return dict(zip(SOURCE, pool.map(write, SOURCE)))
+        aside = dict(zip(SOURCE, pool.map(set_aside, SOURCE))) if quarantine else {}
+        kept = dict(zip(SOURCE, pool.map(write, SOURCE)))
+    return kept | {f"quarantined {table}": n for table, n in aside.items()}
 
 
 def read_layer(spark: SparkSession, root: str, specs: Mapping[str, TableSpec]) -> dict[str, DataFrame]:
@@ -363,6 +372,11 @@ class Lake:
     curated: str
     published: str
 
+    @property
+    def quarantine(self) -> str:
+        """Events that could not become state, per table."""
+        return f"{self.state}_quarantine"
+
 
 def land(messages: DataFrame, prefix: str, lake: Lake) -> None:
     """Land the messages of the captured tables under the raw names."""
@@ -392,7 +406,7 @@ def batch_steps(spark: SparkSession, lake: Lake) -> list[Step]:
         return read_layer(spark, lake.curated, specs)
 
     def build_state() -> dict[str, int]:
-        return rebuild_state(read_raw_log(spark, lake.raw, RAW_NAMES), lake.state)
+        return rebuild_state(read_raw_log(spark, lake.raw, RAW_NAMES), lake.state, quarantine=lake.quarantine)
 
     def build(specs: Mapping[str, TableSpec]) -> dict[str, int]:
         tables = curated(state())

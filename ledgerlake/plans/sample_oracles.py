@@ -402,6 +402,14 @@ FROM order_rows WHERE id % 18 = 3""",
   CASE ("offset" - CAST("key" AS BIGINT) * 16) WHEN 5 THEN 'unreadable envelope' WHEN 6 THEN 'unreadable envelope'
        WHEN 7 THEN 'missing key' ELSE 'bad value: amount' END AS reason, value FROM ({_DAMAGE})""",
     ),
+    "state_with_quarantine": _with(
+        *_ORDER_LOG,
+        body=f"""SELECT 'usable' AS fate, count(*) AS n FROM order_log WHERE value IS NOT NULL
+UNION ALL
+SELECT CASE "offset" - CAST("key" AS BIGINT) * 16 WHEN 5 THEN 'unreadable envelope' WHEN 6 THEN 'unreadable envelope'
+       WHEN 7 THEN 'missing key' ELSE 'bad value: amount' END AS fate, count(*) AS n
+FROM ({_DAMAGE}) GROUP BY 1""",
+    ),
     "latest_state": _with(*_ORDER_LOG, "state", body=f"SELECT {_STATE_COLUMNS} FROM state"),
     "latest_state_lenient": _with(
         *_ORDER_LOG, "damaged_log", "lenient_state", body=f"SELECT {_STATE_COLUMNS} FROM lenient_state"

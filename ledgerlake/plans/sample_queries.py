@@ -153,6 +153,16 @@ def change_quarantine(spark, folder):
     return bad.select("offset", "partition", "reason", "value")
 
 
+@query
+def state_with_quarantine(spark, folder):
+    """Every event by what becomes of it: usable for the state, or the reason it is set aside."""
+    log, place = t.damaged_log(spark, folder), ["offset", "partition", "log_ts"]
+    events = changes.parse_changes(log, t.ORDERS_LEDGER).select(*place)
+    aside = changes.quarantined(log, t.ORDERS_LEDGER).select(*place, "reason")
+    fate = F.coalesce("reason", F.lit("usable")).alias("fate")
+    return events.join(aside, place, "left").groupBy(fate).agg(F.count("*").alias("n"))
+
+
 def _state(spark, folder, mode="strict"):
     log = t.order_log(spark, folder) if mode == "strict" else t.damaged_log(spark, folder)
     return changes.current_state(log, t.ORDERS_LEDGER, mode)

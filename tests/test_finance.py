@@ -341,7 +341,8 @@ def test_daily_run_end_to_end(spark, folder, lake):
     send(spark, f"{folder}/topics", lake)
     stream = lambda: events.file_events(spark, f"{folder}/topics")
     first_run = finance.daily_run(spark, paths, stream(), "lake.")
-    assert first_run["state"] == {name: len(rows_) for name, rows_ in lake.items()}
+    nothing_aside = {f"quarantined {name}": 0 for name in finance.SOURCE}
+    assert first_run["state"] == {name: len(rows_) for name, rows_ in lake.items()} | nothing_aside
     published = publish.read_published(spark, paths.published, "balance_mensual")
     assert rows(published) == ordered(lakes.balance(lake))
     assert "auth_tokens" not in {r[0] for r in rows(spark.read.parquet(paths.raw), "tabla")}
@@ -363,6 +364,21 @@ def test_daily_run_end_to_end(spark, folder, lake):
     assert finance.has_new_data(spark, paths, spark.createDataFrame([("lake.ingresos", 0, 10_002)], offsets))
 
 
+def test_unreadable_messages_are_set_aside_and_counted(spark, folder, lake):
+    paths = finance.Lake(*(f"{folder}/{n}" for n in ("raw", "checkpoint", "state", "curated", "published")))
+    send(spark, f"{folder}/topics", lake)
+    at = lakes.T0
+    broken = [("lake.ingresos", 0, 90_000 + i, at, b"1", v) for i, v in enumerate([b'{"payload":null}', b"not json"])]
+    spark.createDataFrame(broken, events.MESSAGE).write.mode("append").parquet(f"{folder}/topics")
+    done = finance.daily_run(spark, paths, events.file_events(spark, f"{folder}/topics"), "lake.")["state"]
+    assert done["ingresos"] == len(lake["ingresos"]) and done["quarantined ingresos"] == 2
+    assert sum(n for name, n in done.items() if name.startswith("quarantined")) == 2
+    aside = spark.read.parquet(f"{paths.quarantine}/ingresos")
+    assert rows(aside, "offset", "reason", "value") == [
+        (90_000, "unreadable envelope", '{"payload":null}'), (90_001, "unreadable envelope", "not json"),
+    ]
+
+
 def test_a_failing_gate_stops_the_run(spark, folder, lake):
     paths = finance.Lake(*(f"{folder}/{n}" for n in ("raw", "checkpoint", "state", "curated", "published")))
     bad = {**lake, "egresos": [dict(lake["egresos"][0], monto=Decimal("-1.00")), *lake["egresos"][1:]]}

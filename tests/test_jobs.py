@@ -30,7 +30,7 @@ def test_jobs_layer_by_layer(spark, folder, lake, capsys):
     found = publish.read_published(spark, f"{folder}/out", "balance_mensual")
     assert rows(found) == ordered(lakes.balance(lake))
     assert jobs.main(["load", *base]) == jobs.SKIPPED
-    assert jobs.main(["load", *base, "--dataset", "bad-name"]) == jobs.FAILED
+    assert jobs.main(["load", *base, "--published", f"{folder}/out", "--dataset", "bad-name"]) == jobs.FAILED
     assert jobs.main(["profile", *base]) == jobs.DONE
     assert jobs.main(["summary", *base]) == jobs.DONE
     assert "75000.00" in capsys.readouterr().out
