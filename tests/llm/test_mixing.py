@@ -94,3 +94,26 @@ def test_odd_rows_and_empty_tables(spark, odd, nothing, corpus):
     nulls = spark.createDataFrame([(None, 1, 0), (1, None, 0), (1, 1, None), (1, 7, 0)], labels.schema)
     _, even = m.fit_mixture(odd, nulls)
     assert all(np.allclose(r.posterior, 0.25) for r in even.collect())
+
+
+def test_rare_toxic_words_of_small_languages_are_held_out_recalled(spark):
+    """Each toxic word of a small language stands in fewer than 2 percent of the labelled texts."""
+    draw = random.Random(11)
+    rows = []
+    for language, count in (("en", 900), ("de", 120), ("fr", 120), ("es", 120)):
+        plain = [f"{language}word{i}" for i in range(300)]
+        bad = [f"{language}bad{i}" for i in range(8)]
+        for _ in range(count):
+            toxic = draw.random() < 0.3
+            tokens = [draw.choice(plain) for _ in range(draw.randrange(30, 90))] + (draw.sample(bad, 3) if toxic else [])
+            draw.shuffle(tokens)
+            rows.append((len(rows), " ".join(tokens), language, toxic))
+    documents = spark.createDataFrame([(i, t) for i, t, _, _ in rows], "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, 1, int(x)) for i, _, _, x in rows if i % 3], "doc_id long, quality int, toxic int")
+    _, scored = m.fit_mixture(documents, labels)
+    judged = {r.doc_id: r.posterior[1] + r.posterior[3] >= 0.5 for r in scored.collect() if r.doc_id % 3 == 0}
+    for language in ("en", "de", "fr", "es"):
+        toxic = [judged[i] for i, _, own, x in rows if i in judged and own == language and x]
+        clean = [judged[i] for i, _, own, x in rows if i in judged and own == language and not x]
+        assert sum(toxic) >= 0.8 * len(toxic), (language, sum(toxic), len(toxic))
+        assert sum(clean) <= 0.1 * len(clean), (language, sum(clean), len(clean))
