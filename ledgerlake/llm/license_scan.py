@@ -7,7 +7,8 @@ words, and a posting says where a word stands in a template.
 1. One pass takes from every text its figures, the places of licence words and the key phrases that
    it holds. What is kept is small; texts are not shuffled.
 2. The document frequency of every licence word is counted over all texts.
-3. Each text looks up its licence words of highest IDF. Postings are intersected by relative
+3. For every template each text looks up those of its words that it holds, of highest IDF first,
+   so that one licence never crowds out another. Postings are intersected by relative
    position: a template lies at one offset where at least two of those rare words agree. Its score
    is the share of its licence words that stand at their place from there, and it is accepted
    from ``least_score`` on when the text holds the template's key phrase.
@@ -74,7 +75,7 @@ _OTHER = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 
 @dataclass(frozen=True)
 class Lookup:
-    """Rare words looked up per text, rare words that must agree and least score."""
+    """Rare words looked up per text and template, rare words that must agree and least score."""
 
     rare: int = 8
     agree: int = 2
@@ -158,26 +159,35 @@ def figures(documents: DataFrame, key: str = "doc_id", text: str = "text") -> Da
 def found_templates(rows: DataFrame, lookup: Lookup = Lookup()) -> DataFrame:
     """Accepted templates per text: key, text_hash, label, score."""
     spark = rows.sparkSession
-    postings = F.broadcast(  # fixed size: the templates above
-        spark.createDataFrame(_postings(), "template int, label string, phrase string, word string, at int, size int")
-    )
     holders = rows.where(F.size("hits") > 0).select("key", "text_hash", "hits", "phrases")
     seen = holders.select(F.explode(F.array_distinct(F.transform("hits", lambda h: h["word"]))).alias("word"))
     frequency = seen.groupBy("word").agg(F.count("*").alias("df"))
-    total = rows.count()
     idf = {r.word: r.df for r in frequency.collect()}  # at most the licence words
-    rarity = F.create_map(*[x for w, df in sorted(idf.items()) for x in (F.lit(w), F.lit(df / (1 + total)))]) if idf else None
-    if rarity is None:
+    if not idf:
         return rows.select("key", "text_hash", F.lit("").alias("label"), F.lit(0.0).alias("score")).limit(0)
-    ranked = F.array_sort(
-        F.transform(F.array_distinct(F.transform("hits", lambda h: h["word"])), lambda w: F.named_struct(F.lit("df"), rarity[w], F.lit("word"), w))
+    # The words of each template by IDF, and the place of each among them.
+    ranked = [sorted({w for w in notice.split() if w in idf and w not in COMMON}, key=lambda w: (idf[w], w)) for _, _, notice in TEMPLATES]
+    table = [(*row, ranked[row[0]].index(row[3])) for row in _postings() if row[3] in idf]
+    postings = F.broadcast(  # fixed size: the templates above
+        spark.createDataFrame(table, "template int, label string, phrase string, word string, at int, size int, rank int")
     )
-    rare = F.transform(F.slice(ranked, 1, lookup.rare), lambda x: x["word"])
+    held = F.array_distinct(F.transform("hits", lambda h: h["word"]))
+
+    def last_rank(number: int) -> Column:
+        """Rank of the last word that the text looks up for a template."""
+        words = _array(ranked[number]) if ranked[number] else F.array().cast("array<string>")
+        own = F.slice(F.filter(words, lambda w: F.array_contains("held", w)), 1, lookup.rare)
+        place = F.array_position(words, F.element_at(own, -1)).cast("int") - 1
+        return F.when(F.array_contains("phrases", TEMPLATES[number][1]) & (F.size(own) > 0), place)
+
     # Written, so that the rare words are found once per text and not once per place.
-    looked_up = materialise(holders.select("key", "text_hash", "phrases", rare.alias("rare"), "hits"), "licence-lookups")
-    placed = looked_up.select("key", "text_hash", "phrases", "rare", F.explode("hits").alias("hit"))
-    placed = placed.select("key", "text_hash", "phrases", F.col("hit.word").alias("word"), F.col("hit.place").alias("place"), F.array_contains("rare", F.col("hit.word")).alias("is_rare"))
+    looked_up = holders.withColumn("held", held)
+    looked_up = looked_up.select("key", "text_hash", "phrases", F.array(*map(last_rank, range(len(TEMPLATES)))).alias("lasts"), "hits")
+    looked_up = materialise(looked_up, "licence-lookups")
+    placed = looked_up.select("key", "text_hash", "phrases", "lasts", F.explode("hits").alias("hit"))
+    placed = placed.select("key", "text_hash", "phrases", "lasts", F.col("hit.word").alias("word"), F.col("hit.place").alias("place"))
     lying = placed.join(postings, "word").where(F.array_contains("phrases", F.col("phrase")))
+    lying = lying.withColumn("is_rare", F.col("rank") <= F.get("lasts", F.col("template")))
     lying = lying.select("key", "text_hash", "template", "label", "size", (F.col("place") - F.col("at")).alias("offset"), "at", "is_rare")
     # Twice the same place comes from repeated rows only; places of one template are few.
     agreed = lying.groupBy("key", "text_hash", "template", "label", "size", "offset", "at").agg(F.max("is_rare").alias("is_rare"))

@@ -50,5 +50,14 @@ def test_templates_are_found_by_place(spark):
     assert scores[1] == 1.0 and 0.7 <= scores[7] < 1.0 and scores[3] == 0.0
 
 
+def test_no_licence_crowds_out_another(spark):
+    notices = [notice for _, _, notice in s.TEMPLATES]
+    some = "Released under the MIT License. Licensed under the Apache License, Version 2.0. All rights reserved. " + notices[6] + ". " + notices[9]
+    frame = spark.createDataFrame([(1, ".\nfiller ".join(notices)), (2, some)], "doc_id long, text string")
+    got = {r.doc_id: set(r.labels.split(",")) for r in s.scan(frame).collect()}
+    assert got[1] == {label for label, _, _ in s.TEMPLATES}
+    assert {"mit", "apache-2.0", "cc-by-nc", "gpl", "reserved"} <= got[2]
+
+
 def test_empty_table(nothing):
     assert s.scan(nothing).collect() == []
