@@ -4,7 +4,8 @@ Patterns are searched leftmost and without overlap, each kind for itself. On top
 maximal run of key characters is a candidate: a window slides over it and the Shannon
 entropy of its characters is kept up to date from the counts that one step changes. Windows
 at or above the threshold of the candidate's character class are joined to spans of kind
-``entropy``. A candidate on the allow list, or one that a pattern already covers, adds none.
+``entropy``. What a pattern covers and what the allow list names (see ``allowed_parts``) is cut
+out first, so it takes nothing else of its candidate with it; the rest is judged piece by piece.
 
 Nothing is shuffled; a text is scanned whole, in linear time.
 
@@ -30,12 +31,20 @@ ASSIGN = re.compile(r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*[
 ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 HEX = re.compile(r"[0-9a-f]{32,}")
 CANDIDATE = re.compile(r"[A-Za-z0-9+/=_-]{20,}")
-ALLOWED = (
-    re.compile(r"[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}", re.I),  # UUID
-    re.compile(r"example|sample|placeholder|changeme|your[_-]|dummy|xxxx", re.I),
-    re.compile(r"^sha(1|256|384|512)-"),  # content digests of public files
-    re.compile(r"^/|//"),  # paths
+# Allow list: public identifiers and content digests at their full length, in base64 or hexadecimal.
+UUID = re.compile(r"(?<![0-9A-Za-z])[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}(?![0-9A-Za-z])", re.I)
+_SIZES = (("1", "27}=", 40), ("256", "43}=", 64), ("384", "64}", 96), ("512", "86}==", 128))
+DIGEST = re.compile(
+    r"(?<![0-9A-Za-z])(?:"
+    + "|".join(f"sha{n}-(?:[A-Za-z0-9+/]{{{b}|[0-9a-f]{{{h}}})" for n, b, h in _SIZES)
+    + r")(?![0-9A-Za-z+/=])"
 )
+# Placeholder words anywhere and standing for themselves, the start of a file path, and the host after "//".
+PLACEHOLDER = re.compile(r"example|sample|placeholder|changeme|your[_-]|dummy|xxxx", re.I)
+NAMED = re.compile(r"(?<![0-9A-Za-z])(?:(?:example|sample|placeholder)s?|changeme|your|dummy|x{4,})(?![0-9A-Za-z])", re.I)
+PATH = re.compile(r"/[a-z][a-z_-]+/")
+HOST = re.compile(r"//[a-z][a-z0-9_-]*(?=/|$)")
+SEGMENT = re.compile(r"[^/]+")
 KINDS = ("assign", "access", "hex", "entropy")
 
 _HEX_ONLY = re.compile(r"[0-9a-fA-F]+")
@@ -97,22 +106,68 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return found
 
 
+def allowed_parts(value: str, longest: int) -> list[tuple[int, int]]:
+    """Parts of a candidate that the allow list names.
+
+    Those are whole UUIDs and digests, a host after ``//``, the segments of a file path and any
+    segment (between slashes) with a placeholder word standing for itself. A segment above ``longest`` characters is no name and
+    stays: a key is not lost by a few characters that fit by chance.
+    """
+    parts = [m.span() for pattern in (UUID, DIGEST, HOST) for m in pattern.finditer(value)]
+    path = PATH.match(value) is not None
+    if path or NAMED.search(value):
+        for m in SEGMENT.finditer(value):
+            if m.end() - m.start() <= longest and (path or NAMED.search(m.group())):
+                parts.append(m.span())
+    return parts
+
+
+def _pieces(start: int, end: int, taken: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """What the parts taken leave of a range."""
+    left = []
+    for a, b in sorted(taken):
+        if a > start:
+            left.append((start, min(a, end)))
+        start = max(start, b)
+        if start >= end:
+            return left
+    return [*left, (start, end)]
+
+
+def _windows_without_placeholder(value: str, size: int, bits: float) -> list[tuple[int, int]]:
+    """Spans of the windows that hold no whole placeholder word, joined."""
+    spans: list[tuple[int, int]] = []
+    at = 0
+    for first, last in [*(m.span() for m in PLACEHOLDER.finditer(value)), (len(value), len(value) + 1)]:
+        for a, b in entropy_spans(value[at : last - 1], size, bits):
+            if spans and at + a <= spans[-1][1]:
+                spans[-1] = (spans[-1][0], max(spans[-1][1], at + b))
+            else:
+                spans.append((at + a, at + b))
+        at = first + 1
+    return spans
+
+
 def method_spans(text: str, base: list[tuple[int, int, str]], windows: Windows) -> list[tuple[int, int, str]]:
-    """Spans of high entropy that no pattern covers and no allow-list entry suppresses."""
+    """Spans of high entropy in what the patterns and the allow list leave of the candidates."""
     found = []
+    least = min(windows.hex_size, windows.text_size)
     for m in CANDIDATE.finditer(text):
-        value, at = m.group(), m.start()
-        if any(a.search(value) for a in ALLOWED):
-            continue
-        if _HEX_ONLY.fullmatch(value):
-            if value.isdigit():
-                continue
-            spans = entropy_spans(value, windows.hex_size, windows.hex_bits)
-        else:
-            if not (any(c.isdigit() for c in value) and any(c.isalpha() for c in value)):
+        taken = [(at + m.start(), end + m.start()) for at, end in allowed_parts(m.group(), 2 * windows.text_size)]
+        taken += [(s, e) for s, e, _ in base if s < m.end() and m.start() < e]
+        for at, end in _pieces(*m.span(), taken):
+            value = text[at:end]
+            if len(value) < least:
                 continue
-            spans = entropy_spans(value, windows.text_size, windows.text_bits)
-        found += [(at + a, at + b, "entropy") for a, b in spans if not any(s < at + b and at + a < e for s, e, _ in base)]
+            if _HEX_ONLY.fullmatch(value):
+                if value.isdigit():
+                    continue
+                size, bits = windows.hex_size, windows.hex_bits
+            else:
+                if not (any(c.isdigit() for c in value) and any(c.isalpha() for c in value)):
+                    continue
+                size, bits = windows.text_size, windows.text_bits
+            found += [(at + a, at + b, "entropy") for a, b in _windows_without_placeholder(value, size, bits)]
     return found
 
 

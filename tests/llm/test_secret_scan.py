@@ -48,6 +48,31 @@ def test_allow_list_and_base_suppress_entropy():
     assert s.method_spans(text, s.base_spans(text), s.Windows()) == []
 
 
+def test_allow_list_takes_only_what_it_names():
+    draw = random.Random(9)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    for size in (64, 400, 4000):
+        for _ in range(60):
+            value = "".join(draw.choice(letters) for _ in range(size))
+            value = draw.choice(["", "/"]) + value[: size // 2] + draw.choice(["", "//", "xxxx", "Sample"]) + value[size // 2 :]
+            covered = {i for a, b, _ in s.method_spans(value, [], s.Windows()) for i in range(a, b)}
+            assert len(covered) >= 0.6 * len(value), value
+    key = "q7Zt9LmX2vKp4RwB8nYc5HdJ"
+    uuid, digest = "123e4567-e89b-12d3-a456-426614174000", "sha256-" + "q7Zt9LmX2vKp4RwB8nYc5HdJ3sFgT6uEaWx1Qo0iPlk" + "="
+    for text in ("//user/" + key, "docs/examples/" + key, uuid + "/" + key, key + "/" + uuid, digest + "/" + key):
+        spans = s.method_spans(text, [], s.Windows())
+        assert len(spans) == 1 and key in text[spans[0][0] : spans[0][1]], (text, spans)
+    assert s.method_spans(digest, [], s.Windows()) == []
+
+
+def test_base_span_takes_only_its_own_part():
+    key = "q7Zt9LmX2vKp4RwB8nYc5HdJ"
+    text = "AKIA" + "ABCDEFGH12345678" + "/" + key
+    base = s.base_spans(text)
+    assert base == [(0, 20, "access")]
+    assert s.method_spans(text, base, s.Windows()) == [(20, len(text), "entropy")]
+
+
 def test_rows(spark, odd, nothing):
     frame = odd.select("doc_id", "text").unionAll(spark.createDataFrame([(99, 'é "token": "abcdefgh" AKIA' + "A" * 12)], "doc_id long, text string"))
     rows = s.scan(frame).collect()
