@@ -42,11 +42,12 @@ _LABEL = "label="
 
 @dataclass(frozen=True)
 class Mining:
-    """Least share and least number of labelled rows with the tokens and the label, least
-    confidence, and least lift: how much likelier the label must be than without the tokens.
+    """Least share (none by default, so that rare hosts get rules in a table of any size) and least
+    number of labelled rows with the tokens and the label, least confidence, and least lift: how
+    much likelier the label must be than without the tokens.
     """
 
-    support: float = 0.01
+    support: float = 0.0
     rows: int = 20
     confidence: float = 0.8
     lift: float = 1.1
@@ -94,7 +95,8 @@ def mine_rules(labelled: DataFrame, mining: Mining = Mining()) -> DataFrame:
     count = rows.count()
     if not count:
         return rows.sparkSession.createDataFrame([], "tokens array<string>, verdict string, confidence double, lift double, n_rows long")
-    support = max(mining.support, min(1.0, mining.rows / count))
+    # The number of rows decides; half a row less, so that no rounding takes a rule away.
+    support = max(mining.support, min(1.0, (mining.rows - 0.5) / count))
     found = FPGrowth(itemsCol="items", minSupport=support, minConfidence=mining.confidence).fit(rows)
     label = F.element_at("consequent", 1)
     rules = found.associationRules.where(F.startswith(label, F.lit(_LABEL)))

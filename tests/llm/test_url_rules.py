@@ -74,6 +74,15 @@ def test_mined_rules_decide_where_no_given_one_fits(spark):
     assert got == sorted([(1, "block", True), (1, "block", True), (2, "allow", True), (3, "allow", False), (None, "allow", False)], key=repr)
 
 
+def test_a_rare_host_is_blocked_in_a_large_label_table(spark):
+    rare = [(f"http://casino.example.net/win/{n}", "block") for n in range(25)]
+    other = [(f"http://news{n % 7}.example.net/story/{n}", "allow") for n in range(6000)]
+    labelled = spark.createDataFrame(rare + other, "url string, label string")
+    pages = spark.createDataFrame([(1, "http://casino.example.net/win/99"), (2, "http://news1.example.net/story/1")], "page_id long, url string")
+    got = {r.page_id: (r.verdict, r.mined_rule) for r in u.judge(pages, labelled).collect()}
+    assert got[1][0] == "block" and got[1][1] is not None and got[2][0] == "allow"
+
+
 def test_empty_tables(spark):
     pages = spark.createDataFrame([], "page_id long, url string")
     assert u.judge(pages, spark.createDataFrame(list(labelled_urls()), "url string, label string")).collect() == []
