@@ -40,19 +40,35 @@ class Workspace:
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.folder, self.count = spark, scratch_dir(spark, name), 0
+        self.latest: dict[str, str] = {}
 
     def keep(self, frame: DataFrame, name: str) -> DataFrame:
         """The frame as a table of the workspace."""
         self.count += 1
-        path = f"{self.folder}/{self.count:02d}-{name}"
+        path = self.latest[name] = f"{self.folder}/{self.count:02d}-{name}"
         frame.write.parquet(path)
         return self.spark.read.schema(frame.schema).parquet(path)
 
+    def renew(self, frame: DataFrame, name: str) -> DataFrame:
+        """The frame as the table of that name; the one before goes once the new one stands."""
+        before = self.latest.pop(name, None)
+        table = self.keep(frame, name)
+        if before:
+            self._delete(before)
+        return table
+
+    def drop(self, name: str) -> None:
+        """Delete the latest table of that name, which nothing still to be computed reads."""
+        self._delete(self.latest.pop(name))
+
+    def _delete(self, folder: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
     def result(self, frame: DataFrame, name: str) -> DataFrame:
         """The frame as a table of its own; the workspace goes."""
         done = materialise(frame, name)
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        self._delete(self.folder)
         return done
 
 

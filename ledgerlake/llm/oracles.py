@@ -6,6 +6,8 @@ encoded shards; tests hold those against plain computations.
 
 from __future__ import annotations
 
+from ledgerlake.llm.centroid_clusters import Clustering
+from ledgerlake.llm.part_codes import Coding
 from ledgerlake.llm.quality_rules import BOILERPLATE, MENU_ITEMS, SEPARATORS, Limits
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -128,9 +130,84 @@ SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least.m AS component_id
 FROM documents d LEFT JOIN sizes USING (doc_id) JOIN (SELECT doc_id, min(other) AS m FROM reach GROUP BY 1) AS least USING (doc_id)
 """
 
+
+
+def _finite(scale: int, more: str = "true") -> str:
+    """Kept rows of embeddings, numbered, with their integer vectors."""
+    return f"""kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, *, list_transform(embedding, lambda x: CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND {more} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+)"""
+
+
+def _clusters(how: Clustering = Clustering()) -> str:
+    gap = f"list_sum(list_transform(range(1, {how.size + 1}), lambda i: (kept.v[i] - c.v[i]) * (kept.v[i] - c.v[i])))"
+    steps = []
+    for n in range(how.rounds + 1):
+        steps.append(f"""a{n} AS MATERIALIZED (
+  SELECT rid, arg_min(struct_pack(k := c.k, d := {gap}), struct_pack(d := {gap}, k := c.k)) AS best FROM kept, c{n} c GROUP BY rid
+)""")
+        if n < how.rounds:
+            steps.append(f"""s{n} AS (
+  SELECT best.k AS k, j, CAST(floor(sum(v[j]) / count(*)) AS BIGINT) AS m FROM a{n} JOIN kept USING (rid), range(1, {how.size + 1}) t(j) GROUP BY 1, 2
+),
+c{n + 1} AS MATERIALIZED (
+  SELECT c.k, coalesce(m.v, c.v) AS v FROM c{n} c LEFT JOIN (SELECT k, list(m ORDER BY j) AS v FROM s{n} GROUP BY k) m USING (k)
+)""")
+    return f"""
+WITH {_finite(how.scale, f"len(embedding) = {how.size}")},
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h, v) - 1 AS k, v FROM (
+    SELECT sha256('{how.seed}' || vec_id) AS h, v FROM kept WHERE vec_id IS NOT NULL ORDER BY h, v LIMIT {how.clusters}
+  )
+),
+{", ".join(steps)},
+done AS (SELECT vec_id, best.k AS k, best.d AS d FROM a{how.rounds} JOIN kept USING (rid))
+SELECT vec_id, done.k::INTEGER AS cluster, d::BIGINT AS distance, (sum(d) OVER (PARTITION BY done.k))::BIGINT AS cluster_inertia,
+       (sum(d) OVER ())::BIGINT AS inertia, sha256(array_to_string(c{how.rounds}.v, ',')) AS centroid_sha256
+FROM done JOIN c{how.rounds} ON c{how.rounds}.k = done.k
+"""
+
+
+def _codes(how: Coding = Coding()) -> str:
+    steps = []
+    for n in range(how.rounds + 1):
+        steps.append(f"""d{n} AS (
+  SELECT u.rid, u.p, c.e, list_sum(list_transform(range(1, len(u.x) + 1), lambda i: (u.x[i] - c.x[i]) * (u.x[i] - c.x[i]))) AS d
+  FROM parts u JOIN c{n} c ON c.p = u.p
+),
+a{n} AS MATERIALIZED (SELECT rid, p, arg_min(e, struct_pack(d := d, e := e)) AS e, min(d) AS d FROM d{n} GROUP BY 1, 2)""")
+        if n < how.rounds:
+            steps.append(f"""s{n} AS (
+  SELECT p, e, j, CAST(floor(sum(x[j]) / count(*)) AS BIGINT) AS m
+  FROM a{n} JOIN parts USING (rid, p), (SELECT unnest(range(1, (SELECT max(len(x)) FROM parts) + 1)) AS j) GROUP BY 1, 2, 3
+),
+c{n + 1} AS MATERIALIZED (
+  SELECT c.p, c.e, coalesce(m.x, c.x) AS x
+  FROM c{n} c LEFT JOIN (SELECT p, e, list(m ORDER BY j) AS x FROM s{n} GROUP BY 1, 2) m ON m.p = c.p AND m.e = c.e
+)""")
+    return f"""
+WITH {_finite(how.scale)},
+parts AS MATERIALIZED (
+  SELECT rid, vec_id, label, p, v[p * len(v) // {how.parts} + 1:(p + 1) * len(v) // {how.parts}] AS x FROM kept, range({how.parts}) t(p)
+),
+c0 AS MATERIALIZED (
+  SELECT p, e, x FROM (SELECT p, x, row_number() OVER (PARTITION BY p ORDER BY vec_id NULLS LAST, rid) - 1 AS e FROM parts) WHERE e < {how.entries}
+),
+{", ".join(steps)},
+codes AS (SELECT rid, string_agg(printf('%02x', e), '' ORDER BY p) AS code, sum(d) AS error FROM a{how.rounds} GROUP BY rid),
+digest AS (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY p, e)) AS h FROM c{how.rounds})
+SELECT vec_id, code, error::BIGINT AS error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, h AS codebooks_sha256
+FROM codes JOIN kept USING (rid), digest
+"""
+
+
 ORACLES: dict[str, str] = {
     "op1_line_dedup": _LINES,
     "op2_quality_rules": _quality(),
     "op5_warc": _ARCHIVES,
     "op9_ngram_join": _COMPONENTS,
+    "op12_centroid_clusters": _clusters(),
+    "op13_part_codes": _codes(),
 }

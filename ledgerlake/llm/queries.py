@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.llm import (
+    centroid_clusters,
     license_scan,
     line_dedup,
     mixing,
     ngram_join,
+    part_codes,
     quality_rules,
     secret_scan,
     string_tiling,
@@ -96,6 +98,16 @@ def shards(spark: SparkSession, folder: str) -> DataFrame:
     return index.select("slot", "shard", "position", "n_tokens", "crc32", "doc_ids")
 
 
+def clusters(spark: SparkSession, folder: str) -> DataFrame:
+    """Cluster and distance of every embedding of 64 components, inertias and centroid digests."""
+    return centroid_clusters.summarise(read_table(spark, folder, "embeddings.parquet"))
+
+
+def codes(spark: SparkSession, folder: str) -> DataFrame:
+    """Code and error of every embedding, the error of its label and the digest of the codebooks."""
+    return part_codes.summarise(read_table(spark, folder, "embeddings.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": lines,
     "op2_quality_rules": quality,
@@ -107,4 +119,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": mixture,
     "op9_ngram_join": ngram_components,
     "op10_token_shards": shards,
+    "op12_centroid_clusters": clusters,
+    "op13_part_codes": codes,
 }
