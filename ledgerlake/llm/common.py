@@ -65,10 +65,14 @@ class Workspace:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
+    def close(self) -> None:
+        """Delete all tables of the workspace."""
+        self._delete(self.folder)
+
     def result(self, frame: DataFrame, name: str) -> DataFrame:
         """The frame as a table of its own; the workspace goes."""
         done = materialise(frame, name)
-        self._delete(self.folder)
+        self.close()
         return done
 
 

@@ -18,6 +18,7 @@ from ledgerlake.llm import (
     secret_scan,
     string_tiling,
     token_shards,
+    toxic_spans,
     url_rules,
     warc,
 )
@@ -98,6 +99,11 @@ def shards(spark: SparkSession, folder: str) -> DataFrame:
     return index.select("slot", "shard", "position", "n_tokens", "crc32", "doc_ids")
 
 
+def toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Score, verdict and offending spans of every document."""
+    return toxic_spans.judge(_documents(spark, folder), read_table(spark, folder, "labels.parquet"))
+
+
 def clusters(spark: SparkSession, folder: str) -> DataFrame:
     """Cluster and distance of every embedding of 64 components, inertias and centroid digests."""
     return centroid_clusters.summarise(read_table(spark, folder, "embeddings.parquet"))
@@ -119,6 +125,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": mixture,
     "op9_ngram_join": ngram_components,
     "op10_token_shards": shards,
+    "op11_toxicity": toxicity,
     "op12_centroid_clusters": clusters,
     "op13_part_codes": codes,
 }
