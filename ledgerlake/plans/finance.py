@@ -9,23 +9,27 @@ from __future__ import annotations
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from datetime import datetime, timedelta, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.operators import changes, outliers, quality, reconcile, reports, rollup
-from ledgerlake.operators.backlog import consumed_offsets, offset_backlog
+from ledgerlake.operators.backlog import landed_offsets, offset_backlog
 from ledgerlake.plans import recompute
 from ledgerlake.plans.steps import Step, run_steps
-from ledgerlake.sinks import publish
+from ledgerlake.sinks import publish, segments
 from ledgerlake.sinks.layers import write_layer
-from ledgerlake.sources.tables import read_raw_log
+from ledgerlake.sources.tables import neutral_names, read_raw_log
 from ledgerlake.spec import TableSpec
-from ledgerlake.streaming import landing
+from ledgerlake.streaming import landing, progress
 
 # Names in the raw layer and the lineage columns of the state layer.
 RAW_NAMES = {"table": "tabla", "ingest_date": "fecha", "log_ts": "kafka_ts"}
 LINEAGE = ("_ultimo_offset", "_ultima_op")
+RAW_LAYOUT = (RAW_NAMES["table"], RAW_NAMES["ingest_date"])
+RUN_MARK = "stream STRING, batch BIGINT, completed_at TIMESTAMP"
 
 # Captured tables, with the type each column has in the state layer.
 _AUDIT = "creado_en TIMESTAMP, actualizado_en TIMESTAMP, eliminado_en TIMESTAMP"
@@ -93,6 +97,8 @@ NO_ID = 0
 NO_CATEGORY, NO_METHOD = "Sin destino", "Sin tipo"
 FENCES = outliers.Fences(mild_name="atipico", extreme_name="extremo")
 SEVERITY_COLOURS = {"extremo": "#C62828", "atípico": "#F9A825", "atipico": "#F9A825"}
+# Columns that never enter the lake.
+NOT_LANDED = {"usuarios": ("password_hash",)}
 FREE_TEXT = ("descripcion", "nombre", "apellido_p", "apellido_m", "correo")
 # Names of the outlier columns in the curated table.
 _OUTLIER_NAMES = {
@@ -372,24 +378,77 @@ class Lake:
     curated: str
     published: str
 
+    @property
+    def completed(self) -> str:
+        """Which landed batches a complete run has built."""
+        return f"{self.checkpoint}_completed"
+
     @property
     def quarantine(self) -> str:
         """Events that could not become state, per table."""
         return f"{self.state}_quarantine"
 
 
-def land(messages: DataFrame, prefix: str, lake: Lake) -> None:
-    """Land the messages of the captured tables under the raw names."""
-    rows = landing.landing_rows(messages, prefix, list(SOURCE)).withColumnsRenamed(RAW_NAMES)
-    landing.drain(
-        landing.start_landing(rows, lake.raw, lake.checkpoint, (RAW_NAMES["table"], RAW_NAMES["ingest_date"]))
-    )
+def land(messages: DataFrame, prefix: str, lake: Lake, as_segments: bool = False, files: int = 1) -> None:
+    """Land the messages of the captured tables under the raw names, without the columns that must stay out.
+
+    ``as_segments`` lands batches that can be compacted, at most ``files`` files for a table and date.
+    """
+    rows = landing.exclude_columns(landing.landing_rows(messages, prefix, list(SOURCE)), NOT_LANDED)
+    rows = rows.withColumnsRenamed(RAW_NAMES)
+    if as_segments:
+        landing.drain(landing.start_segment_landing(rows, lake.raw, lake.checkpoint, RAW_LAYOUT, files))
+    else:
+        landing.drain(landing.start_landing(rows, lake.raw, lake.checkpoint, RAW_LAYOUT))
+
 
+def compact_raw(spark: SparkSession, lake: Lake, least: int = 2, keep: timedelta = timedelta(days=1)) -> tuple[str | None, list[str]]:
+    """Put landed segments together and delete those replaced longer ago than ``keep``; both as names."""
+    name = landing.compact(spark, lake.raw, RAW_LAYOUT, least)
+    return name, segments.expire(spark, lake.raw, keep)
 
-def has_new_data(spark: SparkSession, lake: Lake, available: DataFrame) -> bool:
-    """Whether the topics hold messages that have not been landed."""
-    log = read_raw_log(spark, lake.raw, RAW_NAMES)
-    return not offset_backlog(available, consumed_offsets(log)).isEmpty()
+
+def raw_log(spark: SparkSession, lake: Lake) -> DataFrame:
+    """The raw layer under the neutral names, landed as files or as segments."""
+    found = segments.read_segments(spark, lake.raw)
+    return read_raw_log(spark, lake.raw, RAW_NAMES) if found is None else neutral_names(found, RAW_NAMES)
+
+
+def has_new_data(spark: SparkSession, lake: Lake, available: DataFrame, prefix: str = "") -> bool:
+    """Whether topics below the prefix hold messages that no committed batch of the landing covers.
+
+    A landing from files has no offsets in its checkpoint: there the landed rows tell.
+    """
+    landed = progress.committed_offsets(spark, lake.checkpoint)
+    if landed.isEmpty() and progress.committed_batch(spark, lake.checkpoint) is not None:
+        landed = landed_offsets(raw_log(spark, lake))
+    return not offset_backlog(available, landed, landing.topic_pattern(prefix)).isEmpty()
+
+
+def landed_up_to(spark: SparkSession, lake: Lake) -> tuple[str, int] | None:
+    """The landing's id and last committed batch, or nothing."""
+    batch = progress.committed_batch(spark, lake.checkpoint)
+    return None if batch is None else (progress.stream_id(spark, lake.checkpoint) or "", batch)
+
+
+def is_built(spark: SparkSession, lake: Lake, landed: tuple[str, int]) -> bool:
+    """Whether a run that got through all its steps has covered what is landed."""
+    marks = read_marks(spark, lake)
+    return not marks.filter((F.col("stream") == landed[0]) & (F.col("batch") >= landed[1])).isEmpty()
+
+
+def read_marks(spark: SparkSession, lake: Lake) -> DataFrame:
+    try:
+        return spark.read.schema(RUN_MARK).json(lake.completed)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], RUN_MARK)
+
+
+def mark_built(spark: SparkSession, lake: Lake, landed: tuple[str, int]) -> None:
+    mark = spark.createDataFrame([(*landed, datetime.now(timezone.utc))], RUN_MARK)
+    mark.coalesce(1).write.mode("append").json(lake.completed)
 
 
 HIGH_AMOUNTS = {"anomalias": CURATED["anomalias"]}
@@ -406,7 +465,7 @@ def batch_steps(spark: SparkSession, lake: Lake) -> list[Step]:
         return read_layer(spark, lake.curated, specs)
 
     def build_state() -> dict[str, int]:
-        return rebuild_state(read_raw_log(spark, lake.raw, RAW_NAMES), lake.state, quarantine=lake.quarantine)
+        return rebuild_state(raw_log(spark, lake), lake.state, quarantine=lake.quarantine)
 
     def build(specs: Mapping[str, TableSpec]) -> dict[str, int]:
         tables = curated(state())
@@ -432,9 +491,21 @@ def batch_steps(spark: SparkSession, lake: Lake) -> list[Step]:
     ]
 
 
-def daily_run(spark: SparkSession, lake: Lake, messages: DataFrame, prefix: str) -> dict[str, object]:
-    """Land what is new and rebuild the layers above it."""
-    return run_steps([Step("raw", lambda: land(messages, prefix, lake)), *batch_steps(spark, lake)])
+def daily_run(
+    spark: SparkSession, lake: Lake, messages: DataFrame, prefix: str, force: bool = False, as_segments: bool = False
+) -> dict[str, object] | None:
+    """Land what is new and rebuild the layers above it; ``None`` where there is nothing to build.
+
+    Landing reads only what no committed batch covers. If no run that passed all its gates is behind the last batch,
+    the layers are rebuilt, also when nothing landed this time: a run that failed is made up for. ``force`` rebuilds in any case.
+    """
+    land(messages, prefix, lake, as_segments)
+    landed = landed_up_to(spark, lake)
+    if landed is None or (not force and is_built(spark, lake, landed)):
+        return None
+    results = run_steps(batch_steps(spark, lake))
+    mark_built(spark, lake, landed)
+    return results
 
 
 # ---------------------------------------------------------------------------------- reports

@@ -363,12 +363,30 @@ ORACLES = {
         body='SELECT "table", ingest_date, topic, "partition", "offset", epoch_ms(log_ts) AS log_ts, "key", value '
         "FROM full_log",
     ),
-    "stream_landing": """SELECT 'orders_ledger' AS "table", CAST(date_trunc('year', o_orderdate) AS DATE) AS ingest_date,
+    "stream_landing": """SELECT 'orders_ledger' AS "table", CAST(o_orderdate AS DATE) AS ingest_date,
   'lake.ledger.orders_ledger' AS topic, CAST(o_orderkey % 3 AS INTEGER) AS "partition",
-  o_orderkey * 3 AS "offset", epoch_ms(date_trunc('year', o_orderdate)) AS log_ts,
+  o_orderkey * 3 AS "offset", epoch_ms(o_orderdate) AS log_ts,
   CAST(o_orderkey AS VARCHAR) AS "key",
   '{"o_custkey":' || o_custkey || ',"o_orderstatus":"' || o_orderstatus || '","o_orderpriority":"'
     || o_orderpriority || '"}' AS value FROM orders""",
+    "segment_landing": _with(
+        *_FULL_LOG,
+        body='SELECT "table", ingest_date, topic, "partition", "offset", epoch_ms(log_ts) AS log_ts, "key", value '
+        "FROM full_log",
+    ),
+    "ingest_exclusion": _with(
+        *_ORDER_LOG, "damaged_log",
+        body="""SELECT "partition", "offset", CASE WHEN value IS NOT NULL THEN false END AS has_note,
+  CASE WHEN json_valid(value) THEN json_extract_string(value, '$.payload.op') END AS op,
+  CASE WHEN json_valid(value) THEN json_extract_string(value, '$.payload.before.amount') END AS before_amount,
+  CASE WHEN json_valid(value) THEN json_extract_string(value, '$.payload.after.id') END AS after_id,
+  CASE WHEN json_valid(value) THEN json_extract_string(value, '$.payload.after.amount') END AS after_amount,
+  CASE WHEN json_valid(value) THEN json_extract_string(value, '$.payload.after.started_at') END AS after_started_at,
+  CASE WHEN json_valid(value) THEN json_extract_string(value, '$.payload.ts_ms') END AS ts_ms,
+  CASE WHEN NOT json_valid(value) OR value = '{"payload":null}' THEN CAST(length(value) AS VARCHAR) END AS unreadable_length,
+  CASE WHEN NOT json_valid(value) OR value = '{"payload":null}' THEN sha256(value) END AS unreadable_sha256
+FROM damaged_log""",
+    ),
     "stream_change_summary": _with(*_FULL_LOG, body=_CHANGE_COUNTS),
     "ingest_allowlist": _with(*_ORDER_LOG, "state", body="SELECT id, owner_id, amount FROM state"),
     "oplog_accepted": _with("accepted", body="SELECT row_id, seq, op, sent_ms, answered_ms, http FROM accepted"),

@@ -26,10 +26,10 @@ from ledgerlake.operators import (
 from ledgerlake.plans import recompute
 from ledgerlake.plans import sample_tables as t
 from ledgerlake.session import apply_sql_defaults, scratch_dir
-from ledgerlake.sinks import publish
+from ledgerlake.sinks import publish, segments
 from ledgerlake.sources import events, oplog
 from ledgerlake.spec import TableSpec
-from ledgerlake.streaming import counts, landing
+from ledgerlake.streaming import counts, landing, progress
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -67,27 +67,59 @@ def raw_landing(spark, folder):
     return rows.select("table", "ingest_date", "topic", "partition", "offset", *_millis("log_ts"), "key", "value")
 
 
-@query
-def stream_landing(spark, folder):
-    """A stream over the orders, which arrive on the first day of their year, is landed; the
-    stream then runs again and repeats nothing."""
+def _order_stream(spark, folder):
+    """The orders as messages of a stream, each at its own date."""
     schema = t.table(spark, folder, "orders").schema
     stream = events.file_events(spark, folder, schema, glob="orders.parquet")
-    key, instant = F.col("o_orderkey"), F.date_trunc("year", F.col("o_orderdate").cast("timestamp"))
-    message = stream.select(
+    key = F.col("o_orderkey")
+    return stream.select(
         F.lit(f"{t.TOPIC_PREFIX}orders_ledger").alias("topic"),
         (key % 3).cast("int").alias("partition"),
         (key * 3).alias("offset"),
-        instant.alias("timestamp"),
+        F.col("o_orderdate").cast("timestamp").alias("timestamp"),
         key.cast("string").cast("binary").alias("key"),
         F.to_json(F.struct("o_custkey", "o_orderstatus", "o_orderpriority")).cast("binary").alias("value"),
     )
+
+
+def _landed_columns(rows: DataFrame) -> DataFrame:
+    return rows.select("table", "ingest_date", "topic", "partition", "offset", *_millis("log_ts"), "key", "value")
+
+
+@query
+def stream_landing(spark, folder):
+    """A stream over the orders is landed by date; it then runs again and repeats nothing."""
     path, checkpoint = scratch_dir(spark, "landed"), scratch_dir(spark, "landed-checkpoint")
-    rows = landing.landing_rows(message, t.TOPIC_PREFIX)
+    rows = landing.clustered(landing.landing_rows(_order_stream(spark, folder), t.TOPIC_PREFIX))
     for _ in range(2):
         landing.drain(landing.start_landing(rows, path, checkpoint))
-    return spark.read.parquet(path).select(
-        "table", "ingest_date", "topic", "partition", "offset", *_millis("log_ts"), "key", "value"
+    return _landed_columns(spark.read.parquet(path))
+
+
+@query
+def segment_landing(spark, folder):
+    """The log landed in batches by table and year, put together, and read with what came after."""
+    rows = landing.landing_rows(t.messages(t.full_log(spark, folder)), t.TOPIC_PREFIX)
+    rows = rows.withColumn("ingest_year", F.year("ingest_date"))
+    root, layout, late = scratch_dir(spark, "segments"), ("table", "ingest_year"), F.col("ingest_year") >= 2000
+    for number, part in enumerate([~late & (F.col("partition") == 0), ~late & (F.col("partition") != 0), late]):
+        if number == 2:
+            landing.compact(spark, root, layout)
+        landing.land_batch(rows.filter(part), number, root, layout, files=2)
+    return _landed_columns(segments.read_segments(spark, root))
+
+
+@query
+def ingest_exclusion(spark, folder):
+    """Events of the damaged log that land without the note; unreadable texts land as their digest."""
+    rows = landing.landing_rows(t.messages(t.damaged_log(spark, folder)), t.TOPIC_PREFIX)
+    landed = landing.exclude_columns(rows, {t.ORDERS_LEDGER.name: ["NOTE"]})
+    field = lambda path, name: F.get_json_object("value", f"$.{path}").alias(name)
+    return landed.select(
+        "partition", "offset", F.col("value").contains("note").alias("has_note"), field("payload.op", "op"),
+        field("payload.before.amount", "before_amount"), field("payload.after.id", "after_id"),
+        field("payload.after.amount", "after_amount"), field("payload.after.started_at", "after_started_at"),
+        field("payload.ts_ms", "ts_ms"), field("unreadable.length", "unreadable_length"), field("unreadable.sha256", "unreadable_sha256"),
     )
 
 
@@ -101,7 +133,7 @@ def stream_change_summary(spark, folder):
     target = scratch_dir(spark, "counts")
     stream = counts.running_counts(events.file_events(spark, path, schema))
     landing.drain(counts.start_counts(stream, target, scratch_dir(spark, "counts-checkpoint")))
-    return spark.read.parquet(target)
+    return counts.read_counts(spark, target)
 
 
 @query
@@ -239,10 +271,14 @@ def state_profile(spark, folder):
 
 @query
 def offset_backlog(spark, folder):
-    """What had not been read at the end of 1999; owners were never read."""
+    """What the batches committed by the end of 1999 don't cover: owners came later, another topic isn't read."""
     log = t.full_log(spark, folder)
-    read = log.filter((F.col("ingest_date") < "2000-01-01") & (F.col("table") != t.OWNERS.name))
-    return backlog.offset_backlog(backlog.consumed_offsets(log), backlog.consumed_offsets(read))
+    files = t.offset_files(log.filter(F.col("table") != t.OWNERS.name))
+    commits = files.select("batch").filter("batch < 2000")
+    landed = progress.last_committed(progress.offsets_in(files), commits)
+    ends = backlog.landed_offsets(log)
+    foreign = ends.withColumn("topic", F.lit("other.topic"))
+    return backlog.offset_backlog(ends.unionByName(foreign), landed, landing.topic_pattern(t.TOPIC_PREFIX))
 
 
 def _pairs(spark, folder):

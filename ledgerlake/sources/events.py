@@ -15,10 +15,12 @@ def kafka_events(
     starting: str = "earliest",
     max_offsets_per_trigger: int | None = None,
     source: str = "kafka",
+    min_partitions: int | None = None,
 ) -> DataFrame:
     """Stream of every topic that matches the pattern.
 
-    ``starting`` only applies to the first run; later runs resume from the checkpoint. The
+    ``starting`` only applies to the first run; later runs resume from the checkpoint. ``min_partitions`` cuts
+    the offsets of a batch into so many tasks at least, where topics have few partitions. The
     connector jar has to be on the classpath of the session.
     """
     reader = (
@@ -29,6 +31,8 @@ def kafka_events(
     )
     if max_offsets_per_trigger:
         reader = reader.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
+    if min_partitions:
+        reader = reader.option("minPartitions", min_partitions)
     return reader.load()
 
 

@@ -15,11 +15,16 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}")
 
 
+def neutral_names(rows: DataFrame, names: Mapping[str, str] | None = None) -> DataFrame:
+    """Raw-log rows under the neutral column names; ``names`` maps a neutral name to the stored one."""
+    names = names or {}
+    return rows.select(*[F.col(names.get(c, c)).alias(c) for c in RAW_COLUMNS])
+
+
 def read_raw_log(spark: SparkSession, path: str, names: Mapping[str, str] | None = None) -> DataFrame:
     """Raw layer under the neutral column names.
 
     ``names`` maps a neutral name to the name in the files. Renaming keeps partition
     pruning, since the filter on ``table`` is pushed through the projection.
     """
-    names = names or {}
-    return spark.read.parquet(path).select(*[F.col(names.get(c, c)).alias(c) for c in RAW_COLUMNS])
+    return neutral_names(spark.read.parquet(path), names)

@@ -2,9 +2,12 @@ from __future__ import annotations
 
 import json
 import math
+import random
 import statistics
 
 import pytest
+from pyspark.sql import functions as F
+
 from ledgerlake.operators import backlog, latency
 from ledgerlake.sources import oplog
 from tests.conftest import rows
@@ -34,6 +37,33 @@ def test_operations_pair_with_events_by_ordinal(spark):
     assert rows(latency.unmatched(pairs)) == [(2, 1, "create")]
 
 
+@pytest.mark.parametrize("crowd, crowds", [(1000, 10), (3, 1), (3, 2), (3, 10), (0, 10)])
+def test_crowded_rows_pair_as_the_others_do(spark, crowd, crowds):
+    """Rows with 0 to 9 operations and up to 12 events, equal clocks and offsets included, against a plain pairing."""
+    draw = random.Random(crowd * 10 + crowds)
+    calls, messages = [], []
+    for row_id in range(12):
+        calls += [(row_id, seq, "op", draw.randrange(4), 100) for seq in range(row_id % 10)]
+        messages += [(row_id, draw.randrange(6), draw.randrange(3), i, "u", draw.randrange(500), 7) for i in range(draw.randrange(13))]
+    events = spark.createDataFrame(
+        messages, "row_id BIGINT, offset BIGINT, partition INT, i INT, event_op STRING, emitted_ms BIGINT, source_ms BIGINT"
+    ).withColumn("log_ts", F.timestamp_millis("i"))
+    pairs = latency.pair_operations(spark.createDataFrame(calls, OPS), events.drop("i"), crowd, crowds)
+    wanted = []
+    for row_id in range(12):
+        own = sorted(m[1:] for m in messages if m[0] == row_id)
+        for i, call in enumerate(sorted((c[3], c[1]) for c in calls if c[0] == row_id)):
+            wanted.append((row_id, i + 1, own[i][4] - call[0] if i < len(own) else None, i < len(own)))
+    assert rows(pairs, "row_id", "ordinal", "sent_to_emit_ms", "has_event") == sorted(wanted, key=repr)
+
+
+def test_surplus_events_go_before_the_shuffle_and_the_log_is_parsed_once(spark):
+    calls = spark.createDataFrame([(1, 0, "create", 1, 2)], OPS)
+    pairs = latency.pair_operations(calls, latency.live_events(log(spark, emitted("c", 1, 5)), "entries"))
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and plan.count("from_json") == 1 and plan.count("Exchange hashpartitioning") == 2
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 15, 20, 21, 100])
 def test_summary_uses_nearest_rank(spark, n):
     values = [(i * 37) % 101 - 20 for i in range(n)]
@@ -79,9 +109,9 @@ def test_backlog(spark):
     assert rows(backlog.offset_backlog(available, consumed)) == [("a", 1, 3), ("new", 0, 3)]
 
 
-def test_consumed_offsets_come_from_landed_rows(spark):
+def test_landed_offsets_come_from_landed_rows(spark):
     landed = log(spark, (0, 4, "x"), (0, 2, "x"), (1, 0, None))
-    assert rows(backlog.consumed_offsets(landed)) == [("t.entries", 0, 5), ("t.entries", 1, 1)]
+    assert rows(backlog.landed_offsets(landed)) == [("t.entries", 0, 5), ("t.entries", 1, 1)]
 
 
 def test_nothing_to_summarise(spark):

@@ -78,7 +78,7 @@ def test_counts_follow_the_stream(spark, folder):
     def count():
         stream = counts.running_counts(events.file_events(spark, path, schema))
         landing.drain(counts.start_counts(stream, f"{folder}/counts", f"{folder}/check"))
-        return rows(spark.read.parquet(f"{folder}/counts"))
+        return rows(counts.read_counts(spark, f"{folder}/counts"))
 
     log(spark, event("c", after=row(1)), event("c", after=row(2)), None).write.mode("append").parquet(path)
     assert count() == [("entries", "INSERT", 2)]
@@ -108,8 +108,8 @@ def test_kafka_options():
     class Session:
         readStream = Reader()
 
-    settings = events.kafka_events(Session(), "broker:9092", r"lake\..*", max_offsets_per_trigger=1000)
+    settings = events.kafka_events(Session(), "broker:9092", r"lake\..*", max_offsets_per_trigger=1000, min_partitions=64)
     assert settings == {
         "format": "kafka", "kafka.bootstrap.servers": "broker:9092", "subscribePattern": r"lake\..*",
-        "startingOffsets": "earliest", "maxOffsetsPerTrigger": 1000,
+        "startingOffsets": "earliest", "maxOffsetsPerTrigger": 1000, "minPartitions": 64,
     }
