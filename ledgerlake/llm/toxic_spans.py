@@ -4,8 +4,8 @@ Labels are given for documents, not for words. So words are labelled first: in a
 prefix or suffix which toxic texts use far more than others do (log-likelihood ratio and share above thresholds). What is counted are
 distinct contexts (the word with its neighbours), so a text and its copies count once. All words of other texts are labelled clean.
 
-The field has two tags and, for each word, a weight for it, its prefixes and suffixes, its shape and both neighbours (hashed), besides weights
-for the change of tags. It is trained by the gradient of the log-likelihood over windows of words. The marginal of each word, the
+The field has two tags and, for each word, a weight for it, its prefixes and suffixes, its shape and both neighbours (those that occur at least twice in the training windows),
+besides weights for the change of tags. It is trained by the gradient of the log-likelihood over windows of words. The marginal of each word, the
 probability of the toxic tag given the whole text, comes from the forward-backward recursion: products of 2 x 2 matrices that
 are combined in chunks, so that many texts run at once and a very long one takes no more steps than others.
 A text's score is a logistic function of its marginals (their sum and number above a floor, the largest, and their share of words),
@@ -36,9 +36,10 @@ from pyspark.sql import functions as F
 from ledgerlake.llm.common import CACHED_WORDS, Workspace, bounded_batches, mix
 
 WORD = re.compile(r"\w+")
-WEIGHTS = 1 << 20
 PREFIXES, SUFFIXES = range(3, 9), range(3, 6)
 SLOTS = 2 + 1 + len(PREFIXES) + len(SUFFIXES) + 2  # bias and shape, the word and its pieces, both neighbours
+# Kinds of weights: any word, its shape, itself, its prefixes, its suffixes, the word before, the word after.
+KINDS = ("any", "shape", "word", "prefix", "suffix", "before", "after")
 FOLDS = 4  # one of them fits the document score
 TRAITS = 5
 CHUNK = 32
@@ -65,9 +66,9 @@ class Fit:
 
 @dataclass(frozen=True)
 class Model:
-    """Weights of the field (None: no field), weights of a text's traits with their means and scales, and the score without a field."""
+    """Weights of the field by kind (None: no field), weights of its turns, of a text's traits, and the score without a field."""
 
-    weights: np.ndarray | None
+    weights: dict[str, dict[str, float]] | None
     turns: np.ndarray
     traits: np.ndarray
     constant: float
@@ -85,31 +86,16 @@ def pieces(word: str) -> list[int]:
 
 
 def _shape(word: str) -> str:
-    kind = "u" if word.isupper() and len(word) > 1 else "t" if word[:1].isupper() else "l"
-    return kind + ("d" if any(map(str.isdigit, word)) else "")
+    kind = "upper" if word.isupper() and len(word) > 1 else "title" if word[0].isupper() else "lower"
+    return kind if word.isalpha() else kind + " mixed"
 
 
-def own_features(word: str) -> list[int]:
-    """Weights that a word contributes to at its own place."""
-    mask = WEIGHTS - 1
-    return [_hash("b", "") & mask, _hash("c", _shape(word)) & mask, *(h & mask for h in pieces(word.lower()))]
-
-
-def side_features(word: str) -> tuple[int, int]:
-    """Weights that a word contributes to at the place after it and at the place before it."""
-    low, mask = word.lower(), WEIGHTS - 1
-    return _hash("a", low) & mask, _hash("n", low) & mask
-
-
-def _numbered(texts: list[str | None]) -> tuple[np.ndarray, list[str], np.ndarray]:
-    """Words of all texts, one after the other, as numbers of distinct words, and the words per text."""
-    number: dict[str, int] = {}
-    ids, lengths = [], np.zeros(len(texts), dtype=np.int64)
-    for i, text in enumerate(texts):
-        words = WORD.findall(text) if text else []
-        lengths[i] = len(words)
-        ids.append(np.fromiter((number.setdefault(w, len(number)) for w in words), dtype=np.int64, count=len(words)))
-    return np.concatenate(ids) if ids else np.empty(0, dtype=np.int64), list(number), lengths
+def own_features(word: str) -> list[tuple[str, str]]:
+    """Kind and name of the weights that a word contributes to at its own place."""
+    low = word.lower()
+    found = [("any", ""), ("shape", _shape(word)), ("word", low)]
+    found += [("prefix", low[:k]) for k in PREFIXES if len(low) >= k]
+    return found + [("suffix", low[-k:]) for k in SUFFIXES if len(low) >= k]
 
 
 def _edges(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -120,40 +106,78 @@ def _edges(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class WordScores(dict):
-    """Weights of a word at its own place, at the place after and the place before it, remembered up to a bound."""
+    """Numbers of words, with their weights at their own place, at the place after and the place before them."""
 
-    def __init__(self, weights: np.ndarray):
+    def __init__(self, weights: dict[str, dict[str, float]]):
         super().__init__()
-        self.weights = weights
-
-    def __missing__(self, word: str) -> tuple[float, float, float]:
+        self.weights, self.any = weights, weights["any"].get("", 0.0)
+        self.prefixes, self.suffixes = weights["prefix"], weights["suffix"]
+        self.own: list[float] = []
+        self.next: list[float] = []
+        self.previous: list[float] = []
+
+    def __missing__(self, word: str) -> int:
+        low, weights = word.lower(), self.weights
+        value = self.any + weights["shape"].get(_shape(word), 0.0) + weights["word"].get(low, 0.0)
+        # What is longer occurs no more often: where a piece has no weight, longer ones have none either.
+        known, size = self.prefixes, len(low)
+        for k in PREFIXES:
+            if k > size or (piece := low[:k]) not in known:
+                break
+            value += known[piece]
+        known = self.suffixes
+        for k in SUFFIXES:
+            if k > size or (piece := low[-k:]) not in known:
+                break
+            value += known[piece]
+        self.own.append(value)
+        self.next.append(weights["before"].get(low, 0.0))
+        self.previous.append(weights["after"].get(low, 0.0))
+        number = self[word] = len(self.own) - 1
+        return number
+
+    def numbered(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of all words of the texts, one after the other, and the words per text."""
         if len(self) >= CACHED_WORDS:
             self.clear()
-        after, before = side_features(word)
-        value = self[word] = (
-            float(self.weights[own_features(word)].sum()), float(self.weights[after]), float(self.weights[before])
-        )
-        return value
+            self.own, self.next, self.previous = [], [], []
+        ids, lengths = [], np.zeros(len(texts), dtype=np.int64)
+        for i, text in enumerate(texts):
+            words = WORD.findall(text) if text else []
+            lengths[i] = len(words)
+            ids.append(np.fromiter(map(self.__getitem__, words), dtype=np.int64, count=len(words)))
+        return np.concatenate(ids) if ids else np.empty(0, dtype=np.int64), lengths
+
+
+def _times(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Products of 2 x 2 matrices (their four elements along the first axis), scaled by their sums."""
+    out = np.empty(np.broadcast_shapes(x.shape, y.shape))
+    out[0], out[1] = x[0] * y[0] + x[1] * y[2], x[0] * y[1] + x[1] * y[3]
+    out[2], out[3] = x[2] * y[0] + x[3] * y[2], x[2] * y[1] + x[3] * y[3]
+    out /= out.sum(axis=0)
+    return out
 
 
-def _products(matrices: np.ndarray) -> np.ndarray:
-    """Products of the first 1, 2, ... matrices (rows x 2 x 2), each scaled by its largest element.
+def _first_rows(matrices: np.ndarray) -> np.ndarray:
+    """First rows (2 x count) of the products of the first 1, 2, ... matrices (4 x count), scaled.
 
     Chunks are multiplied side by side, then the chunks' own products, then the two put together.
     """
-    count = len(matrices)
+    count = matrices.shape[1]
     chunks = -(-count // CHUNK)
-    padded = np.broadcast_to(np.eye(2), (chunks * CHUNK, 2, 2)).copy()
-    padded[:count] = matrices
-    padded = padded.reshape(chunks, CHUNK, 2, 2)
+    padded = np.zeros((4, chunks * CHUNK))
+    padded[0], padded[3] = 1.0, 1.0
+    padded[:, :count] = matrices
+    part = np.ascontiguousarray(padded.reshape(4, chunks, CHUNK).transpose(0, 2, 1))
     for i in range(1, CHUNK):
-        step = padded[:, i - 1] @ padded[:, i]
-        padded[:, i] = step / step.max(axis=(1, 2), keepdims=True)
+        part[:, i] = _times(part[:, i - 1], part[:, i])
+    rows = part[:2].copy()
     if chunks > 1:
-        before = _products(padded[:-1, -1])
-        joined = before[:, None] @ padded[1:]
-        padded[1:] = joined / joined.max(axis=(2, 3), keepdims=True)
-    return padded.reshape(-1, 2, 2)[:count]
+        before = _first_rows(part[:, -1, :-1])[:, None, :]
+        rows[0, :, 1:] = before[0] * part[0, :, 1:] + before[1] * part[2, :, 1:]
+        rows[1, :, 1:] = before[0] * part[1, :, 1:] + before[1] * part[3, :, 1:]
+        rows /= rows.sum(axis=0)
+    return rows.transpose(0, 2, 1).reshape(2, -1)[:, :count]
 
 
 def marginals(scores: np.ndarray, lengths: np.ndarray, turns: np.ndarray) -> np.ndarray:
@@ -165,31 +189,30 @@ def marginals(scores: np.ndarray, lengths: np.ndarray, turns: np.ndarray) -> np.
     if not len(scores):
         return np.empty(0)
     first, last = _edges(lengths)
-    emit = np.stack([np.exp(-np.maximum(scores, 0.0)), np.exp(np.minimum(scores, 0.0))], axis=1)
+    clean, toxic = np.exp(-np.maximum(scores, 0.0)), np.exp(np.minimum(scores, 0.0))
     change = np.exp(turns - turns.max())
-    forward = change[None] * emit[:, None, :]
-    forward[first] = emit[first][:, None, :]
-    ahead = _products(forward)[:, 0, :]
+    forward = np.stack([change[0, 0] * clean, change[0, 1] * toxic, change[1, 0] * clean, change[1, 1] * toxic])
+    forward[:, first] = np.stack([clean, toxic, clean, toxic])[:, first]
+    ahead = _first_rows(forward)
     # Backward: the product of what follows each word, from the end of its text.
-    backward = np.empty_like(forward)
-    backward[:-1] = change.T[None] * emit[1:, :, None]
-    backward[last] = 1.0
-    behind = _products(backward[::-1])[::-1][:, 0, :]
+    backward = np.ones((4, len(scores)))
+    backward[:, :-1] = np.stack([change[0, 0] * clean, change[1, 0] * clean, change[0, 1] * toxic, change[1, 1] * toxic])[:, 1:]
+    backward[:, last] = 1.0
+    behind = _first_rows(backward[:, ::-1])[:, ::-1]
     both = ahead * behind
-    return both[:, 1] / both.sum(axis=1)
+    return both[1] / both.sum(axis=0)
 
 
 def word_marginals(texts: list[str | None], model: Model, memory: WordScores) -> tuple[np.ndarray, np.ndarray]:
     """Marginals of all words of the texts, one after the other, and the words per text."""
-    ids, words, lengths = _numbered(texts)
+    ids, lengths = memory.numbered(texts)
     if not len(ids):
         return np.empty(0), lengths
-    own, after, before = np.array([memory[w] for w in words]).T
-    scores = own[ids]
+    own, after, before = np.array(memory.own), np.array(memory.next), np.array(memory.previous)
     first, last = _edges(lengths)
     left, right = after[np.roll(ids, 1)], before[np.roll(ids, -1)]
     left[first], right[last] = 0.0, 0.0
-    return marginals(scores + left + right, lengths, model.turns), lengths
+    return marginals(own[ids] + left + right, lengths, model.turns), lengths
 
 
 def traits(found: np.ndarray, lengths: np.ndarray, floor: float) -> np.ndarray:
@@ -252,9 +275,13 @@ def _contexts(sample: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, words, lengths = _numbered(batch.column(0).to_pylist())
+            number: dict[str, int] = {}
+            texts = [WORD.findall(text) if text else [] for text in batch.column(0).to_pylist()]
+            lengths = np.array([len(words) for words in texts], dtype=np.int64)
+            ids = np.fromiter((number.setdefault(w, len(number)) for words in texts for w in words), dtype=np.int64, count=lengths.sum())
             if not len(ids):
                 continue
+            words = list(number)
             low = [w.lower() for w in words]
             codes = np.fromiter(map(xxhash.xxh3_64_intdigest, low), dtype=np.uint64, count=len(low))[ids]
             first, last = _edges(lengths)
@@ -318,11 +345,11 @@ def _windows(marked: np.ndarray, offset: int, fit: Fit) -> list[int]:
 
 
 def _training_windows(sample: DataFrame, chosen: frozenset[int], fit: Fit) -> DataFrame:
-    """``features, tags``: windows of words with the weights each contributes to, and their labels (-1 beyond the text)."""
+    """``words, tags``: windows of words with the word on either side ("" beyond the text), and their labels (-1 beyond it)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            features, tags = [], []
+            windows, tags = [], []
             for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 words = WORD.findall(text) if text else []
                 if not words:
@@ -330,21 +357,40 @@ def _training_windows(sample: DataFrame, chosen: frozenset[int], fit: Fit) -> Da
                 marker = {w: not chosen.isdisjoint(pieces(w.lower())) for w in set(words)}
                 marked = np.fromiter(map(marker.__getitem__, words), dtype=bool, count=len(words))
                 for start in _windows(marked, xxhash.xxh3_64_intdigest(text), fit):
-                    slots = np.full((fit.window, SLOTS), WEIGHTS, dtype=np.int32)
-                    tag = np.full(fit.window, -1, dtype=np.int32)
-                    for i, place in enumerate(range(start, min(start + fit.window, len(words)))):
-                        own = own_features(words[place])
-                        own += [side_features(words[place - 1])[0]] if place else []
-                        own += [side_features(words[place + 1])[1]] if place + 1 < len(words) else []
-                        slots[i, : len(own)] = own
-                        tag[i] = toxic and int(marked[place])
-                    features.append(slots.ravel())
-                    tags.append(tag)
+                    places = range(start - 1, start + fit.window + 1)
+                    windows.append([words[i] if 0 <= i < len(words) else "" for i in places])
+                    tags.append([toxic and int(marked[i]) if i < len(words) else -1 for i in places[1:-1]])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(features, pa.list_(pa.int32())), pa.array(tags, pa.list_(pa.int32()))], names=["features", "tags"]
+                [pa.array(windows, pa.list_(pa.string())), pa.array(tags, pa.list_(pa.int32()))], names=["words", "tags"]
             )
 
-    return sample.select("text", "toxic").mapInArrow(run, "features array<int>, tags array<int>")
+    return sample.select("text", "toxic").mapInArrow(run, "words array<string>, tags array<int>")
+
+
+def numbered_features(words: list[str], width: int) -> tuple[np.ndarray, list[tuple[str, str]]]:
+    """Features of windows that stand one after the other: rows x words x slots, and the names of those that occur twice.
+
+    Each window has ``width`` words and one more on either side. Number 0 stands for nothing.
+    """
+    number: dict[tuple[str, str], int] = {}
+    distinct: dict[str, int] = {}
+    ids = np.fromiter((distinct.setdefault(w, len(distinct)) for w in words), dtype=np.int64, count=len(words)).reshape(-1, width + 2)
+    slots = np.zeros((len(distinct), SLOTS), dtype=np.int64)
+    for i, word in enumerate(distinct):
+        if word:
+            own = own_features(word)
+            names = own + [("", "")] * (SLOTS - 2 - len(own)) + [("before", word.lower()), ("after", word.lower())]
+            slots[i] = [number.setdefault(n, len(number) + 1) if n[0] else 0 for n in names]
+    features = np.empty((len(ids), width, SLOTS), dtype=np.int64)
+    features[:, :, : SLOTS - 2] = slots[ids[:, 1:-1], : SLOTS - 2]
+    features[:, :, SLOTS - 2] = slots[ids[:, :-2], SLOTS - 2]
+    features[:, :, SLOTS - 1] = slots[ids[:, 2:], SLOTS - 1]
+    features[ids[:, 1:-1] == distinct.get("", -1)] = 0
+    counts = np.bincount(features.ravel(), minlength=len(number) + 1)
+    often = counts >= 2
+    often[0] = False
+    renumbered = np.where(often, np.cumsum(often), 0)
+    return renumbered[features], [name for name, i in number.items() if often[i]]
 
 
 def _expected(scores: np.ndarray, lengths: np.ndarray, turns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -369,33 +415,29 @@ def _expected(scores: np.ndarray, lengths: np.ndarray, turns: np.ndarray) -> tup
     return tags, (pairs * inside[:, 1:, None, None]).sum(axis=(0, 1))
 
 
-def train_field(features: np.ndarray, tags: np.ndarray, fit: Fit) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and turns: steps over all windows, scaled per weight by the gradients so far.
+def train_field(features: np.ndarray, count: int, tags: np.ndarray, fit: Fit) -> tuple[np.ndarray, np.ndarray]:
+    """Weights 1 to ``count`` and turns: steps over all windows, scaled per weight by the gradients so far.
 
-    ``features`` are rows x words x slots, ``tags`` rows x words (-1 beyond the text).
+    ``features`` are rows x words x slots (0: none), ``tags`` rows x words (-1 beyond the text).
     """
     lengths = (tags >= 0).sum(axis=1)
     truth = np.maximum(tags, 0)
     inside = tags[:, 1:] >= 0
     seen_turns = np.array([[((truth[:, :-1] == a) & (truth[:, 1:] == b) & inside).sum() for b in (0, 1)] for a in (0, 1)])
-    used, flat = np.unique(features, return_inverse=True)
-    flat = flat.reshape(features.shape)
-    weights, turns = np.zeros(len(used)), np.zeros((2, 2))
-    past, past_turns = np.full(len(used), 1e-10), np.full((2, 2), 1e-10)
-    words, blank = max(1, lengths.sum()), used == WEIGHTS
+    weights, turns = np.zeros(count + 1), np.zeros((2, 2))
+    past, past_turns = np.full(count + 1, 1e-10), np.full((2, 2), 1e-10)
+    words, flat = max(1, lengths.sum()), features.ravel()
     for _ in range(fit.passes):
-        found, expected = _expected(weights[flat].sum(axis=2), lengths, turns)
+        found, expected = _expected(weights[features].sum(axis=2), lengths, turns)
         error = np.where(tags >= 0, found - truth, 0.0) / words
-        step = np.bincount(flat.ravel(), weights=np.repeat(error.ravel(), SLOTS), minlength=len(used)) + fit.penalty * weights
-        step[blank] = 0.0
+        step = np.bincount(flat, weights=np.repeat(error.ravel(), SLOTS), minlength=count + 1) + fit.penalty * weights
+        step[0] = 0.0
         past += step * step
         weights -= 0.3 * step / np.sqrt(past)
         turn = (expected - seen_turns) / words + fit.penalty * turns
         past_turns += turn * turn
         turns -= 0.3 * turn / np.sqrt(past_turns)
-    full = np.zeros(WEIGHTS + 1, dtype=np.float32)
-    full[used] = weights
-    return full[:WEIGHTS], turns
+    return weights, turns
 
 
 def _trait_rows(sample: DataFrame, model: Model, fit: Fit) -> DataFrame:
@@ -450,10 +492,13 @@ def learn(documents: DataFrame, labels: DataFrame, fit: Fit = Fit(), key: str =
         space.close()
         return without
     most = fit.windows * (fit.toxic_rows + fit.clean_rows)
-    rows = _training_windows(seen, marks, fit).orderBy(F.xxhash64("features"), "tags").limit(most).toArrow()
-    features = rows["features"].combine_chunks().flatten().to_numpy().reshape(-1, fit.window, SLOTS)
+    rows = _training_windows(seen, marks, fit).orderBy(F.xxhash64("words"), "words", "tags").limit(most).toArrow()
+    features, names = numbered_features(rows["words"].combine_chunks().flatten().to_pylist(), fit.window)
     tags = rows["tags"].combine_chunks().flatten().to_numpy().reshape(-1, fit.window)
-    weights, turns = train_field(features, tags, fit)
+    values, turns = train_field(features, len(names), tags, fit)
+    weights: dict[str, dict[str, float]] = {kind: {} for kind in KINDS}
+    for (kind, name), value in zip(names, values[1:].tolist()):
+        weights[kind][name] = value
     model = Model(weights, turns, np.zeros(TRAITS), constant)
     order = [F.xxhash64(*[f"t{i}" for i in range(TRAITS)]), "toxic"]
     for part in (unseen, sample):  # all of the sample only where the unseen rows lack a label
