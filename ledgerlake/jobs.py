@@ -17,17 +17,19 @@ import argparse
 import re
 import sys
 from collections.abc import Sequence
+from datetime import timedelta
 
 from pyspark.sql import SparkSession
 
 from ledgerlake.operators import changes, outliers, reports
 from ledgerlake.operators.backlog import offset_backlog
-from ledgerlake.operators.quality import QualityError
+from ledgerlake.operators.quality import QualityError, gate
 from ledgerlake.plans import finance
 from ledgerlake.plans.steps import run_steps
 from ledgerlake.session import apply_sql_defaults, build_session
 from ledgerlake.sinks import publish, warehouse
 from ledgerlake.sources import events
+from ledgerlake.sources.relational import JdbcSource, ParquetSource
 from ledgerlake.streaming import landing, progress
 
 DONE, FAILED, SKIPPED = 0, 1, 99
@@ -36,7 +38,7 @@ LAYERS = ("state", "curated", "outliers", "publish")
 
 def parser() -> argparse.ArgumentParser:
     jobs = argparse.ArgumentParser(description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
-    jobs.add_argument("job", choices=["land", "daily", "backlog", "compact", *LAYERS, "load", "plan", "profile", "summary"])
+    jobs.add_argument("job", choices=["land", "daily", "backlog", "compact", *LAYERS, "load", "reconcile", "expire", "plan", "profile", "summary"])
     jobs.add_argument("--lake", required=True, help="folder of the layers")
     jobs.add_argument("--published", default="", help="folder of the published tables")
     jobs.add_argument("--dataset", default="", help="warehouse data set of the load")
@@ -47,6 +49,10 @@ def parser() -> argparse.ArgumentParser:
     jobs.add_argument("--min-partitions", type=int, default=None, help="fewest tasks of a batch, from brokers")
     jobs.add_argument("--available", default="", help="JSON lines of topic, partition, next_offset: the ends of the topics")
     jobs.add_argument("--segments", action="store_true", help="land batches that can be compacted")
+    jobs.add_argument("--source", default="", help="source database (JDBC address) or a folder of its tables as Parquet")
+    jobs.add_argument("--source-option", action="append", default=[], metavar="NAME=VALUE", help="option of the JDBC reader")
+    jobs.add_argument("--keep", type=int, default=2, help="publications that stay, whatever their age")
+    jobs.add_argument("--days", type=float, default=7, help="age below which a publication stays")
     jobs.add_argument("--force", action="store_true", help="rebuild although nothing has landed")
     jobs.add_argument("--master", default=None)
     return jobs
@@ -104,6 +110,16 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
             return SKIPPED
         tables = {name: publish.read_published(spark, lake.published, name) for name in finance.CURATED}
         print(warehouse.load_tables(spark, tables, finance.CURATED, args.dataset))
+        gate(warehouse.loaded_problems(spark, tables, finance.CURATED, args.dataset))
+    elif args.job == "reconcile":
+        if not args.source:
+            print("no --source: nothing to compare with")
+            return SKIPPED
+        gate(finance.source_problems(*_layers(spark, lake), _source(spark, args)))
+    elif args.job == "expire":
+        gone = publish.expire(spark, lake.published, args.keep, timedelta(days=args.days))
+        print(*gone or ["nothing to expire"])
+        return DONE if gone else SKIPPED
     elif args.job == "plan":
         targets = {name: f"{lake.published}/{name}" for name in finance.CURATED}
         publish.plan(spark, lake.curated, targets).show(truncate=False)
@@ -116,6 +132,17 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
     return DONE
 
 
+def _layers(spark: SparkSession, lake: finance.Lake):
+    return finance.read_layer(spark, lake.curated, finance.CURATED), finance.read_layer(spark, lake.state, finance.SOURCE)
+
+
+def _source(spark: SparkSession, args: argparse.Namespace) -> JdbcSource | ParquetSource:
+    if args.source.startswith("jdbc:"):
+        options = dict(option.split("=", 1) for option in args.source_option)
+        return JdbcSource(spark, args.source, tuple(finance.SOURCE), options)
+    return ParquetSource(spark, args.source, tuple(finance.SOURCE))
+
+
 def _backlog(spark: SparkSession, lake: finance.Lake, args: argparse.Namespace) -> int:
     """Messages per topic and partition that no committed batch covers."""
     if not args.available:

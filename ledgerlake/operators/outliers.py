@@ -9,10 +9,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.functions import money
+from ledgerlake.operators.ranking import order_statistics
 
 # Fence factors, smallest group that is judged, severity names.
 MILD_FACTOR = "1.5"
@@ -20,6 +21,10 @@ EXTREME_FACTOR = "3.0"
 MIN_GROUP = 8
 MILD, EXTREME = "mild", "extreme"
 
+# Size of a quantile sketch, and the share of a group by which a rank may then be off (with 99 %).
+SKETCH_SIZE = 400
+RANK_ERROR = 0.01
+
 # Wide enough for quartiles and fences of any decimal(18,2) amount.
 QUARTILE = "decimal(20,4)"
 FENCE = "decimal(24,6)"
@@ -44,28 +49,52 @@ def _from_quarter_cents(quarters: Column) -> Column:
     return (quarters.cast("decimal(19,0)") * F.lit("0.0025").cast("decimal(4,4)")).cast(QUARTILE)
 
 
+# The quartiles as shares of the last rank, in quarters.
+QUARTERS = {"q1": 1, "q3": 3}
+
+
 def _quartiles(rows: DataFrame, group: Sequence[str], amount: str) -> DataFrame:
     """``group…, n_group, _q1, _q3`` with both quartiles in quarter cents, in whole numbers.
 
-    Equal amounts are counted first, on the map side as well, so a very large group moves one
-    row per distinct amount. Running counts then give the place of every amount.
+    Equal amounts are counted first, on the map side as well; then amounts are ranked only within the value buckets
+    that hold a wanted rank, so no task sees all amounts of a large group.
     """
-    counts = rows.groupBy(*group, _cents(amount).alias("_cents")).agg(F.count("*").alias("_n"))
-    of_group = Window.partitionBy(*group)
-    present = F.when(F.col("_cents").isNotNull(), F.col("_n"))
-    placed = counts.withColumn("_upto", F.sum(present).over(of_group.orderBy("_cents"))).withColumn(
-        "_last", F.sum(present).over(of_group) - 1
-    )
+    last = F.col("_n") - 1
+    ends = {f"_{q}_{f.__name__}": f(last * part / 4) for q, part in QUARTERS.items() for f in (F.floor, F.ceil)}
+    cents = rows.select(*group, _cents(amount).alias("_cents"))
+    found = order_statistics(cents, group, "_cents", ends, all_rows="n_group")
+
+    def between(q: str, part: int) -> Column:
+        low, high = F.col(f"_{q}_floor"), F.col(f"_{q}_ceil")
+        return (low * 4 + (high - low) * (last * part % 4)).alias(f"_{q}")
+
+    return found.select(*group, "n_group", *[between(q, part) for q, part in QUARTERS.items()])
+
+
+def quartile_sketches(rows: DataFrame, group: Sequence[str], amount: str, k: int = SKETCH_SIZE) -> DataFrame:
+    """``group…, n_group, sketch``: a quantile sketch of the amounts of every group, of a size that ``k`` bounds.
+
+    Sketches of finer groups, such as those of each month, can be kept and merged: :func:`merged_sketches`.
+    """
+    cents = rows.select(*group, _cents(amount).alias("_cents"))
+    return cents.groupBy(*group).agg(F.count("*").alias("n_group"), F.kll_sketch_agg_bigint("_cents", k).alias("sketch"))
 
-    def at(rank: Column) -> Column:
-        here = (rank < F.col("_upto")) & (rank >= F.col("_upto") - F.col("_n"))
-        return F.max(F.when(here & F.col("_cents").isNotNull(), F.col("_cents")))
 
-    ranks = {"q1": F.col("_last"), "q3": F.col("_last") * 3}
-    ends = [at(f(r / 4)).alias(f"_{q}_{f.__name__}") for q, r in ranks.items() for f in (F.floor, F.ceil)]
-    found = placed.groupBy(*group).agg(F.sum("_n").alias("n_group"), F.max("_last").alias("_last"), *ends)
-    between = lambda q, r: F.col(f"_{q}_floor") * 4 + (F.col(f"_{q}_ceil") - F.col(f"_{q}_floor")) * (r % 4)
-    return found.select(*group, "n_group", *[between(q, r).alias(f"_{q}") for q, r in ranks.items()])
+def merged_sketches(sketches: DataFrame, group: Sequence[str], k: int = SKETCH_SIZE) -> DataFrame:
+    """``group…, n_group, sketch`` of coarser groups."""
+    return sketches.groupBy(*group).agg(F.sum("n_group").alias("n_group"), F.kll_merge_agg_bigint("sketch", k).alias("sketch"))
+
+
+def sketched_fences(sketches: DataFrame, group: Sequence[str], fences: Fences = Fences()) -> DataFrame:
+    """As :func:`group_fences`, from sketches: each quartile is an amount of the group whose rank is off by little.
+
+    With ``k`` of :data:`SKETCH_SIZE` the rank is off by at most :data:`RANK_ERROR` of the group with a probability of 99 %;
+    groups of fewer than ``k`` amounts are exact up to interpolation: the amount at the rank is taken.
+    """
+    known = F.kll_sketch_get_n_bigint("sketch") > 0
+    quartile = lambda share: F.when(known, F.kll_sketch_get_quantile_bigint("sketch", F.lit(share)) * 4)
+    quartiles = [quartile(part / 4).alias(f"_{q}") for q, part in QUARTERS.items()]
+    return _with_fences(sketches.select(*group, "n_group", *quartiles), fences)
 
 
 def _with_fences(quartiles: DataFrame, fences: Fences) -> DataFrame:
@@ -97,6 +126,11 @@ def judged(stats: DataFrame, fences: Fences = Fences()) -> DataFrame:
     return stats.filter((F.col("n_group") >= fences.min_rows) & (F.col("iqr") > 0))
 
 
+def _severity(amount: str, fences: Fences) -> Column:
+    extreme = F.col(amount) > F.col("extreme_fence")
+    return F.when(extreme, F.lit(fences.extreme_name)).otherwise(F.lit(fences.mild_name))
+
+
 def iqr_outliers(
     rows: DataFrame,
     group: Sequence[str],
@@ -113,9 +147,6 @@ def iqr_outliers(
     needed = rows.select(*dict.fromkeys([*group, amount, *keep])).dropna(subset=list(group))
     stats = judged(group_fences(needed, group, amount, fences), fences)
     found = needed.join(stats, list(group)).filter(F.col(amount) > F.col("mild_fence"))
-    severity = F.when(F.col(amount) > F.col("extreme_fence"), F.lit(fences.extreme_name)).otherwise(
-        F.lit(fences.mild_name)
-    )
     cents = lambda name: F.round(F.col(name), 2).cast(money.MONEY).alias(name)
     excess = F.round(F.col(amount) - F.col("mild_fence"), 2).cast(money.MONEY)
     return found.select(
@@ -127,7 +158,7 @@ def iqr_outliers(
         cents("mild_fence"),
         cents("extreme_fence"),
         excess.alias("excess"),
-        severity.alias("severity"),
+        _severity(amount, fences).alias("severity"),
     )
 
 
@@ -156,6 +187,13 @@ def run_summary(
     return long(seen).unionByName(long(reported))
 
 
+def summarise_run(rows: DataFrame, group: Sequence[str], amount: str, fences: Fences = Fences()) -> DataFrame:
+    """:func:`run_summary` of the rows; the fences are computed once and serve both of its passes."""
+    stats = group_fences(rows, group, amount, fences)
+    chosen = rows.select(*group, amount).join(judged(stats, fences), list(group)).filter(F.col(amount) > F.col("mild_fence"))
+    return run_summary(stats, chosen.select(_severity(amount, fences).alias("severity")), fences)
+
+
 def hotspots(found: DataFrame, group: Sequence[str], limit: int | None = None) -> DataFrame:
     """Where outliers concentrate, most first."""
     ranked = (

@@ -61,30 +61,35 @@ def order_statistics(
     value: str,
     ranks: Mapping[str, Column],
     bits: int = BUCKET_BITS,
+    all_rows: str | None = None,
 ) -> DataFrame:
     """Exact order statistics of an integer ``value`` per key.
 
     ``ranks`` maps an output name to a 0-based rank, given as an expression of ``_n``, the
-    number of non-null values of the key. Returns ``keys…, _n`` and one column per name.
+    number of non-null values of the key. Returns ``keys…, _n`` and one column per name. With ``all_rows``, a column
+    of that name counts all rows of the key, and keys that have no value stay, without statistics.
     """
+    chosen = rows if all_rows else rows.filter(F.col(value).isNotNull())
     counts = (
-        rows.filter(F.col(value).isNotNull())
-        .groupBy(*keys, F.col(value).alias("_v"))
+        chosen.groupBy(*keys, F.col(value).alias("_v"))
         .agg(F.count("*").alias("_c"))
         .withColumn("_bucket", _bucket(F.col("_v"), bits))
     )
     per_key = Window.partitionBy(*keys)
     earlier = per_key.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    present = F.when(F.col("_bucket").isNotNull(), F.col("_c")).otherwise(0)
     wanted = F.array(
         *[F.struct(F.lit(n).alias("name"), r.cast("bigint").alias("rank")) for n, r in ranks.items()]
     )
+    totals = [all_rows] if all_rows else []
     coarse = (
         counts.groupBy(*keys, "_bucket")
         .agg(F.sum("_c").alias("_c"))
-        .withColumn("_before", F.coalesce(F.sum("_c").over(earlier), F.lit(0)))
-        .withColumn("_n", F.sum("_c").over(per_key))
-        .withColumn("_wanted", _ranks_in(wanted, F.col("_before"), F.col("_c")))
-        .filter(F.size("_wanted") > 0)
+        .withColumn("_before", F.coalesce(F.sum(present).over(earlier), F.lit(0)))
+        .withColumn("_n", F.sum(present).over(per_key))
+        .withColumns({name: F.sum("_c").over(per_key) for name in totals})
+        .withColumn("_wanted", _ranks_in(wanted, F.col("_before"), present))
+        .filter((F.size("_wanted") > 0) | (F.col("_bucket").isNull() & (F.col("_n") == 0)))
     )
     on = same_keys("c", "s", [*keys, "_bucket"])
     columns = [F.col(f"c.`{k}`") for k in keys]
@@ -93,11 +98,11 @@ def order_statistics(
     hits = (
         counts.alias("c")
         .join(coarse.alias("s"), on)
-        .select(*columns, "c._bucket", "c._v", "c._c", "s._before", "s._n", "s._wanted")
+        .select(*columns, "c._bucket", "c._v", "c._c", "s._before", "s._n", "s._wanted", *[f"s.`{name}`" for name in totals])
         .withColumn("_before", F.col("_before") + F.coalesce(before, F.lit(0)))
-        .withColumn("_hit", F.explode(_ranks_in(F.col("_wanted"), F.col("_before"), F.col("_c"))))
+        .withColumn("_hit", F.explode_outer(_ranks_in(F.col("_wanted"), F.col("_before"), F.col("_c"))))
     )
-    return hits.groupBy(*keys, "_n").agg(
+    return hits.groupBy(*keys, "_n", *totals).agg(
         *[F.max(F.when(F.col("_hit.name") == n, F.col("_v"))).alias(n) for n in ranks]
     )
 

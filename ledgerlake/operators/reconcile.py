@@ -111,7 +111,7 @@ def warehouse_schema_problems(
     spark: SparkSession, reported: Mapping[str, str], spec: TableSpec
 ) -> DataFrame:
     """Column names and types that a warehouse reports, against the contract."""
-    expected = {f.name: _warehouse_type(f.dataType) for f in spec.schema.fields}
+    expected = {f.name: warehouse_type(f.dataType) for f in spec.schema.fields}
     found = {c: WAREHOUSE_ALIASES.get(t, t) for c, t in reported.items()}
     lines = [(c, "column is missing") for c in expected if c not in found]
     lines += [(c, "column is not in the contract") for c in found if c not in expected]
@@ -124,9 +124,10 @@ def warehouse_schema_problems(
     return spark.createDataFrame(rows, quality.PROBLEM)
 
 
-def _warehouse_type(data_type: T.DataType) -> str:
+def warehouse_type(data_type: T.DataType) -> str:
+    """The name that a warehouse has for a type of the contract."""
     name = "decimal" if isinstance(data_type, T.DecimalType) else data_type.simpleString()
-    return WAREHOUSE_TYPES[name]
+    return WAREHOUSE_TYPES.get(name, name.upper())
 
 
 def volume_problems(

@@ -21,6 +21,7 @@ from ledgerlake.plans import recompute
 from ledgerlake.plans.steps import Step, run_steps
 from ledgerlake.sinks import publish, segments
 from ledgerlake.sinks.layers import write_layer
+from ledgerlake.sources.relational import FrameSource, JdbcSource, ParquetSource
 from ledgerlake.sources.tables import neutral_names, read_raw_log
 from ledgerlake.spec import TableSpec
 from ledgerlake.streaming import landing, progress
@@ -139,6 +140,7 @@ UNIQUE = {
 }
 
 Tables = Mapping[str, DataFrame]
+Source = JdbcSource | ParquetSource | FrameSource
 
 
 # ------------------------------------------------------------------------------------ state
@@ -147,7 +149,8 @@ def state_of(log: DataFrame, table: str, mode: str = "strict") -> DataFrame:
 
 
 def rebuild_state(
-    log: DataFrame, root: str, mode: str = "strict", parallel: int = 4, quarantine: str | None = None
+    log: DataFrame, root: str, mode: str = "strict", parallel: int = 4, quarantine: str | None = None,
+    specs: Mapping[str, TableSpec] = SOURCE,
 ) -> dict[str, int]:
     """Rewrite the state of every captured table; returns the rows of each.
 
@@ -157,14 +160,14 @@ def rebuild_state(
     ``quarantined <table>``: none is lost unseen, also when a bad value then stops the run.
     """
     def write(table: str) -> int:
-        return write_layer(state_of(log, table, mode), f"{root}/{table}")
+        return write_layer(changes.current_state(log, specs[table], mode, lineage=LINEAGE), f"{root}/{table}")
 
     def set_aside(table: str) -> int:
-        return write_layer(changes.quarantined(log, SOURCE[table]), f"{quarantine}/{table}")
+        return write_layer(changes.quarantined(log, specs[table]), f"{quarantine}/{table}")
 
     with ThreadPoolExecutor(parallel) as pool:
-        aside = dict(zip(SOURCE, pool.map(set_aside, SOURCE))) if quarantine else {}
-        kept = dict(zip(SOURCE, pool.map(write, SOURCE)))
+        aside = dict(zip(specs, pool.map(set_aside, specs))) if quarantine else {}
+        kept = dict(zip(specs, pool.map(write, specs)))
     return kept | {f"quarantined {table}": n for table, n in aside.items()}
 
 
@@ -353,12 +356,13 @@ def outlier_problems(found: DataFrame, state: Tables, fences: outliers.Fences =
     )
 
 
-def source_problems(tables: Tables, state: Tables, source: Tables) -> DataFrame:
-    """Row counts and monthly totals against the source database."""
+def source_problems(tables: Tables, state: Tables, source: Source) -> DataFrame:
+    """Row counts of every captured table and monthly totals against the source database, which adds up its own rows."""
     balance = tables["balance_mensual"]
-    parts = [reconcile.count_problems(reconcile.row_counts(state), reconcile.row_counts(source))]
+    counted = quality.all_problems([source.row_count(name) for name in state if name in source.tables])
+    parts = [reconcile.count_problems(reconcile.row_counts(state), counted)]
     for side in ("ingresos", "egresos"):
-        totals = reconcile.source_totals(source[side], "usuario_id", "fecha_inicio", "monto", "eliminado_en")
+        totals = source.monthly_totals(side, "usuario_id", "fecha_inicio", "monto", "eliminado_en")
         parts.append(
             reconcile.total_problems(
                 balance, "usuario_id", "mes", f"total_{side}", f"n_{side}", totals, f"balance_mensual.{side}"

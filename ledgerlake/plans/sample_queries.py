@@ -6,7 +6,9 @@ so that each of them has something to find.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from datetime import timedelta
 from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,10 +25,11 @@ from ledgerlake.operators import (
     reports,
     rollup,
 )
-from ledgerlake.plans import recompute
+from ledgerlake.plans import finance, recompute
 from ledgerlake.plans import sample_tables as t
 from ledgerlake.session import apply_sql_defaults, scratch_dir
-from ledgerlake.sinks import publish, segments
+from ledgerlake.sinks import publish, segments, warehouse
+from ledgerlake.sinks.layers import write_layer
 from ledgerlake.sources import events, oplog
 from ledgerlake.spec import TableSpec
 from ledgerlake.streaming import counts, landing, progress
@@ -269,6 +272,54 @@ def state_profile(spark, folder):
     return changes.state_profile(_state(spark, folder), t.ORDERS_LEDGER.name, "deleted_at")
 
 
+@query
+def state_sample(spark, folder):
+    """Three rows of each last operation, the same on every run."""
+    sample = changes.sample_rows(_state(spark, folder), ["id"], 3, [changes.LAST_OP])
+    return sample.select(F.col(changes.LAST_OP).alias("last_op"), "id", "owner_id", "amount")
+
+
+@query
+def state_rebuild(spark, folder):
+    """Both captured tables of the log rebuilt, what can't become state set aside; rows of each as written and as read."""
+    log = changes.union_logs(t.damaged_log(spark, folder), t.owner_log(spark, folder))
+    specs, root = {spec.name: spec for spec in (t.ORDERS_LEDGER, t.OWNERS)}, scratch_dir(spark, "state")
+    written = finance.rebuild_state(log, root, "quarantine", quarantine=f"{root}_quarantine", specs=specs)
+    layers = {name: f"{root}/{name}" for name in specs} | {f"quarantined {name}": f"{root}_quarantine/{name}" for name in specs}
+    stored = quality.all_problems(
+        [
+            spark.read.parquet(path).agg(F.count("*").alias("n_stored"))
+            .select(F.lit(name).alias("layer"), F.lit(written[name]).cast("bigint").alias("n_written"), "n_stored")
+            for name, path in layers.items()
+        ]
+    )
+    return stored
+
+
+@query
+def layer_writes(spark, folder):
+    """A layer written twice, one written as a single file, one clustered by a column: rows and files of each."""
+    balance, root = t.balance(spark, folder).withColumn("year", F.year("period")), scratch_dir(spark, "layers")
+    writes = {
+        "overwritten": {},
+        "single file": {"single_file": True},
+        "clustered": {"partition_by": ["year"], "cluster_by": ["year"]},
+    }
+    parts = []
+    for name, how in writes.items():
+        for _ in range(2):
+            n = write_layer(balance, f"{root}/{name}", **how)
+        stored = spark.read.parquet(f"{root}/{name}").withColumn("file", F.input_file_name())
+        parts.append(
+            stored.agg(F.count("*").alias("n_stored"), F.count_distinct("file").alias("n_files"), F.sum("balance").alias("total"))
+            .select(
+                F.lit(name).alias("layer"), F.lit(n).cast("bigint").alias("n_written"), "n_stored",
+                F.when(F.lit(name) == "single file", F.col("n_files")).alias("n_files"), F.col("total").cast(money.MONEY).alias("total"),
+            )
+        )
+    return quality.all_problems(parts)
+
+
 @query
 def offset_backlog(spark, folder):
     """What the batches committed by the end of 1999 don't cover: owners came later, another topic isn't read."""
@@ -376,10 +427,26 @@ def iqr_outliers(spark, folder):
     return t.found_outliers(spark, folder)
 
 
+@query
+def iqr_stats_sketched(spark, folder):
+    """Fences from sketches of every group and month, merged: ranks of the quartiles are within the stated error."""
+    rows = t.movements(spark, folder).withColumn("month", F.trunc("occurred_on", "month"))
+    merged = outliers.merged_sketches(outliers.quartile_sketches(rows, [*t.GROUP, "month"], "amount"), t.GROUP)
+    fences = outliers.sketched_fences(merged, t.GROUP)
+    amount, n = F.col("amount"), F.col("n_group")
+    placed = rows.join(fences, list(t.GROUP)).groupBy(*t.GROUP, "n_group").agg(
+        *[F.count_if(op(amount, F.col(q))).alias(f"{q}_{name}") for q in ("q1", "q3") for name, op in
+          (("below", lambda a, b: a < b), ("upto", lambda a, b: a <= b))]
+    )
+    # One row more, since a rank falls between two rows.
+    error = 1 + n * outliers.RANK_ERROR
+    fits = lambda q, share: ((F.col(f"{q}_below") - error <= n * share) & (F.col(f"{q}_upto") + error >= n * share)).alias(f"{q}_fits")
+    return placed.select(*t.GROUP, "n_group", fits("q1", 0.25), fits("q3", 0.75))
+
+
 @query
 def outlier_summary(spark, folder):
-    stats = outliers.group_fences(t.movements(spark, folder), t.GROUP, "amount")
-    return outliers.run_summary(stats, t.found_outliers(spark, folder))
+    return outliers.summarise_run(t.movements(spark, folder), t.GROUP, "amount")
 
 
 @query
@@ -485,6 +552,21 @@ def check_nulls(spark, folder):
     return quality.null_problems(rows, "balance", ["owner_id", "period", "total_in", "total_out"])
 
 
+@query
+def check_contract(spark, folder):
+    """The balance against its contract, once a column has another type, one is missing and a name has come in."""
+    owners = t.table(spark, folder, "customer").select(F.col("c_custkey").alias("owner_id"), F.col("c_name").alias("name"))
+    rows = t.balance(spark, folder).drop("n_out").withColumn("total_in", F.col("total_in").cast("double")).join(owners, "owner_id")
+    return quality.all_problems(
+        [
+            quality.contract_problems(spark, rows.schema, BALANCE_SPEC),
+            quality.forbidden_columns(spark, rows.schema, "balance", ["name", "note"]),
+            quality.null_problems(rows, "balance", ["owner_id", "period", "name"]),
+            quality.duplicate_problems(rows, "balance", ["owner_id"]),
+        ]
+    )
+
+
 @query
 def check_unique(spark, folder):
     """Line numbers are not unique within an order."""
@@ -540,6 +622,13 @@ def check_change(spark, folder):
     return quality.change_problems(rows, "supplier_spend", ["supplier_id", "flag"], "period", "total")
 
 
+BALANCE_SPEC = TableSpec(
+    "balance",
+    "owner_id BIGINT, period DATE, total_in DECIMAL(18,2), total_out DECIMAL(18,2), balance DECIMAL(18,2), "
+    "n_in BIGINT, n_out BIGINT, running_balance DECIMAL(18,2)",
+    keys=("owner_id", "period"),
+    nullable=(),
+)
 SPEND_SPEC = TableSpec(
     "category_spend",
     "owner_id BIGINT, period DATE, category_id INT, label STRING, total DECIMAL(18,2), n BIGINT, "
@@ -649,6 +738,17 @@ def check_report(spark, folder):
     return quality.report(check_orphans(spark, folder).unionByName(check_unique(spark, folder)))
 
 
+@query
+def check_gate(spark, folder):
+    """What a gate says when it stops a run over the same problems; one line per check and table."""
+    try:
+        quality.gate(check_orphans(spark, folder).unionByName(check_unique(spark, folder)))
+        lines = []
+    except quality.QualityError as error:
+        lines = str(error).split("\n")
+    return spark.createDataFrame([(line,) for line in lines], "line STRING")
+
+
 # -------------------------------------------------------------------------- reconciliation
 @query
 def recon_counts(spark, folder):
@@ -684,9 +784,48 @@ def multiset_diff(spark, folder):
     return reconcile.multiset_diff(orders, _state(spark, folder), columns)
 
 
+@query
+def warehouse_check(spark, folder):
+    """The balance loaded into a warehouse table, which then loses and gains rows, against what was loaded."""
+    dataset = f"marts_{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE DATABASE {dataset} LOCATION '{scratch_dir(spark, 'warehouse')}'")
+    balance, specs = t.balance(spark, folder), {"balance": BALANCE_SPEC}
+    warehouse.load_tables(spark, {"balance": balance}, specs, dataset)
+    quality.gate(warehouse.loaded_problems(spark, {"balance": balance}, specs, dataset))
+    # What was published since: some owners' balances differ from what the warehouse still has.
+    later = _plant(balance, "balance", _every("owner_id", 31), F.col("balance") + 1)
+    return warehouse.loaded_problems(spark, {"balance": later}, specs, dataset)
+
+
+def _published(spark, folder) -> str:
+    root = scratch_dir(spark, "published")
+    publish.publish({"balance": t.balance(spark, folder), "category_spend": t.category_spend(spark, folder)}, root)
+    return root
+
+
 @query
 def publish_manifest(spark, folder):
     """Balance and category spend, published, verified and read back from the manifest."""
+    return publish.latest_manifest(spark, _published(spark, folder)).select("table", "n_rows", "digest")
+
+
+@query
+def publish_plan(spark, folder):
+    """Rows that a publication of two layers would copy, from their files' footers."""
+    root = scratch_dir(spark, "curated")
+    for name, rows in (("balance", t.balance(spark, folder)), ("category_spend", t.category_spend(spark, folder))):
+        write_layer(rows, f"{root}/{name}")
+    planned = publish.plan(spark, root, {"balance": "target/balance", "category_spend": "target/category_spend"})
+    return planned.select("table", "target", "n_rows", (F.col("n_files") > 0).alias("has_files"), (F.col("n_bytes") > 0).alias("has_bytes"))
+
+
+@query
+def publish_retention(spark, folder):
+    """Three publications of which the last two stay; content and files of the last are as listed."""
     root = scratch_dir(spark, "published")
-    publish.publish({"balance": t.balance(spark, folder), "category_spend": t.category_spend(spark, folder)}, root)
-    return publish.latest_manifest(spark, root).select("table", "n_rows", "digest")
+    balance = t.balance(spark, folder)
+    runs = [publish.publish({"balance": balance.filter(F.col("owner_id") % 3 >= n)}, root) for n in (2, 1, 0)]
+    gone = publish.expire(spark, root, keep=2, older_than=timedelta(0))
+    problems = publish.file_problems(spark, root).unionByName(publish.verify_published(spark, root))
+    kept = publish.read_published(spark, root, "balance").agg(F.count("*").alias("n_rows"), F.sum("balance").cast(money.MONEY).alias("total"))
+    return kept.select("n_rows", "total", F.lit(gone == runs[:1]).alias("first_is_gone"), F.lit(problems.isEmpty()).alias("files_are_whole"))

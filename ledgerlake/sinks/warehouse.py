@@ -8,7 +8,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.operators import quality
+from ledgerlake.operators import quality, reconcile
 from ledgerlake.spec import TableSpec
 
 # What a data set may be called.
@@ -60,3 +60,21 @@ def load_tables(
             raise LoadError(f"{target}: has {n} rows, the load wrote {written.get['n']}")
         loaded[target] = n
     return loaded
+
+
+def loaded_problems(
+    spark: SparkSession, tables: Mapping[str, DataFrame], specs: Mapping[str, TableSpec], dataset: str
+) -> DataFrame:
+    """What differs between the warehouse and the tables it was loaded from: columns, types and whole rows."""
+    targets = load_plan(specs, dataset)
+    parts = []
+    for name, rows in tables.items():
+        spec, stored = specs[name], spark.table(targets[name])
+        reported = {f.name: reconcile.warehouse_type(f.dataType) for f in stored.schema.fields}
+        parts.append(reconcile.warehouse_schema_problems(spark, reported, spec))
+        if all(c in stored.columns for c in spec.columns):
+            diff = reconcile.multiset_diff(rows, stored, spec.columns)
+            side = F.when(F.col("side") == "left", F.lit("only published x")).otherwise(F.lit("only in the warehouse x"))
+            detail = F.concat(side, F.col("n_extra").cast("string"))
+            parts.append(quality.problems(diff, "warehouse rows", name, quality.key_text(spec.keys), detail))
+    return quality.all_problems(parts)

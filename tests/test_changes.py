@@ -1,11 +1,13 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import json
 from decimal import Decimal
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from ledgerlake.functions import wire
 from ledgerlake.operators import changes
@@ -147,6 +149,26 @@ def test_quarantine_mode_diverts_a_bad_value(spark, bad):
     assert rows(found, "offset", "reason") == [(0, f"bad value: {next(iter(bad))}")]
 
 
+def test_quarantine_mode_keeps_the_last_good_version(spark):
+    messages = [
+        event("c", after=row(1, "5.00")), event("u", after=row(1, "ten")), event("c", after=row(2, "7.00")),
+        event("u", after=row(2, "x")), event("d", before=row(2, "x")), event("c", after=row(3, "bad")),
+    ]
+    assert state(spark, *messages, mode="quarantine", columns=("id", "amount")) == [(1, Decimal("5.00"))]
+    assert rows(changes.quarantined(log(spark, *messages), SPEC), "offset") == [(1,), (3,), (5,)]
+
+
+@pytest.mark.parametrize("by", [[], ["kind"]])
+def test_samples_merge_and_repeat(spark, by):
+    table = spark.range(60).select(F.col("id"), (F.col("id") % 3).alias("kind"))
+    sample = rows(changes.sample_rows(table.repartition(7), ["id"], 4, by))
+    parts = [changes.sample_rows(table.filter(f"id % 2 = {n}"), ["id"], 4, by) for n in (0, 1)]
+    assert sample == rows(changes.sample_rows(parts[0].unionByName(parts[1]), ["id"], 4, by))
+    order = sorted(range(60), key=lambda i: hashlib.md5(str(i).encode()).hexdigest())
+    groups = [[i for i in order if i % 3 == k][:4] for k in range(3)] if by else [order[:4]]
+    assert {r[0] for r in sample} == {i for g in groups for i in g}
+
+
 def test_a_deleted_row_is_not_quarantined_for_its_old_values(spark):
     assert changes.quarantined(log(spark, event("d", before=row(1, "ten")), None), SPEC).isEmpty()
 

@@ -13,6 +13,7 @@ from ledgerlake.operators import quality, reconcile
 from ledgerlake.plans import finance
 from ledgerlake.sinks import publish
 from ledgerlake.sources import events
+from ledgerlake.sources.relational import FrameSource
 from tests import finance_lake as lakes
 from tests.conftest import rows
 
@@ -67,7 +68,7 @@ def test_a_sound_lake_has_no_problems(spark, tables, state):
     quality.gate(finance.contract_problems(spark, tables))
     quality.gate(finance.coherence_problems(tables, state))
     quality.gate(finance.outlier_problems(tables["anomalias"], state))
-    quality.gate(finance.source_problems(tables, state, state))
+    quality.gate(finance.source_problems(tables, state, FrameSource(state)))
 
 
 # ----------------------------------------------------------------------------- planted defects
@@ -191,7 +192,7 @@ def stored(table, alter):
 
 
 def source(alter):
-    return lambda s, t, st: finance.source_problems(t, st, alter(st))
+    return lambda s, t, st: finance.source_problems(t, st, FrameSource(alter(st)))
 
 
 ACTIVE = "eliminado_en IS NULL"

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import bisect
 import math
 import random
 from collections import defaultdict
@@ -10,8 +11,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerlake.operators import outliers
+from ledgerlake.operators.ranking import BUCKET_BITS, order_statistics, ordinals
 from ledgerlake.plans import recompute
-from ledgerlake.operators.ranking import order_statistics, ordinals
 from tests.conftest import rows
 
 D = Decimal
@@ -159,6 +160,43 @@ def test_run_summary(spark):
     }
 
 
+def test_a_run_is_summarised_from_fences_computed_once(spark):
+    chance = random.Random(4)
+    groups = {(g, g % 2): [f"{chance.lognormvariate(4, 1.5):.2f}" for _ in range(chance.choice([5, 30, 90]))] + [None] for g in range(9)}
+    table = moves(spark, groups | {(50, 1): [None, None], (51, 1): ["3"] * 9})
+    group = ["owner", "dim"]
+    wanted = outliers.run_summary(outliers.group_fences(table, group, "amount"), outliers.iqr_outliers(table, group, "amount", ["id"]))
+    found = outliers.summarise_run(table, group, "amount")
+    assert rows(found) == rows(wanted) and dict(rows(found))["n_groups"] == 11
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ReusedExchange") >= 1
+
+
+def test_amounts_of_a_large_group_are_ranked_in_parts(spark):
+    """A group with most rows and distinct amounts: no window holds more of it than one value bucket."""
+    amounts = [f"{i * 97 % 4001 * 1000}.{i % 100:02d}" for i in range(4001)]
+    frame = moves(spark, {(1, 1): amounts, (2, 2): BASE})
+    cents = frame.select("owner", (F.col("amount") * 100).cast("bigint").alias("c"))
+    biggest = cents.groupBy("owner", F.shiftright("c", BUCKET_BITS).alias("b")).count().agg(F.max("count")).first()[0]
+    assert biggest < 100
+    stats = {r.owner: r for r in outliers.group_fences(frame, ["owner", "dim"], "amount").collect()}
+    values = sorted(Fraction(a) for a in amounts)
+    assert (Fraction(stats[1].q1), Fraction(stats[1].q3)) == (values[1000], values[3000])
+
+
+def test_sketched_quartiles_are_within_the_stated_rank_error(spark):
+    chance = random.Random(9)
+    groups = {(1, 1): [f"{chance.lognormvariate(5, 2):.2f}" for _ in range(30000)], (2, 1): [f"{i}.00" for i in range(50)], (3, 1): [None] * 9}
+    table = moves(spark, groups).repartition(5).withColumn("part", F.col("id") % 7)
+    merged = outliers.merged_sketches(outliers.quartile_sketches(table, ["owner", "dim", "part"], "amount"), ["owner", "dim"])
+    fences = {r.owner: r for r in outliers.sketched_fences(merged, ["owner", "dim"]).collect()}
+    values = sorted(Fraction(a) for a in groups[(1, 1)])
+    for share, found in ((0.25, fences[1].q1), (0.75, fences[1].q3)):
+        assert abs(bisect.bisect_left(values, Fraction(found)) / 30000 - share) <= outliers.RANK_ERROR
+    assert fences[1].n_group == 30000 and abs(fences[2].q1 - 12) <= 1 and fences[3].q1 is None and fences[3].n_group == 9
+
+
 # ----------------------------------------------------------------------------------- ranks
 def test_ordinals_equal_row_number_for_any_bucket_size(spark):
     chance = random.Random(3)

@@ -1,6 +1,9 @@
 from __future__ import annotations
 
+import datetime as dt
 import glob
+import os
+import shutil
 from decimal import Decimal
 
 import pytest
@@ -27,8 +30,8 @@ def sample(spark):
     return table(spark, (1, "1.00", "a"), (2, "2.00", None), (3, "3.00", "c"))
 
 
-def files(path):
-    return glob.glob(f"{path}/**/*.parquet", recursive=True)
+def files(path, kind="parquet"):
+    return glob.glob(f"{path}/**/*.{kind}", recursive=True)
 
 
 def test_write_layer_counts_and_overwrites(spark, sample, folder):
@@ -93,11 +96,66 @@ def test_digest_ignores_order_and_sees_every_value(spark, sample):
     assert digest(sample.limit(0)) == 0
 
 
-def test_plan_lists_files_without_writing(spark, sample, folder):
+@pytest.mark.parametrize("one, other", [((None, "x"), ("\\N", "x")), (("a\x1fb", "c"), ("a", "b\x1fc")), (("1:a,", ""), ("1:a", ",")), (("-", None), (None, "-")), (("", None), (None, ""))])
+def test_digest_keeps_nulls_and_fields_apart(spark, one, other):
+    digest = lambda values: publish.fingerprint(spark.createDataFrame([values], "a STRING, b STRING"), "t").first()["digest"]
+    assert digest(one) != digest(other) and digest(one) == digest(one)
+
+
+def test_a_changed_byte_a_missing_and_a_new_file_are_found(spark, sample, folder):
+    publish.publish({"a": sample.repartition(2), "b": sample.repartition(2)}, folder, run_id="r1")
+    assert publish.file_problems(spark, folder).isEmpty()
+    found = lambda: sorted((r.table, r.detail) for r in publish.file_problems(spark, folder).collect())
+    for checksum in glob.glob(f"{folder}/*/run=r1/.*.crc"):  # a local file system would notice by itself
+        os.remove(checksum)
+    one, two = sorted(glob.glob(f"{folder}/a/run=r1/*.parquet"))[:2]
+    with open(one, "r+b") as file:
+        file.seek(10)
+        byte = file.read(1)
+        file.seek(10)
+        file.write(bytes([byte[0] ^ 1]))
+    assert found() == [("a", "file has other bytes")]
+    shutil.copy(two, f"{folder}/b/run=r1/part-copy.parquet")
+    with open(two, "ab") as file:
+        file.write(b"x")
+    assert found() == [("a", "file has another size"), ("a", "file has other bytes"), ("b", "file is not listed")]
+    os.remove(glob.glob(f"{folder}/b/run=r1/part-0*.parquet")[0])
+    assert ("b", "file is missing") in found()
+
+
+def test_old_publications_expire_and_readers_stay_right(spark, sample, folder):
+    for n in (1, 2, 3):
+        publish.publish({"a": sample.filter(f"id <= {n}"), "b": sample}, folder, run_id=f"r{n}")
+    reading = publish.read_published(spark, folder, "a")
+    assert publish.expire(spark, folder, keep=2) == []  # none is a week old
+    assert publish.expire(spark, folder, keep=2, older_than=dt.timedelta(0)) == ["r1"]
+    assert sorted(os.listdir(f"{folder}/a")) == ["run=r2", "run=r3"] and len(files(f"{folder}/_manifest", "json")) == 1
+    assert rows(reading) == rows(publish.read_published(spark, folder, "a")) == rows(sample)
+    assert publish.verify_published(spark, folder).isEmpty() and publish.file_problems(spark, folder).isEmpty()
+    assert publish.expire(spark, folder, keep=0, older_than=dt.timedelta(0)) == ["r2"]  # the last one always stays
+    assert publish.expire(spark, folder, keep=1, older_than=dt.timedelta(0)) == []
+    publish.publish({"a": sample, "b": sample}, folder, run_id="r4")
+    assert {r.run_id for r in publish.latest_manifest(spark, folder).collect()} == {"r4"}
+
+
+def test_an_expiry_cut_short_changes_no_reader(spark, sample, folder):
+    publish.publish({"a": sample}, folder, run_id="r1")
+    line = glob.glob(f"{folder}/_manifest/*.json")[0]
+    shutil.copy(line, line.replace("part-", "part-again-"))  # the rewritten list stands beside the old one
+    assert publish.latest_manifest(spark, folder).count() == 1 and rows(publish.read_published(spark, folder, "a")) == rows(sample)
+
+
+def test_plan_lists_rows_and_files_without_writing_or_reading_a_column(spark, sample, folder):
     write_layer(sample, f"{folder}/t", single_file=True)
+    write_layer(sample.limit(0), f"{folder}/none")
     before = files(folder)
-    line = publish.plan(spark, folder, {"t": "bucket/t"}).first()
-    assert (line["table"], line["target"], line["n_files"]) == ("t", "bucket/t", 1) and line["n_bytes"] > 0
+    planned = publish.plan(spark, folder, {"t": "bucket/t", "none": "bucket/none"})
+    line, none = planned.orderBy(F.desc("table")).collect()
+    assert (line["table"], line["target"], line["n_rows"], line["n_files"]) == ("t", "bucket/t", 3, 1) and line["n_bytes"] > 0
+    assert none["n_rows"] == 0
+    plan = planned._jdf.queryExecution().executedPlan().toString()
+    scans = [scan for scan in plan.split("FileScan")[1:] if scan.lstrip().startswith("parquet")]
+    assert scans and all("ReadSchema: struct<>" in scan for scan in scans)
     assert files(folder) == before
 
 
@@ -121,6 +179,16 @@ def test_bad_data_set_names_are_rejected_first(spark, sample, name):
         warehouse.load_tables(spark, {"t": sample}, {"t": SPEC}, name)
 
 
+def test_the_loaded_table_is_compared_whole(spark, sample, dataset):
+    warehouse.load_tables(spark, {"t": sample}, {"t": SPEC}, dataset)
+    check = lambda frame, spec=SPEC: rows(warehouse.loaded_problems(spark, {"t": frame}, {"t": spec}, dataset), "check", "key", "detail")
+    assert check(sample) == []
+    more = sample.unionByName(sample.filter("id = 1")).filter("id != 2")
+    assert check(more) == [("warehouse rows", "1", "only published x1"), ("warehouse rows", "2", "only in the warehouse x1")]
+    wider = TableSpec("t", SPEC.ddl + ", extra STRING")
+    assert check(sample, wider) == [("warehouse schema", "extra", "column is missing")]
+
+
 def test_load_stops_at_the_first_failure(spark, sample, dataset):
     other = sample.withColumnRenamed("note", "other")
     with pytest.raises(quality.QualityError, match="note: column is missing"):
