@@ -17,7 +17,7 @@ large groups of near copies in one comparison each. The full join is left for cl
 match, against all earlier ones that they were not compared with, so no match is lost.
 
 Only DataFrame functions run here. Words count as equal when 48 bits of their hash and their
-level are; classes are known by 128 bits.
+level are; classes are known by 128 bits throughout, so an id on several rows mixes nothing up. Ids may be of any type that can be ordered.
 
 Defined results: null and empty texts have no lines with words; lines without words are kept and match
 nothing; lines at the same place (rows with the same id, line number) never remove each other,
@@ -67,10 +67,15 @@ def _levels(texts: DataFrame, space: Workspace) -> DataFrame:
     return space.keep(cells.agg(F.transform(ordered, lambda c: c["level"]).alias("levels")), "levels")
 
 
+def _document() -> Column:
+    """The id of a row, or the hash of its text where it has none."""
+    return F.struct(F.col("key").alias("id"), F.when(F.col("key").isNull(), F.col("text_hash")).alias("hash"))
+
+
 def _lines(texts: DataFrame) -> DataFrame:
     """doc, line (order of rows without id after all others), text_hash, line_no and the line."""
     exploded = texts.select(
-        F.coalesce("key", "text_hash").alias("doc"),
+        _document().alias("doc"),
         "text_hash",
         F.col("key").isNull().alias("late"),
         F.posexplode(F.split("text", "\n")).alias("line_no", "body"),
@@ -124,11 +129,14 @@ def _may_reach(percent: int) -> Column:
     return lengths & ((100 + percent) * most >= percent * (n_a + n_b))
 
 
-def _side(frame: DataFrame, side: str, *more: str) -> DataFrame:
-    return frame.select(*more, *[F.col(c).alias(f"{c}_{side}") for c in ("doc", "line", "n", "place")])
+# What a posting knows of its class: identity, first line, number of words and parity bits.
+_CLASS = ["h1", "h2", "doc", "line", "n", "p1", "p2"]
+_NAMES = ["h1_a", "h2_a", "h1_b", "h2_b"]
+_PAIR = [*_NAMES, "doc_a", "line_a", "doc_b", "line_b"]
 
 
-_PAIR = ["doc_a", "line_a", "doc_b", "line_b"]
+def _side(frame: DataFrame, side: str, *more: str) -> DataFrame:
+    return frame.select(*more, *[F.col(c).alias(f"{c}_{side}") for c in (*_CLASS, "place")])
 
 
 def _band(n: Column, percent: int) -> Column:
@@ -136,39 +144,39 @@ def _band(n: Column, percent: int) -> Column:
     return n.cast("long") if percent >= 100 else F.floor(F.log(n.cast("double")) / F.log(F.lit(100.0 / percent)))
 
 
-def _first_pairs(classes: DataFrame, lines: Lines) -> DataFrame:
-    """The earliest class of each list (word, like lengths) with the others, for the last words of the prefix."""
-    band = _band(F.col("n"), lines.percent)
-    last = F.greatest(F.size("prefix") - lines.first_words, F.lit(0))
-    postings = classes.select("doc", "line", "n", band.alias("band"), last.alias("skip"), F.posexplode("prefix").alias("place", "code"))
-    postings = postings.where(F.col("place") >= F.col("skip")).drop("skip")
-    rank = F.struct((F.col("line") >= _LATE).alias("late"), "doc", "line", "n", "place")
-    heads = postings.groupBy("code", "band").agg(F.min(rank).alias("h"), F.count("*").alias("m")).where("m > 1")
-    heads = heads.select("code", "band", *[F.col(f"h.{c}").alias(f"{c}_a") for c in ("doc", "line", "n", "place")])
-    pairs = _side(postings, "b", "code", "band").join(heads, ["code", "band"])
-    return pairs.where(_earlier("a", "b") & _may_reach(lines.percent)).select(*_PAIR, "n_a", "n_b").distinct()
-
-
-def _other_pairs(classes: DataFrame, matched: DataFrame, lines: Lines) -> DataFrame:
-    """Classes without a match with all earlier ones that may match."""
-    open_ = classes.join(matched.withColumn("settled", F.lit(True)), ["doc", "line"], "left")
-    postings = open_.select("doc", "line", "n", F.col("settled").isNull().alias("open"), F.posexplode("prefix").alias("place", "code"))
-    a = _side(postings, "a", "code")
-    b = _side(postings, "b", "code", "open")
-    pairs = a.join(b, "code").where(F.col("open") & _earlier("a", "b") & _may_reach(lines.percent))
-    return pairs.select(*_PAIR, "n_a", "n_b").distinct()
-
-
-def _like_parity(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose parity bits differ in no more places than words may."""
-    bits = classes.select("doc", "line", "p1", "p2")
-    a = bits.select(*[F.col(c).alias(f"{c}_a") for c in bits.columns])
-    b = bits.select(*[F.col(c).alias(f"{c}_b") for c in bits.columns])
-    both = pairs.join(a, ["doc_a", "line_a"]).join(b, ["doc_b", "line_b"])
+def _postings(classes: DataFrame, space: Workspace) -> DataFrame:
+    """Places of the prefix words that several prefixes hold; a word of one class alone can pair nothing."""
+    placed = classes.select(*_CLASS, F.size("prefix").alias("length"), F.posexplode("prefix").alias("place", "code"))
+    shared = placed.groupBy("code").agg(F.count("*").alias("m")).where("m > 1").select("code")
+    return space.keep(placed.join(shared, "code", "left_semi"), "postings")
+
+
+def _like_parity(percent: int) -> Column:
+    """Whether the parity bits of two classes differ in no more places than words may."""
     size = F.col("n_a") + F.col("n_b")
     # size - 2 * shared words differ, and shared * (100 + percent) >= percent * size at the threshold
     apart = [F.bit_count(F.col(f"{p}_a").bitwiseXOR(F.col(f"{p}_b"))) for p in ("p1", "p2")]
-    return both.where((100 + percent) * F.greatest(*apart) <= (100 - percent) * size).select(*_PAIR, "n_a", "n_b")
+    return (100 + percent) * F.greatest(*apart) <= (100 - percent) * size
+
+
+def _candidates(pairs: DataFrame, percent: int) -> DataFrame:
+    """Pairs of postings whose classes may match, the earlier class as a."""
+    return pairs.where(_earlier("a", "b") & _may_reach(percent) & _like_parity(percent)).select(*_PAIR).distinct()
+
+
+def _first_pairs(postings: DataFrame, lines: Lines) -> DataFrame:
+    """The earliest class of each list (word, like lengths) with the others, for the last words of the prefix."""
+    banded = postings.withColumn("band", _band(F.col("n"), lines.percent)).where(F.col("place") >= F.col("length") - lines.first_words)
+    rank = F.struct((F.col("line") >= _LATE).alias("late"), "doc", "line", "n", "place", "h1", "h2", "p1", "p2")
+    heads = banded.groupBy("code", "band").agg(F.min(rank).alias("h"), F.count("*").alias("m")).where("m > 1")
+    heads = heads.select("code", "band", *[F.col(f"h.{c}").alias(f"{c}_a") for c in (*_CLASS, "place")])
+    return _candidates(_side(banded, "b", "code", "band").join(heads, ["code", "band"]), lines.percent)
+
+
+def _other_pairs(postings: DataFrame, matched: DataFrame, lines: Lines) -> DataFrame:
+    """Classes without a match with all earlier ones that may match."""
+    open_ = postings.join(matched, ["h1", "h2"], "left_anti")
+    return _candidates(_side(postings, "a", "code").join(_side(open_, "b", "code"), "code"), lines.percent)
 
 
 def _in_filter(texts: DataFrame, wanted: DataFrame, space: Workspace) -> DataFrame:
@@ -178,7 +186,7 @@ def _in_filter(texts: DataFrame, wanted: DataFrame, space: Workspace) -> DataFra
     dense = texts.sparkSession.range(1, FILTER_BITS // 32768 + 1).join(parts, "id", "left")
     ordered = F.array_sort(F.collect_list(F.struct("id", F.coalesce("bits", F.lit(b"")).alias("bits"))))
     maps = space.keep(dense.agg(F.transform(ordered, lambda c: c["bits"]).alias("maps")), "document-filter")
-    rows = texts.withColumn("bit", F.pmod(F.xxhash64(F.coalesce("key", "text_hash")), F.lit(FILTER_BITS)) + 1)
+    rows = texts.withColumn("bit", F.pmod(F.xxhash64(_document()), F.lit(FILTER_BITS)) + 1)
     rows = rows.withColumn("maps", maps.select("maps").scalar())
     place = F.bitmap_bit_position(F.col("bit"))
     byte = F.substring(F.get("maps", (F.bitmap_bucket_number(F.col("bit")) - 1).cast("int")), F.floor(place / 8).cast("int") + 1, F.lit(1))
@@ -186,26 +194,31 @@ def _in_filter(texts: DataFrame, wanted: DataFrame, space: Workspace) -> DataFra
     return rows.where(F.getbit(value, (place % 8).cast("int")) == 1).drop("bit", "maps")
 
 
-def _matches(pairs: DataFrame, classes: DataFrame, texts: DataFrame, levels: DataFrame, lines: Lines, space: Workspace) -> DataFrame:
-    """Later lines (doc, line) of the pairs at the threshold."""
-    pairs = space.keep(_like_parity(pairs, classes, lines.percent), "like-pairs")
-    wanted = pairs.select(F.col("doc_a").alias("doc"), F.col("line_a").alias("line"))
-    wanted = space.keep(wanted.union(pairs.select("doc_b", "line_b")).distinct(), "wanted-lines")
-    found = _lines(_in_filter(texts, wanted.select("doc").distinct(), space)).join(wanted, ["doc", "line"], "left_semi")
-    sets = space.keep(_with_codes(found, levels).select("doc", "line", "codes"), "wanted-sets")
+def _matches(pairs: DataFrame, texts: DataFrame, levels: DataFrame, lines: Lines, space: Workspace) -> DataFrame:
+    """Later classes (h1, h2) of the pairs at the threshold."""
+    wanted = pairs.select(*[F.col(f"{c}_a").alias(c) for c in ("h1", "h2", "doc", "line")])
+    wanted = wanted.union(pairs.select(*[f"{c}_b" for c in ("h1", "h2", "doc", "line")])).distinct()
+    wanted = space.keep(wanted, "wanted-lines")
+    found = _lines(_in_filter(texts, wanted.select("doc").distinct(), space)).join(wanted.select("doc", "line").distinct(), ["doc", "line"], "left_semi")
+    named = _with_codes(found, levels).select(*_identity(), "codes").join(wanted.select("h1", "h2"), ["h1", "h2"], "left_semi")
+    sets = space.keep(named.groupBy("h1", "h2").agg(F.first("codes").alias("codes")), "wanted-sets")
     a = sets.select(*[F.col(c).alias(f"{c}_a") for c in sets.columns])
     b = sets.select(*[F.col(c).alias(f"{c}_b") for c in sets.columns])
-    both = pairs.join(a, ["doc_a", "line_a"]).join(b, ["doc_b", "line_b"])
+    both = pairs.select(*_NAMES).join(a, ["h1_a", "h2_a"]).join(b, ["h1_b", "h2_b"])
     shared = F.size(F.array_intersect("codes_a", "codes_b"))
     size = F.size("codes_a") + F.size("codes_b")
-    return both.where((100 + lines.percent) * shared >= lines.percent * size).select(F.col("doc_b").alias("doc"), F.col("line_b").alias("line")).distinct()
+    matched = both.where((100 + lines.percent) * shared >= lines.percent * size)
+    matched = space.keep(matched.select(F.col("h1_b").alias("h1"), F.col("h2_b").alias("h2")).distinct(), "matched")
+    for name in ("wanted-lines", "document-filter", "wanted-sets"):
+        space.drop(name)
+    return matched
 
 
 def removed_lines(documents: DataFrame, lines: Lines = Lines(), key: str = "doc_id", text: str = "text") -> DataFrame:
     """Lines that an earlier line matches: key, text_hash and line_no."""
     space = Workspace(documents.sparkSession, "line-dedup")
     body = documents[text]
-    texts = documents.select(documents[key].cast("long").alias("key"), F.xxhash64(body).alias("text_hash"), body.alias("text"))
+    texts = documents.select(documents[key].alias("key"), F.xxhash64(body).alias("text_hash"), body.alias("text"))
     levels = _levels(texts, space)
     coded = _with_codes(_lines(texts), levels)
     n = F.size("codes")
@@ -222,17 +235,18 @@ def removed_lines(documents: DataFrame, lines: Lines = Lines(), key: str = "doc_
         .select("h1", "h2", F.col("first.doc").alias("doc"), F.col("first.line").alias("line"), "m", "n", "p1", "p2", "prefix")
     )
     classes = space.keep(classes, "classes")
-    first = space.keep(_first_pairs(classes, lines), "pairs")
-    matched = space.keep(_matches(first, classes, texts, levels, lines, space), "matched")
-    others = _other_pairs(classes, matched, lines).join(first.select(*_PAIR), _PAIR, "left_anti")
-    others = space.keep(others, "pairs")
-    matched = space.keep(matched.union(_matches(others, classes, texts, levels, lines, space)), "matched")
-    flagged = classes.join(matched.withColumn("matched", F.lit(True)), ["doc", "line"], "left")
+    postings = _postings(classes, space)
+    first = space.keep(_first_pairs(postings, lines), "pairs")
+    matched = _matches(first, texts, levels, lines, space)
+    others = _other_pairs(postings, matched, lines).join(first.select(*_NAMES), _NAMES, "left_anti")
+    others = space.renew(others, "pairs")
+    space.drop("postings")
+    matched = matched.union(_matches(others, texts, levels, lines, space))
+    flagged = classes.join(matched.withColumn("matched", F.lit(True)), ["h1", "h2"], "left")
     flagged = flagged.where("m > 1 or matched").select("h1", "h2", F.col("doc").alias("doc_a"), F.col("line").alias("line_a"), "matched")
     all_lines = coded.select(*_identity(), "text_hash", "line_no", F.col("doc").alias("doc_b"), F.col("line").alias("line_b"))
     gone = all_lines.join(flagged, ["h1", "h2"]).where(_earlier("a", "b") | F.col("matched"))
-    key_of = F.when(F.col("line_b") < _LATE, F.col("doc_b"))
-    return space.result(gone.select(key_of.alias("key"), "text_hash", "line_no").distinct(), "removed-lines")
+    return space.result(gone.select(F.col("doc_b.id").alias("key"), "text_hash", "line_no").distinct(), "removed-lines")
 
 
 def summarise(documents: DataFrame, lines: Lines = Lines(), key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -254,7 +268,7 @@ def without_lines(documents: DataFrame, lines: Lines = Lines(), key: str = "doc_
     """The documents with all their columns, their texts without the lines removed."""
     removed = removed_lines(documents, lines, key, text)
     gone = removed.groupBy(F.col("key").alias("r_key_"), F.col("text_hash").alias("r_hash_")).agg(F.collect_list("line_no").alias("r_lines_"))
-    same = documents[key].cast("long").eqNullSafe(F.col("r_key_")) & (F.xxhash64(documents[text]) == F.col("r_hash_"))
+    same = documents[key].eqNullSafe(F.col("r_key_")) & (F.xxhash64(documents[text]) == F.col("r_hash_"))
     joined = documents.join(gone, same, "left")
     kept = F.filter(F.split(documents[text], "\n"), lambda _, i: ~F.array_contains("r_lines_", i))
     cleaned = F.when(F.col("r_lines_").isNull(), documents[text]).otherwise(F.array_join(kept, "\n"))

@@ -68,3 +68,14 @@ def test_rows_without_id_come_last(spark):
     rows = [document(None, "alpha beta gamma delta"), document(5, "alpha beta gamma delta"), document(None, "alpha beta gamma delta epsilon")]
     got = sorted([(r.doc_id, r.n_removed) for r in d.summarise(spark.createDataFrame(rows, SCHEMA)).collect()], key=repr)
     assert got == sorted([(5, 0), (None, 1), (None, 1)], key=repr)
+
+
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_one_id_on_two_texts_mixes_nothing_up(spark, kind):
+    one, two = " ".join(f"a{i}" for i in range(10)), " ".join(f"a{i}" for i in range(9))
+    other = " ".join(f"z{i}" for i in range(10))
+    rows = [(1, one), (5, two), (5, other), (7, other + " z11"), (7, "quite another line"), (7, "quite another line here")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").selectExpr(f"CAST(doc_id AS {kind}) AS doc_id", "text")
+    got = sorted((int(r.doc_id), r.n_removed) for r in d.summarise(frame).collect())
+    assert got == [(1, 0), (5, 0), (5, 1), (7, 0), (7, 0), (7, 1)]
+    assert sorted(r.text for r in d.without_lines(frame).collect() if r.text) == sorted([one, other, "quite another line", "quite another line here"])
