@@ -45,6 +45,8 @@ NAMED = re.compile(r"(?<![0-9A-Za-z])(?:(?:example|sample|placeholder)s?|changem
 PATH = re.compile(r"/[a-z][a-z_-]+/")
 HOST = re.compile(r"//[a-z][a-z0-9_-]*(?=/|$)")
 SEGMENT = re.compile(r"[^/]+")
+SLASH = re.compile(r"/+")
+NAME = re.compile(r"[-_=]*(?:(?:[A-Za-z]+|[0-9]{1,8})(?:[-_=]+|$))*")
 KINDS = ("assign", "access", "hex", "entropy")
 
 _HEX_ONLY = re.compile(r"[0-9a-fA-F]+")
@@ -106,19 +108,22 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return found
 
 
-def allowed_parts(value: str, longest: int) -> list[tuple[int, int]]:
+def allowed_parts(value: str) -> list[tuple[int, int]]:
     """Parts of a candidate that the allow list names.
 
-    Those are whole UUIDs and digests, a host after ``//``, the segments of a file path and any
-    segment (between slashes) with a placeholder word standing for itself. A segment above ``longest`` characters is no name and
-    stays: a key is not lost by a few characters that fit by chance.
+    Those are whole UUIDs and digests, a host after ``//``, and segments (between slashes) of a file path or with a
+    placeholder word standing for itself, if they are made like a name: of letters, or digits, between hyphens or
+    underscores. A segment that mixes letters and digits is no name, however short, and is judged by its windows; in a path
+    no window reaches over a slash.
     """
     parts = [m.span() for pattern in (UUID, DIGEST, HOST) for m in pattern.finditer(value)]
     path = PATH.match(value) is not None
     if path or NAMED.search(value):
         for m in SEGMENT.finditer(value):
-            if m.end() - m.start() <= longest and (path or NAMED.search(m.group())):
+            if NAME.fullmatch(m.group()) and (path or NAMED.search(m.group())):
                 parts.append(m.span())
+        if path:
+            parts += [m.span() for m in SLASH.finditer(value)]
     return parts
 
 
@@ -153,7 +158,7 @@ def method_spans(text: str, base: list[tuple[int, int, str]], windows: Windows)
     found = []
     least = min(windows.hex_size, windows.text_size)
     for m in CANDIDATE.finditer(text):
-        taken = [(at + m.start(), end + m.start()) for at, end in allowed_parts(m.group(), 2 * windows.text_size)]
+        taken = [(at + m.start(), end + m.start()) for at, end in allowed_parts(m.group())]
         taken += [(s, e) for s, e, _ in base if s < m.end() and m.start() < e]
         for at, end in _pieces(*m.span(), taken):
             value = text[at:end]

@@ -6,6 +6,8 @@ import random
 import re
 from collections import Counter
 
+import pytest
+
 from ledgerlake.llm import secret_scan as s
 
 
@@ -42,7 +44,8 @@ def test_entropy_is_kept_up_to_date():
 def test_allow_list_and_base_suppress_entropy():
     random_key = "q7Zt9LmX2vKp4RwB8nYc5HdJ"
     assert s.method_spans(random_key, [], s.Windows())
-    for text in ("123e4567-e89b-12d3-a456-426614174000", "my-example-" + random_key, "/usr/lib/" + random_key, "a" * 60, "internationalization"):
+    names = ("/usr/lib/python_modules/site-packages/some-long_module/2024-report", "my-example-of-a-long-placeholder/12345678-name")
+    for text in ("123e4567-e89b-12d3-a456-426614174000", *names, "a" * 60, "internationalization"):
         assert s.method_spans(text, [], s.Windows()) == [], text
     text = "token=" + random_key
     assert s.method_spans(text, s.base_spans(text), s.Windows()) == []
@@ -65,6 +68,21 @@ def test_allow_list_takes_only_what_it_names():
     assert s.method_spans(digest, [], s.Windows()) == []
 
 
+@pytest.mark.parametrize("size", [20, 24, 38, 40, 41, 48, 64])
+def test_keys_of_any_length_are_found_behind_paths_and_placeholders(size):
+    draw = random.Random(size)
+    for _ in range(40):
+        key = "".join(draw.sample("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", min(size, 62))) + "a9" * (size == 64)
+        key = "b7" + key[2:]
+        for before in ("/secrets/", "/aws/", "/run/my-app/", "my-example-", "/usr/lib/x-y_z/"):
+            for after in ("", "/next-page"):
+                text = before + key + after
+                spans = s.method_spans(text, [], s.Windows())
+                assert spans and spans[0][0] <= len(before) + 1 and max(e for _, e, _ in spans) >= len(before) + size - 1, (text, spans)
+                if before.startswith("/"):  # no window reaches over a slash of a path
+                    assert all(len(before) <= a and e <= len(before) + size for a, e, _ in spans)
+
+
 def test_base_span_takes_only_its_own_part():
     key = "q7Zt9LmX2vKp4RwB8nYc5HdJ"
     text = "AKIA" + "ABCDEFGH12345678" + "/" + key
