@@ -16,7 +16,7 @@ Shard files have names of their own and the index lists only those of tasks that
 
 Defined results: a null or empty text yields no ids; repeated rows are written each; an
 empty table gives an empty index and no shard; further columns are not read; texts over
-``PIECE_CHARS`` are encoded in pieces of that length, which changes no decoded text.
+``PIECE_CHARS`` are encoded in parts, cut where the pattern cuts anyway, so their ids are those of the whole text.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ from __future__ import annotations
 import base64
 import functools
 import hashlib
+import re
 import uuid
 import zlib
 from array import array
@@ -48,6 +49,7 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 END = 50256
 
 PIECE_CHARS = 500_000
+CUT = re.compile(r" (?=[^\W_])")
 SEQUENCES_PER_TASK = 1 << 31
 ROUNDS = 6
 ID = np.dtype("<u2")
@@ -73,11 +75,23 @@ def _encoder(vocabulary: bytes) -> tiktoken.Encoding:
     return tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+def pieces(text: str, size: int = PIECE_CHARS) -> Iterator[str]:
+    """A text in parts of some ``size`` characters, cut only before a space and a letter or number.
+
+    The pattern cuts there in any case, so the parts have the ids of the whole; a text without such a place stays whole.
+    """
+    start = 0
+    while len(text) - start > size and (cut := CUT.search(text, start + size)):
+        yield text[start : cut.start()]
+        start = cut.start()
+    yield text[start:]
+
+
 def encode(text: str, vocabulary: bytes) -> array:
     """The ids of a text, without the end mark."""
     encoder, ids = _encoder(vocabulary), array("H")
-    for start in range(0, len(text), PIECE_CHARS):
-        ids.extend(encoder.encode_ordinary(text[start : start + PIECE_CHARS]))
+    for piece in pieces(text):
+        ids.extend(encoder.encode_ordinary(piece))
     return ids
 
 

@@ -34,6 +34,22 @@ def test_texts_survive_encoding(vocabulary):
     assert s.decode(np.frombuffer(s.encode(long, vocabulary).tobytes(), dtype=s.ID), vocabulary) == long
 
 
+@pytest.mark.parametrize("size", [1, 2, 7, 50])
+def test_cut_texts_have_the_ids_of_the_whole(vocabulary, size):
+    encoder = s._encoder(vocabulary)
+    odd = " it's  été 12 345  x\n\n\ty  !? ²³ 漢字 😀  don't 'll \u00a0z  9 a   b "
+    for text in (PROSE, odd, odd * 5, "a" * 200, " " * 90 + "q", ""):
+        parts = list(s.pieces(text, size))
+        assert "".join(parts) == text
+        assert [i for part in parts for i in encoder.encode_ordinary(part)] == encoder.encode_ordinary(text)
+
+
+def test_a_long_text_has_the_ids_of_the_whole(vocabulary):
+    text = (PROSE + " née 1234 ") * 2600
+    assert len(text) > s.PIECE_CHARS + 100_000 and len(list(s.pieces(text))) == 2
+    assert list(s.encode(text, vocabulary)) == s._encoder(vocabulary).encode_ordinary(text)
+
+
 def test_round_trip(spark, odd, vocabulary, folder):
     odd.write.parquet(folder + "/odd")
     documents = spark.read.parquet(folder + "/odd")
