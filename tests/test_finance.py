@@ -175,7 +175,7 @@ def from_source(alter):
 
 def warehouse(table, **types):
     def find(s, t, st):
-        reported = {f.name: reconcile._warehouse_type(f.dataType) for f in finance.CURATED[table].schema}
+        reported = {f.name: reconcile.warehouse_type(f.dataType) for f in finance.CURATED[table].schema}
         reported |= {c: v for c, v in types.items() if v}
         return reconcile.warehouse_schema_problems(
             s, {c: v for c, v in reported.items() if types.get(c, "") is not None}, finance.CURATED[table]
