@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -144,7 +145,9 @@ def iqr_outliers(
     skewed. A row without a group key is not judged. The output has only the listed columns:
     free text stays behind.
     """
-    needed = rows.select(*dict.fromkeys([*group, amount, *keep])).dropna(subset=list(group))
+    needed = rows.select(*dict.fromkeys([*group, amount, *keep]))
+    # Said as the join below implies it, so that both uses of the amounts in the fences have one plan and one shuffle.
+    needed = needed.filter(reduce(lambda a, b: a & b, [F.col(g).isNotNull() for g in group]))
     stats = judged(group_fences(needed, group, amount, fences), fences)
     found = needed.join(stats, list(group)).filter(F.col(amount) > F.col("mild_fence"))
     cents = lambda name: F.round(F.col(name), 2).cast(money.MONEY).alias(name)
