@@ -12,12 +12,13 @@ def components(links: DataFrame, space: Workspace) -> DataFrame:
     """``node, label`` for every end of ``links`` (a, b): the least node that it reaches.
 
     A round takes the least label among a node and its neighbours, then the label of that
-    label, so labels travel over doubling distances. Rounds end when no label changes.
+    label, so labels travel over doubling distances. Rounds end when no label changes. Tables of a round, or of an
+    earlier call in the same workspace, go once the next stand.
     """
     both = links.select(F.col("a").alias("node"), F.col("b").alias("other"))
     both = both.union(links.select(F.col("b").alias("node"), F.col("a").alias("other"))).distinct()
-    both = space.keep(both, "links")
-    labels = space.keep(
+    both = space.renew(both, "ends")
+    labels = space.renew(
         both.groupBy("node").agg(F.min("other").alias("other")).select("node", F.least("node", "other").alias("label")),
         "labels",
     )
@@ -30,11 +31,11 @@ def components(links: DataFrame, space: Workspace) -> DataFrame:
         hooked = labels.join(near, "node").select(
             "node", F.col("label").alias("before"), F.least("label", "seen").alias("label")
         )
-        hooked = space.keep(hooked, "hooked")
+        hooked = space.renew(hooked, "hooked")
         jumped = hooked.join(
             hooked.select(F.col("node").alias("label"), F.col("label").alias("further")), "label"
         ).select("node", "before", F.least("label", "further").alias("label"))
-        labels = space.keep(jumped, "labels")
+        labels = space.renew(jumped, "labels")
         if labels.where("label != before").isEmpty():
             return labels.select("node", "label")
         labels = labels.select("node", "label")

@@ -228,9 +228,11 @@ def _postings(classes: DataFrame, space: Workspace) -> DataFrame:
     ends = [F.size("prefix").alias("length"), F.element_at("prefix", -1).alias("last")]
     placed = classes.select("class", "n", *ends, F.posexplode("prefix").alias("place", "code"))
     shared = placed.groupBy("code").agg(F.count("*").alias("m")).where("m > 1").select("code")
-    placed = space.keep(placed.join(shared, "code", "left_semi"), "postings")
+    placed = space.keep(placed.join(shared, "code", "left_semi"), "placed")
     most = placed.groupBy("class").agg((F.first("n") - F.first("length") + F.count("*")).alias("most"))
-    return space.keep(placed.drop("length").join(most, "class"), "postings")
+    postings = space.keep(placed.drop("length").join(most, "class"), "postings")
+    space.drop("placed")
+    return postings
 
 
 def _band(n: Column, percent: int) -> Column:
@@ -252,7 +254,7 @@ def _mixed_lists(space: Workspace, postings: DataFrame, labels: DataFrame) -> Da
     labelled = postings.drop("label").join(labels.withColumnRenamed("node", "class"), "class", "left")
     labelled = labelled.withColumn("label", F.coalesce("label", "class"))
     mixed = labelled.groupBy("code").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    return space.keep(labelled.join(mixed.where("low != high").select("code"), "code", "left_semi"), "mixed-lists")
+    return space.renew(labelled.join(mixed.where("low != high").select("code"), "code", "left_semi"), "mixed-lists")
 
 
 def _drawn_heads(lists: DataFrame, percent: int, number: int) -> DataFrame:
@@ -325,7 +327,10 @@ def _links(space: Workspace, pairs: DataFrame, classes: DataFrame, texts: DataFr
     once = partial.groupBy("a", "b", "n_a", "n_b", "fragment").agg(F.max("shared").alias("shared"))
     total = once.groupBy("a", "b", "n_a", "n_b").agg(F.sum("shared").alias("shared"))
     linked = (100 + join.percent) * F.col("shared") >= join.percent * (F.col("n_a") + F.col("n_b"))
-    return total.where(linked).select("a", "b")
+    linked_pairs = space.keep(total.where(linked).select("a", "b"), "links")
+    for name in ("segments", "wanted-sets", "plausible-pairs"):
+        space.drop(name)
+    return linked_pairs
 
 
 def memberships(documents: DataFrame, join: Join = Join(), key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -357,18 +362,22 @@ def memberships(documents: DataFrame, join: Join = Join(), key: str = "doc_id",
         )
     )
     classes = space.keep(classes, "classes")
+    rows = space.keep(rows.select("key", "text_hash", "n", "class"), "rows")
+    space.drop("sets")
     postings = _postings(classes, space)
     first = space.keep(_first_round(postings, join.percent), "pairs")
-    links = space.keep(_links(space, first, classes, texts, order, join), "links")
+    links = _links(space, first, classes, texts, order, join)
     labels, compared, lists = components(links, space), first.select("a", "b"), postings
     for number in range(join.draws + 1):
         lists = _mixed_lists(space, lists, labels)
+        if not number:
+            space.drop("postings")
         pairs = _drawn_heads(lists, join.percent, number) if number < join.draws else _rest(lists, join.percent)
         pairs = space.keep(pairs.join(compared, ["a", "b"], "left_anti"), "pairs")
         if pairs.isEmpty():
             continue
         compared = compared.union(pairs.select("a", "b"))
-        links = links.union(space.keep(_links(space, pairs, classes, texts, order, join), "links"))
+        links = links.union(_links(space, pairs, classes, texts, order, join))
         labels = components(links, space)
     labelled = classes.select("class", "least").join(labels.withColumnRenamed("node", "class"), "class", "left")
     labelled = labelled.select("class", "least", F.coalesce("label", "class").alias("component"))
