@@ -8,7 +8,7 @@ equal sets form a class, led by its earliest line (by document id, then line).
    classes are joined on those words only.
 2. Positional and length filter, in the join: from the places of the shared word at most so many
    words can be common, and sizes must be alike.
-3. Parity bits of the sets, twice 64 per class, bound from below how many words differ.
+3. Parity bits of the sets, 64 per class, bound from below how many words differ.
 4. Verification: the pairs left get their whole sets and their Jaccard similarity.
 
 Any earlier match removes a line, even one that is itself removed. A first round compares, per
@@ -17,7 +17,8 @@ large groups of near copies in one comparison each. The full join is left for cl
 match, against all earlier ones that they were not compared with, so no match is lost.
 
 Only DataFrame functions run here. Words count as equal when 48 bits of their hash and their
-level are; classes are known by 128 bits throughout, so an id on several rows mixes nothing up. Ids may be of any type that can be ordered.
+level are, classes when 128 bits are; these are numbered in the order of their first lines, so an id on several rows mixes
+nothing up. Ids may be of any type that can be ordered.
 
 Defined results: null and empty texts have no lines with words; lines without words are kept and match
 nothing; lines at the same place (rows with the same id, line number) never remove each other,
@@ -101,15 +102,10 @@ def _identity() -> list[Column]:
     return [F.xxhash64("codes").alias("h1"), F.xxhash64(F.lit(1), "codes").alias("h2")]
 
 
-def _parity(shift: int) -> Column:
+def _parity() -> Column:
     """64 bits, of which each word of a set flips one."""
-    return F.aggregate(
-        "codes",
-        F.lit(0).cast("long"),
-        lambda bits, c: bits.bitwiseXOR(
-            F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(c, shift).bitwiseAND(F.lit(63)).cast("int"))
-        ),
-    )
+    bit = lambda c: F.call_function("shiftleft", F.lit(1).cast("long"), c.bitwiseAND(F.lit(63)).cast("int"))
+    return F.aggregate("codes", F.lit(0).cast("long"), lambda bits, c: bits.bitwiseXOR(bit(c)))
 
 
 def _earlier(a: str, b: str) -> Column:
@@ -129,14 +125,12 @@ def _may_reach(percent: int) -> Column:
     return lengths & ((100 + percent) * most >= percent * (n_a + n_b))
 
 
-# What a posting knows of its class: identity, first line, number of words and parity bits.
-_CLASS = ["h1", "h2", "doc", "line", "n", "p1", "p2"]
-_NAMES = ["h1_a", "h2_a", "h1_b", "h2_b"]
-_PAIR = [*_NAMES, "doc_a", "line_a", "doc_b", "line_b"]
+_NAMES = ["name_a", "name_b"]
+_PAIR = [*_NAMES, "n_a", "n_b"]
 
 
 def _side(frame: DataFrame, side: str, *more: str) -> DataFrame:
-    return frame.select(*more, *[F.col(c).alias(f"{c}_{side}") for c in (*_CLASS, "place")])
+    return frame.select(*more, *[F.col(c).alias(f"{c}_{side}") for c in ("name", "n", "p", "place")])
 
 
 def _band(n: Column, percent: int) -> Column:
@@ -144,39 +138,38 @@ def _band(n: Column, percent: int) -> Column:
     return n.cast("long") if percent >= 100 else F.floor(F.log(n.cast("double")) / F.log(F.lit(100.0 / percent)))
 
 
-def _postings(classes: DataFrame, space: Workspace) -> DataFrame:
-    """Places of the prefix words that several prefixes hold; a word of one class alone can pair nothing."""
-    placed = classes.select(*_CLASS, F.size("prefix").alias("length"), F.posexplode("prefix").alias("place", "code"))
-    shared = placed.groupBy("code").agg(F.count("*").alias("m")).where("m > 1").select("code")
-    return space.keep(placed.join(shared, "code", "left_semi"), "postings")
+def _postings(classes: DataFrame, *more: Column) -> DataFrame:
+    """Places of the prefix words of the classes."""
+    return classes.select("name", "n", "p", *more, F.posexplode("prefix").alias("place", "code"))
 
 
 def _like_parity(percent: int) -> Column:
     """Whether the parity bits of two classes differ in no more places than words may."""
     size = F.col("n_a") + F.col("n_b")
     # size - 2 * shared words differ, and shared * (100 + percent) >= percent * size at the threshold
-    apart = [F.bit_count(F.col(f"{p}_a").bitwiseXOR(F.col(f"{p}_b"))) for p in ("p1", "p2")]
-    return (100 + percent) * F.greatest(*apart) <= (100 - percent) * size
+    return (100 + percent) * F.bit_count(F.col("p_a").bitwiseXOR(F.col("p_b"))) <= (100 - percent) * size
 
 
 def _candidates(pairs: DataFrame, percent: int) -> DataFrame:
-    """Pairs of postings whose classes may match, the earlier class as a."""
-    return pairs.where(_earlier("a", "b") & _may_reach(percent) & _like_parity(percent)).select(*_PAIR).distinct()
+    """Pairs of postings whose classes may match, the class named first as a."""
+    in_order = F.col("name_a") < F.col("name_b")
+    return pairs.where(in_order & _may_reach(percent) & _like_parity(percent)).select(*_PAIR).distinct()
 
 
-def _first_pairs(postings: DataFrame, lines: Lines) -> DataFrame:
+def _first_pairs(classes: DataFrame, lines: Lines) -> DataFrame:
     """The earliest class of each list (word, like lengths) with the others, for the last words of the prefix."""
-    banded = postings.withColumn("band", _band(F.col("n"), lines.percent)).where(F.col("place") >= F.col("length") - lines.first_words)
-    rank = F.struct((F.col("line") >= _LATE).alias("late"), "doc", "line", "n", "place", "h1", "h2", "p1", "p2")
-    heads = banded.groupBy("code", "band").agg(F.min(rank).alias("h"), F.count("*").alias("m")).where("m > 1")
-    heads = heads.select("code", "band", *[F.col(f"h.{c}").alias(f"{c}_a") for c in (*_CLASS, "place")])
-    return _candidates(_side(banded, "b", "code", "band").join(heads, ["code", "band"]), lines.percent)
+    last = F.greatest(F.size("prefix") - lines.first_words, F.lit(0))
+    postings = _postings(classes, _band(F.col("n"), lines.percent).alias("band"), last.alias("skip"))
+    postings = postings.where(F.col("place") >= F.col("skip")).drop("skip")
+    heads = postings.groupBy("code", "band").agg(F.min(F.struct("name", "n", "p", "place")).alias("h"), F.count("*").alias("m"))
+    heads = heads.where("m > 1").select("code", "band", *[F.col(f"h.{c}").alias(f"{c}_a") for c in ("name", "n", "p", "place")])
+    return _candidates(_side(postings, "b", "code", "band").join(heads, ["code", "band"]), lines.percent)
 
 
-def _other_pairs(postings: DataFrame, matched: DataFrame, lines: Lines) -> DataFrame:
+def _other_pairs(classes: DataFrame, matched: DataFrame, lines: Lines) -> DataFrame:
     """Classes without a match with all earlier ones that may match."""
-    open_ = postings.join(matched, ["h1", "h2"], "left_anti")
-    return _candidates(_side(postings, "a", "code").join(_side(open_, "b", "code"), "code"), lines.percent)
+    open_ = classes.join(matched, "name", "left_anti")
+    return _candidates(_side(_postings(classes), "a", "code").join(_side(_postings(open_), "b", "code"), "code"), lines.percent)
 
 
 def _in_filter(texts: DataFrame, wanted: DataFrame, space: Workspace) -> DataFrame:
@@ -194,21 +187,21 @@ def _in_filter(texts: DataFrame, wanted: DataFrame, space: Workspace) -> DataFra
     return rows.where(F.getbit(value, (place % 8).cast("int")) == 1).drop("bit", "maps")
 
 
-def _matches(pairs: DataFrame, texts: DataFrame, levels: DataFrame, lines: Lines, space: Workspace) -> DataFrame:
-    """Later classes (h1, h2) of the pairs at the threshold."""
-    wanted = pairs.select(*[F.col(f"{c}_a").alias(c) for c in ("h1", "h2", "doc", "line")])
-    wanted = wanted.union(pairs.select(*[f"{c}_b" for c in ("h1", "h2", "doc", "line")])).distinct()
-    wanted = space.keep(wanted, "wanted-lines")
+def _matches(pairs: DataFrame, classes: DataFrame, texts: DataFrame, levels: DataFrame, lines: Lines, space: Workspace) -> DataFrame:
+    """Later classes (by name) of the pairs at the threshold."""
+    named = pairs.select(F.col("name_a").alias("name")).union(pairs.select("name_b")).distinct()
+    wanted = space.keep(classes.join(named, "name", "left_semi").select("name", "h1", "h2", "doc", "line"), "wanted-lines")
     found = _lines(_in_filter(texts, wanted.select("doc").distinct(), space)).join(wanted.select("doc", "line").distinct(), ["doc", "line"], "left_semi")
-    named = _with_codes(found, levels).select(*_identity(), "codes").join(wanted.select("h1", "h2"), ["h1", "h2"], "left_semi")
-    sets = space.keep(named.groupBy("h1", "h2").agg(F.first("codes").alias("codes")), "wanted-sets")
-    a = sets.select(*[F.col(c).alias(f"{c}_a") for c in sets.columns])
-    b = sets.select(*[F.col(c).alias(f"{c}_b") for c in sets.columns])
-    both = pairs.select(*_NAMES).join(a, ["h1_a", "h2_a"]).join(b, ["h1_b", "h2_b"])
+    coded = _with_codes(found, levels).select(*_identity(), "codes").join(wanted.select("name", "h1", "h2", "doc", "line"), ["h1", "h2"])
+    sets = coded.groupBy("name").agg(F.first("codes").alias("codes"), F.first("doc").alias("doc"), F.first("line").alias("line"))
+    sets = space.keep(sets, "wanted-sets")
+    side = lambda s: sets.select(*[F.col(c).alias(f"{c}_{s}") for c in sets.columns])
+    both = pairs.select(*_NAMES).join(side("a"), "name_a").join(side("b"), "name_b")
     shared = F.size(F.array_intersect("codes_a", "codes_b"))
     size = F.size("codes_a") + F.size("codes_b")
-    matched = both.where((100 + lines.percent) * shared >= lines.percent * size)
-    matched = space.keep(matched.select(F.col("h1_b").alias("h1"), F.col("h2_b").alias("h2")).distinct(), "matched")
+    # Different lines at one place, of rows with the same id, stand before neither.
+    alike = ((100 + lines.percent) * shared >= lines.percent * size) & _earlier("a", "b")
+    matched = space.keep(both.where(alike).select(F.col("name_b").alias("name")).distinct(), "matched")
     for name in ("wanted-lines", "document-filter", "wanted-sets"):
         space.drop(name)
     return matched
@@ -225,24 +218,22 @@ def removed_lines(documents: DataFrame, lines: Lines = Lines(), key: str = "doc_
     prefix = F.slice("codes", F.lit(1), n - F.ceil(lines.percent * n / 100).cast("int") + 1)
     rank = F.struct((F.col("line") >= _LATE).alias("late"), "doc", "line")
     classes = (
-        coded.select(*_identity(), "doc", "line", n.alias("n"), _parity(0).alias("p1"), _parity(6).alias("p2"), prefix.alias("prefix"))
+        coded.select(*_identity(), "doc", "line", n.alias("n"), _parity().alias("p"), prefix.alias("prefix"))
         .groupBy("h1", "h2")
-        .agg(
-            F.min(rank).alias("first"),
-            F.count("*").alias("m"),
-            *[F.first(c).alias(c) for c in ("n", "p1", "p2", "prefix")],
+        .agg(F.min(rank).alias("first"), F.count("*").alias("m"), *[F.first(c).alias(c) for c in ("n", "p", "prefix")])
+        .orderBy("first")  # so that names grow with the place of the first line
+        .select(
+            F.monotonically_increasing_id().alias("name"), "h1", "h2", F.col("first.doc").alias("doc"),
+            F.col("first.line").alias("line"), "m", "n", "p", "prefix",
         )
-        .select("h1", "h2", F.col("first.doc").alias("doc"), F.col("first.line").alias("line"), "m", "n", "p1", "p2", "prefix")
     )
     classes = space.keep(classes, "classes")
-    postings = _postings(classes, space)
-    first = space.keep(_first_pairs(postings, lines), "pairs")
-    matched = _matches(first, texts, levels, lines, space)
-    others = _other_pairs(postings, matched, lines).join(first.select(*_NAMES), _NAMES, "left_anti")
+    first = space.keep(_first_pairs(classes, lines), "pairs")
+    matched = _matches(first, classes, texts, levels, lines, space)
+    others = _other_pairs(classes, matched, lines).join(first.select(*_NAMES), _NAMES, "left_anti")
     others = space.renew(others, "pairs")
-    space.drop("postings")
-    matched = matched.union(_matches(others, texts, levels, lines, space))
-    flagged = classes.join(matched.withColumn("matched", F.lit(True)), ["h1", "h2"], "left")
+    matched = matched.union(_matches(others, classes, texts, levels, lines, space))
+    flagged = classes.join(matched.withColumn("matched", F.lit(True)), "name", "left")
     flagged = flagged.where("m > 1 or matched").select("h1", "h2", F.col("doc").alias("doc_a"), F.col("line").alias("line_a"), "matched")
     all_lines = coded.select(*_identity(), "text_hash", "line_no", F.col("doc").alias("doc_b"), F.col("line").alias("line_b"))
     gone = all_lines.join(flagged, ["h1", "h2"]).where(_earlier("a", "b") | F.col("matched"))
