@@ -5,13 +5,15 @@ order, rare ones first, from a sketch of fixed size that counts them over the wh
 The join then works on classes of equal sets, of which copies are members:
 
 1. Candidates. Two sets that reach the threshold share an n-gram among the first few of either
-   (prefix filter); pairs are dropped at once by length and by the places of the n-gram.
+   (prefix filter); pairs are dropped at once by length, by the places of the n-gram and by 128
+   parity bits, to which each n-gram of a set adds one. Longer signatures, two bits per n-gram, are then
+   compared: what differs in them bounds from below how many n-grams differ.
 2. Verification. The global order is cut into fragments of about equal weight. The sets of
    candidates are cut at the same pivots, overlaps are counted per pair and fragment, and
    summed per pair. The sum is the exact size of the intersection.
 3. Rounds. First, each n-gram's first class is compared with the others of its list, which
    joins large groups of near copies in as many comparisons as they have classes. Next, each
-   list draws a class that is compared with those of other components. Afterwards
+   list draws some classes that are compared with those of other components. Afterwards
    only pairs of classes that are not yet connected and were not compared are left. So every
    candidate pair is either compared or known to be connected, and no link is lost.
 
@@ -55,12 +57,13 @@ LEVEL_BITS = 16
 
 @dataclass(frozen=True)
 class Join:
-    """Words per n-gram, least Jaccard in percent, number of fragments, rounds of drawn heads."""
+    """Words per n-gram, least Jaccard in percent, number of fragments, rounds of drawn heads, heads of a list in one."""
 
     size: int = 5
     percent: int = 80
     fragments: int = 8
     draws: int = 2
+    heads: int = 32
 
 
 def ngram_set(text: str | None, size: int, hashes: WordHashes) -> np.ndarray:
@@ -144,14 +147,36 @@ def _identity(grams: np.ndarray) -> tuple[int, int]:
     return int.from_bytes(whole[:8], "little", signed=True), int.from_bytes(whole[8:], "little", signed=True)
 
 
+def _signature(grams: np.ndarray) -> np.ndarray:
+    """At least two bits per n-gram, each n-gram flipping one: two signatures differ in no more bits than their sets in n-grams."""
+    bits = 128
+    while bits < 2 * len(grams):
+        bits *= 2
+    odd = np.bincount((grams & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
+def _folded(rest: int) -> Column:
+    """The even or the odd words of the signature as one: parity bits by the place modulo 128."""
+    words = F.filter("signature", lambda _, i: i % 2 == rest)
+    return F.aggregate(words, F.lit(0).cast("long"), lambda bits, word: bits.bitwiseXOR(word))
+
+
+def _lists(parts: list[np.ndarray]) -> pa.ListArray:
+    """Arrays of longs as one column."""
+    return pa.ListArray.from_arrays(
+        pa.array(np.cumsum([0, *map(len, parts)]), pa.int32()), pa.array(np.concatenate(parts) if parts else [], pa.int64())
+    )
+
+
 def describe(texts: DataFrame, order: Order, join: Join) -> DataFrame:
-    """Per row: key, text hash, set size, class (two longs, null if empty) and prefix codes."""
+    """Per row: key, text hash, set size, class (two longs, null if empty), prefix codes and signature."""
     kind = texts.schema["key"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
-            sizes, first, second, prefixes = [], [], [], []
+            sizes, first, second, prefixes, signatures = [], [], [], [], []
             for text in batch.column(2).to_pylist():
                 grams = ngram_set(text, join.size, hashes)
                 n = len(grams)
@@ -164,18 +189,15 @@ def describe(texts: DataFrame, order: Order, join: Join) -> DataFrame:
                 if 0 < length < n:
                     codes = np.partition(codes, length - 1)[:length]
                 prefixes.append(_signed(np.sort(codes)))
-            lists = pa.ListArray.from_arrays(
-                pa.array(np.cumsum([0, *map(len, prefixes)]), pa.int32()),
-                pa.array(np.concatenate(prefixes) if prefixes else [], pa.int64()),
-            )
+                signatures.append(_signature(grams))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(first, pa.int64()),
-                 pa.array(second, pa.int64()), lists],
-                names=["key", "text_hash", "n", "class", "class_rest", "prefix"],
+                 pa.array(second, pa.int64()), _lists(prefixes), _lists(signatures)],
+                names=["key", "text_hash", "n", "class", "class_rest", "prefix", "signature"],
             )
 
     return texts.select("key", "text_hash", "text").mapInArrow(
-        run, f"key {kind}, text_hash long, n long, class long, class_rest long, prefix array<long>"
+        run, f"key {kind}, text_hash long, n long, class long, class_rest long, prefix array<long>, signature array<long>"
     )
 
 
@@ -196,45 +218,52 @@ def segments(texts: DataFrame, order: Order, join: Join) -> DataFrame:
                     ids.append(name)
                     numbers.append(int(f))
                     parts.append(_signed(grams[places == f]))
-            lists = pa.ListArray.from_arrays(
-                pa.array(np.cumsum([0, *map(len, parts)]), pa.int32()),
-                pa.array(np.concatenate(parts) if parts else [], pa.int64()),
-            )
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(numbers, pa.int32()), lists], names=["class", "fragment", "grams"]
+                [pa.array(ids, pa.int64()), pa.array(numbers, pa.int32()), _lists(parts)], names=["class", "fragment", "grams"]
             )
 
     return texts.select("class", "text").mapInArrow(run, "class long, fragment int, grams array<long>")
 
 
+def _alike(unlike: Column, size: Column, percent: int) -> Column:
+    """Whether two sets of so many n-grams together may reach the threshold if so many, at least, are in one only."""
+    # size - 2 * shared n-grams differ, and shared * (100 + percent) >= percent * size at the threshold
+    return (100 + percent) * unlike <= (100 - percent) * size
+
+
 def _may_reach(percent: int, a: Callable[[str], Column], b: Callable[[str], Column]) -> Column:
-    """Length and positional filter for an n-gram of two sets, at ``place`` (from 0) in either.
+    """Length, signature and positional filter for an n-gram of two sets, at ``place`` (from 0) in either.
 
     No more is shared than stands from there on. Of the set whose prefix ends first, no more
     than ``most``: what its prefix alone holds would have to stand in the other prefix.
     """
     lengths = 100 * F.least(a("n"), b("n")) >= percent * F.greatest(a("n"), b("n"))
+    unlike = F.bit_count(a("even").bitwiseXOR(b("even"))) + F.bit_count(a("odd").bitwiseXOR(b("odd")))
     alone = F.when(a("last") <= b("last"), a("most")).otherwise(b("most"))
     most = F.least(a("n") - a("place"), b("n") - b("place"), alone)
-    return lengths & ((100 + percent) * most >= percent * (a("n") + b("n")))
+    return lengths & _alike(unlike, a("n") + b("n"), percent) & ((100 + percent) * most >= percent * (a("n") + b("n")))
 
 
 def _postings(classes: DataFrame, space: Workspace) -> DataFrame:
-    """Places of the prefix n-grams that several prefixes hold: class, n, most, last, place, code.
+    """Places of the prefix n-grams that several prefixes hold: class, n, most, last, place, code, even, odd.
 
     ``most`` is the size of the set without the n-grams that only its own prefix holds, ``last``
-    the end of its prefix.
+    the end of its prefix, ``even`` and ``odd`` the signature folded to two words.
     """
     ends = [F.size("prefix").alias("length"), F.element_at("prefix", -1).alias("last")]
     placed = classes.select("class", "n", *ends, F.posexplode("prefix").alias("place", "code"))
     shared = placed.groupBy("code").agg(F.count("*").alias("m")).where("m > 1").select("code")
     placed = space.keep(placed.join(shared, "code", "left_semi"), "placed")
     most = placed.groupBy("class").agg((F.first("n") - F.first("length") + F.count("*")).alias("most"))
+    most = most.join(classes.select("class", "even", "odd"), "class")
     postings = space.keep(placed.drop("length").join(most, "class"), "postings")
     space.drop("placed")
     return postings
 
 
+_POSTING = ("class", "n", "place", "most", "last", "even", "odd")
+
+
 def _band(n: Column, percent: int) -> Column:
     """Sizes of one band are alike enough to be compared."""
     return n.cast("long") if percent >= 100 else F.floor(F.log(n.cast("double")) / F.log(F.lit(100.0 / percent)))
@@ -243,28 +272,31 @@ def _band(n: Column, percent: int) -> Column:
 def _first_round(postings: DataFrame, percent: int) -> DataFrame:
     """The first class of every list (of one n-gram and like lengths) with each other class."""
     banded = postings.withColumn("band", _band(F.col("n"), percent))
-    heads = banded.groupBy("code", "band").agg(F.min(F.struct("class", "n", "place", "most", "last")).alias("head"))
+    heads = banded.groupBy("code", "band").agg(F.min(F.struct(*_POSTING)).alias("head"))
     pairs = banded.join(heads, ["code", "band"]).where(F.col("class") != F.col("head.class"))
     pairs = pairs.where(_may_reach(percent, F.col, lambda c: F.col(f"head.{c}")))
     return pairs.select(F.col("head.class").alias("a"), F.col("class").alias("b"), F.col("head.n").alias("n_a"), F.col("n").alias("n_b")).distinct()
 
 
 def _mixed_lists(space: Workspace, postings: DataFrame, labels: DataFrame) -> DataFrame:
-    """Postings with the label of their class, of lists that hold more than one component."""
-    labelled = postings.drop("label").join(labels.withColumnRenamed("node", "class"), "class", "left")
+    """Postings with the label of their class and the length of their list, of lists that hold more than one component."""
+    labelled = postings.drop("label", "m").join(labels.withColumnRenamed("node", "class"), "class", "left")
     labelled = labelled.withColumn("label", F.coalesce("label", "class"))
-    mixed = labelled.groupBy("code").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    return space.renew(labelled.join(mixed.where("low != high").select("code"), "code", "left_semi"), "mixed-lists")
+    mixed = labelled.groupBy("code").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("m"))
+    return space.renew(labelled.join(mixed.where("low != high").select("code", "m"), "code"), "mixed-lists")
 
 
-def _drawn_heads(lists: DataFrame, percent: int, number: int) -> DataFrame:
-    """A class drawn from every list with each class of another component in it.
+def _drawn_heads(lists: DataFrame, join: Join, number: int) -> DataFrame:
+    """Some classes drawn from every list with each class of another component in it.
 
-    Lists draw for themselves, so a class meets many others of a large component at once and
-    is likely to be linked with one of them.
+    One is drawn from a list of up to ``heads`` classes, about ``heads`` more from a longer one. Lists draw for
+    themselves, so a class meets many others of a large component at once and is likely to be linked with one of them.
     """
-    draw = F.xxhash64("class", "code", F.lit(number))
-    heads = lists.groupBy("code").agg(F.min(F.struct(draw.alias("draw"), "class", "n", "place", "most", "last", "label")).alias("head"))
+    percent, draw, head = join.percent, F.xxhash64("class", "code", F.lit(number)), [*_POSTING, "label"]
+    one = lists.groupBy("code").agg(F.min(F.struct(draw.alias("draw"), *head)).alias("head"))
+    more = lists.where((F.col("m") > join.heads) & (F.pmod(draw, F.col("m")) < join.heads))
+    heads = one.select("code", F.struct(*[F.col(f"head.{c}").alias(c) for c in head]).alias("head"))
+    heads = heads.union(more.select("code", F.struct(*head).alias("head")))
     pairs = lists.join(heads, "code").where(F.col("label") != F.col("head.label"))
     pairs = pairs.where(_may_reach(percent, F.col, lambda c: F.col(f"head.{c}")))
     first = F.col("class") < F.col("head.class")
@@ -278,8 +310,8 @@ def _drawn_heads(lists: DataFrame, percent: int, number: int) -> DataFrame:
 
 def _rest(lists: DataFrame, percent: int) -> DataFrame:
     """All pairs of a list across components."""
-    left = lists.select("code", *[F.col(c).alias(c + "_a") for c in ("class", "n", "place", "most", "last", "label")])
-    right = lists.select("code", *[F.col(c).alias(c + "_b") for c in ("class", "n", "place", "most", "last", "label")])
+    left = lists.select("code", *[F.col(c).alias(c + "_a") for c in (*_POSTING, "label")])
+    right = lists.select("code", *[F.col(c).alias(c + "_b") for c in (*_POSTING, "label")])
     pairs = left.join(
         right,
         (left["code"] == right["code"])
@@ -290,20 +322,30 @@ def _rest(lists: DataFrame, percent: int) -> DataFrame:
     return pairs.select(F.col("class_a").alias("a"), F.col("class_b").alias("b"), "n_a", "n_b").distinct()
 
 
-def _plausible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose prefixes share enough.
+def _unlike_bits(a: Column, b: Column) -> Column:
+    """Bits in which two signatures differ; the longer is folded to the length of the other.
 
-    Up to the end of the prefix that ends first, both prefixes hold all n-grams of their set. So
-    the sets share what the prefixes share and at most what lies beyond that end.
+    Sizes at the threshold give lengths that differ by one doubling at most, if the threshold is above one half.
     """
-    ours = classes.select(F.col("class").alias("a"), F.col("prefix").alias("prefix_a"))
-    theirs = classes.select(F.col("class").alias("b"), F.col("prefix").alias("prefix_b"))
+    xor = lambda x, y: x.bitwiseXOR(y)
+    half = lambda s: F.shiftright(F.size(s), 1)
+    fold = lambda s: F.zip_with(F.slice(s, F.lit(1), half(s)), F.slice(s, half(s) + 1, half(s)), xor)
+    count = lambda x, y: F.aggregate(F.zip_with(x, y, xor), F.lit(0), lambda n, bits: n + F.bit_count(bits))
+    return (
+        F.when(F.size(a) == F.size(b), count(a, b))
+        .when(F.size(a) == 2 * F.size(b), count(fold(a), b))
+        .when(2 * F.size(a) == F.size(b), count(a, fold(b)))
+        .otherwise(F.lit(0))
+    )
+
+
+def _plausible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Pairs whose signatures differ in no more bits than their sets may in n-grams."""
+    ours = classes.select(F.col("class").alias("a"), F.col("signature").alias("signature_a"))
+    theirs = classes.select(F.col("class").alias("b"), F.col("signature").alias("signature_b"))
+    unlike = _unlike_bits(F.col("signature_a"), F.col("signature_b"))
     both = pairs.join(ours, "a").join(theirs, "b")
-    beyond = F.when(
-        F.element_at("prefix_a", -1) <= F.element_at("prefix_b", -1), F.col("n_a") - F.size("prefix_a")
-    ).otherwise(F.col("n_b") - F.size("prefix_b"))
-    most = F.size(F.array_intersect("prefix_a", "prefix_b")) + beyond
-    return both.where((100 + percent) * most >= percent * (F.col("n_a") + F.col("n_b"))).select("a", "b", "n_a", "n_b")
+    return both.where(_alike(unlike, F.col("n_a") + F.col("n_b"), percent)).select("a", "b", "n_a", "n_b")
 
 
 def _links(space: Workspace, pairs: DataFrame, classes: DataFrame, texts: DataFrame, order: Order, join: Join) -> DataFrame:
@@ -352,6 +394,7 @@ def memberships(documents: DataFrame, join: Join = Join(), key: str = "doc_id",
             F.min("class_rest").alias("rest"),
             F.max("class_rest").alias("rest_too"),
             F.first("prefix").alias("prefix"),
+            F.first("signature").alias("signature"),
         )
         .select(
             "class",
@@ -359,6 +402,9 @@ def memberships(documents: DataFrame, join: Join = Join(), key: str = "doc_id",
             F.col("chosen.text_hash").alias("text_hash"),
             F.when(F.col("rest") != F.col("rest_too"), clash).otherwise(F.col("n")).alias("n"),
             "prefix",
+            "signature",
+            _folded(0).alias("even"),
+            _folded(1).alias("odd"),
         )
     )
     classes = space.keep(classes, "classes")
@@ -372,7 +418,7 @@ def memberships(documents: DataFrame, join: Join = Join(), key: str = "doc_id",
         lists = _mixed_lists(space, lists, labels)
         if not number:
             space.drop("postings")
-        pairs = _drawn_heads(lists, join.percent, number) if number < join.draws else _rest(lists, join.percent)
+        pairs = _drawn_heads(lists, join, number) if number < join.draws else _rest(lists, join.percent)
         pairs = space.keep(pairs.join(compared, ["a", "b"], "left_anti"), "pairs")
         if pairs.isEmpty():
             continue

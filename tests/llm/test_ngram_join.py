@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerlake.llm import ngram_join as j
 from ledgerlake.llm.common import hash_filter, where_in_filter
@@ -71,6 +72,40 @@ def test_equals_all_pairs(spark, rows, size, percent):
     assert got == plain_components(rows, size, percent)
 
 
+def test_variants_below_the_threshold_are_dropped_before_their_sets_are_read(spark, monkeypatch):
+    draw = random.Random(5)
+    made = []
+    for name in range(240):  # one word replaced: alike at the same place (0.94), else just not (0.885)
+        tokens = [f"b{i}" for i in range(100)]
+        tokens[2 + 3 * draw.randrange(32)] = f"x{name}"
+        made.append((name, " ".join(tokens)))
+    compared, keep = [], j.Workspace.keep
+
+    def counted(space, frame, name):
+        table = keep(space, frame, name)
+        if name == "plausible-pairs":
+            compared.append(table.count())
+        return table
+
+    monkeypatch.setattr(j.Workspace, "keep", counted)
+    frame = spark.createDataFrame(made, "doc_id long, text string")
+    got = sorted([tuple(r) for r in j.near_copies(frame, j.Join(3, 90)).collect()], key=repr)
+    assert got == plain_components(made, 3, 90)
+    assert len({r[2] for r in got}) > 20 and sum(compared) < 8_000  # of 28,680 pairs
+
+
+def test_signatures_differ_in_no_more_bits_than_sets_in_grams(spark):
+    draw = np.random.default_rng(2)
+    for n, more in ((3, 1), (60, 5), (62, 9), (130, 20), (3000, 400)):  # some pairs of different lengths
+        grams = np.unique(draw.integers(0, 2**64, n + 2 * more, dtype=np.uint64))
+        sets = [np.sort(grams[:-more]), np.sort(grams[more + 1 :]), grams[:2]]
+        rows = [(a, b, [int(x) for x in j._signature(sets[a])], [int(x) for x in j._signature(sets[b])]) for a in range(3) for b in range(3)]
+        frame = spark.createDataFrame(rows, "a int, b int, x array<long>, y array<long>")
+        for r in frame.select("a", "b", j._unlike_bits(F.col("x"), F.col("y")).alias("unlike")).collect():
+            differ = len(np.setxor1d(sets[r.a], sets[r.b]))
+            assert r.unlike <= differ and (r.unlike > 0 or not differ or 2 in (r.a, r.b))
+
+
 def test_odd_rows_and_one_of_each(spark, odd, nothing):
     pairs = [(r.doc_id, r.text) for r in odd.collect()]
     got = sorted([tuple(r) for r in j.near_copies(odd).collect()], key=repr)
