@@ -68,7 +68,8 @@ def publish(tables: Mapping[str, DataFrame], root: str, run_id: str | None = Non
             )
         entries.append((run_id, published_at, name, path, stored["n_rows"], stored["digest"]))
     listed = [file_fingerprints(spark, entry[3], entry[2]).select(F.lit(run_id).alias("run_id"), "*") for entry in entries]
-    quality.all_problems(listed).coalesce(1).write.mode("append").json(f"{root}/{FILES}")
+    # An exchange, not coalesce: files are read and hashed by many tasks, one task writes the short list.
+    quality.all_problems(listed).repartition(1).write.mode("append").json(f"{root}/{FILES}")
     manifest = spark.createDataFrame(entries, MANIFEST_SCHEMA)
     manifest.coalesce(1).write.mode("append").json(f"{root}/{MANIFEST}")
     return run_id

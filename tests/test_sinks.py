@@ -222,3 +222,21 @@ def test_scratch_folders_follow_the_cluster_setting(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     one, two = scratch_dir(spark, "x"), scratch_dir(spark, "x")
     assert one != two and one.startswith(f"{shared}/x-")
+
+
+def test_published_files_are_hashed_by_many_tasks(spark, folder, monkeypatch):
+    listed = publish.file_fingerprints
+
+    def with_task(session, path, table):
+        return listed(session, path, table).withColumn("md5", F.spark_partition_id().cast("string"))
+
+    monkeypatch.setattr(publish, "file_fingerprints", with_task)
+    bound = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(bound)
+    spark.conf.set(bound, "1k")
+    try:
+        publish.publish({"t": spark.range(0, 1000, 1, 7)}, folder)
+    finally:
+        spark.conf.set(bound, before)
+    lines = spark.read.schema(publish.FILE_SCHEMA).json(f"{folder}/_files").collect()
+    assert len(lines) == 7 and len({r.md5 for r in lines}) == 7
