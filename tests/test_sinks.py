@@ -240,3 +240,10 @@ def test_published_files_are_hashed_by_many_tasks(spark, folder, monkeypatch):
         spark.conf.set(bound, before)
     lines = spark.read.schema(publish.FILE_SCHEMA).json(f"{folder}/_files").collect()
     assert len(lines) == 7 and len({r.md5 for r in lines}) == 7
+
+
+def test_single_file_stages_rows_and_leaves_no_staging(spark, folder, monkeypatch):
+    monkeypatch.setattr("ledgerlake.sinks.layers.scratch_dir", lambda _, name: f"{folder}/staged/{name}")
+    assert write_layer(spark.range(0, 1000, 1, 7), f"{folder}/one", single_file=True) == 1000
+    assert spark.read.parquet(f"{folder}/one").count() == 1000 and len(files(f"{folder}/one")) == 1
+    assert os.path.exists(f"{folder}/staged") and not files(f"{folder}/staged")
