@@ -42,11 +42,11 @@ class Workspace:
         self.spark, self.folder, self.count = spark, scratch_dir(spark, name), 0
         self.latest: dict[str, str] = {}
 
-    def keep(self, frame: DataFrame, name: str) -> DataFrame:
-        """The frame as a table of the workspace."""
+    def keep(self, frame: DataFrame, name: str, codec: str | None = None) -> DataFrame:
+        """The frame as a table of the workspace, compressed by a codec other than the session's if one is named."""
         self.count += 1
         path = self.latest[name] = f"{self.folder}/{self.count:02d}-{name}"
-        frame.write.parquet(path)
+        frame.write.parquet(path, compression=codec)
         return self.spark.read.schema(frame.schema).parquet(path)
 
     def renew(self, frame: DataFrame, name: str) -> DataFrame:

@@ -1,24 +1,22 @@
 """Near-duplicate lines by an exact set-similarity join, later matches removed.
 
-A line is the set of its words, A-Z lower-cased. Words are ordered by rarity: a sketch of fixed
-size (``CELLS`` counts over the whole corpus) gives a word's level, its hash breaks ties. Lines with
-equal sets form a class, led by its earliest line (by document id, then line).
+A line is the set of its words, A-Z lower-cased, kept as a table of sorted 64-bit hashes; texts are read once. Words are
+ordered by rarity: a sketch of fixed size (``CELLS`` counts over all lines) gives a word's level, its hash breaks ties.
+Lines with equal sets form a class, led by its earliest line (by document id, then line).
 
 1. Prefix filter: two sets at the threshold share a word among the first few of either, so
    classes are joined on those words only.
-2. Positional and length filter, in the join: from the places of the shared word at most so many
-   words can be common, and sizes must be alike.
-3. Parity bits of the sets, 64 per class, bound from below how many words differ.
+2. Length, place and parity filters, in the join: sizes must be alike, from the places of a shared word at most so many
+   words can be common, and 128 parity bits of the sets bound from below how many words differ.
+3. Count filter: the prefix words that two classes share, and the words behind the prefixes, bound how many are common.
 4. Verification: the pairs left get their whole sets and their Jaccard similarity.
 
-Any earlier match removes a line, even one that is itself removed. A first round compares, per
-word and like lengths, the earliest class with the others, for a few words of each prefix: that settles
-large groups of near copies in one comparison each. The full join is left for classes that found no
-match, against all earlier ones that they were not compared with, so no match is lost.
+Any earlier match removes a line, even one that is itself removed. A first round compares classes with a few
+early classes of their group (common words of the prefix, two by two): that settles large groups of near copies in a few
+comparisons each. The full join then pairs all classes but those that both found a match, so no match is lost.
 
-Only DataFrame functions run here. Words count as equal when 48 bits of their hash and their
-level are, classes when 128 bits are; these are numbered in the order of their first lines, so an id on several rows mixes
-nothing up. Ids may be of any type that can be ordered.
+Only DataFrame functions run here. Words count as equal when 64 bits of their hash are, classes when 128 bits are, so an id
+on several rows mixes nothing up. Ids may be of any type that can be ordered.
 
 Defined results: null and empty texts have no lines with words; lines without words are kept and match
 nothing; lines at the same place (rows with the same id, line number) never remove each other,
@@ -29,108 +27,143 @@ table gives an empty one; further columns are not read, or pass through ``withou
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import Workspace
 
-CELLS = 1 << 19
+CELLS = 1 << 18
 FILTER_BITS = 1 << 24
 _LATE = 1 << 30  # added to the line numbers of rows without id
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _SPACES = "[\\x20\\x09-\\x0D]+"
+_RARE_SPACES = "\t\v\f\r"
 
 
 @dataclass(frozen=True)
 class Lines:
-    """Least Jaccard similarity in percent and words per line compared in the first round."""
+    """Least Jaccard similarity in percent; classes from which a group has heads, and how many it has."""
 
     percent: int = 80
-    first_words: int = 3
+    group: int = 8
+    heads: int = 4
 
 
-def _words(text: Column) -> Column:
-    return F.filter(F.split(F.translate(text, _UPPER, _LOWER), _SPACES), lambda w: w != "")
+def _ascii(text: Column) -> Column:
+    return F.octet_length(text) == F.char_length(text)
 
 
-def _cell(word: Column) -> Column:
-    return F.xxhash64(word).bitwiseAND(F.lit(CELLS - 1))
+def _hashes(body: Column, plain: Column) -> Column:
+    """Hashes of the words of a line. Plain lines have no white space but spaces, which split faster than a pattern does.
+
+    ``lower`` changes A-Z only where a text is ASCII; other words go letter by letter.
+    """
+
+    def low(word: Column) -> Column:
+        return F.when(_ascii(word), F.lower(word)).otherwise(F.translate(word, _UPPER, _LOWER))
 
+    def parts(text: Column) -> Column:
+        return F.when(plain, F.split(text, " ")).otherwise(F.split(text, _SPACES))
 
-def _levels(texts: DataFrame, space: Workspace) -> DataFrame:
-    """One row with an array of ``CELLS`` levels: the logarithm of how often a cell's words occur."""
-    counts = texts.select(F.explode(_words(F.col("text"))).alias("word")).groupBy(_cell(F.col("word")).alias("id")).count()
-    level = F.coalesce(F.round(512 * F.log2("count")), F.lit(0)).cast("int")
-    cells = texts.sparkSession.range(CELLS).join(counts, "id", "left").select("id", level.alias("level"))
-    ordered = F.array_sort(F.collect_list(F.struct("id", "level")))
-    return space.keep(cells.agg(F.transform(ordered, lambda c: c["level"]).alias("levels")), "levels")
+    ascii_words = F.transform(parts(F.lower(body)), lambda w: F.xxhash64(w))
+    return F.when(_ascii(body), ascii_words).otherwise(F.transform(parts(body), lambda w: F.xxhash64(low(w))))
 
 
-def _document() -> Column:
-    """The id of a row, or the hash of its text where it has none."""
-    return F.struct(F.col("key").alias("id"), F.when(F.col("key").isNull(), F.col("text_hash")).alias("hash"))
+def _place(doc: str = "doc", line: str = "line") -> Column:
+    """What orders lines: rows without id last, then document, then line."""
+    return F.struct((F.col(line) >= _LATE).alias("late"), F.col(doc).alias("doc"), F.col(line).alias("line"))
 
 
-def _lines(texts: DataFrame) -> DataFrame:
-    """doc, line (order of rows without id after all others), text_hash, line_no and the line."""
-    exploded = texts.select(
-        _document().alias("doc"),
+def _lines(texts: DataFrame, space: Workspace) -> DataFrame:
+    """doc, line (order of rows without id after all others), text_hash, line_no, words and 128 bits of lines with words."""
+    plain = reduce(and_, [F.size(F.split("text", c)) == 1 for c in _RARE_SPACES])
+    rows = texts.withColumn("plain", plain).select(  # once a text: what stands beside the generator runs once a line
+        F.struct(F.col("key").alias("id"), F.when(F.col("key").isNull(), F.col("text_hash")).alias("hash")).alias("doc"),
         "text_hash",
         F.col("key").isNull().alias("late"),
+        "plain",
         F.posexplode(F.split("text", "\n")).alias("line_no", "body"),
     )
-    return exploded.select(
-        "doc", (F.col("line_no") + F.when(F.col("late"), _LATE).otherwise(0)).alias("line"), "text_hash", "line_no", "body"
-    )
-
-
-def _with_codes(lines: DataFrame, levels: DataFrame) -> DataFrame:
-    """Lines with words, and the sorted codes of their distinct words: level, then hash."""
-
-    def code(word: Column) -> Column:
-        level = F.get(F.col("levels"), _cell(word).cast("int")).cast("long")
-        return F.shiftleft(level, 48).bitwiseOR(F.shiftrightunsigned(F.xxhash64(word), 16))
-
-    coded = lines.withColumn("levels", levels.select("levels").scalar())
-    coded = coded.withColumn("codes", F.sort_array(F.array_distinct(F.transform(_words(F.col("body")), code))))
-    return coded.drop("levels", "body").where(F.size("codes") > 0)
-
-
-def _identity() -> list[Column]:
-    return [F.xxhash64("codes").alias("h1"), F.xxhash64(F.lit(1), "codes").alias("h2")]
-
-
-def _parity() -> Column:
-    """64 bits, of which each word of a set flips one."""
-    bit = lambda c: F.call_function("shiftleft", F.lit(1).cast("long"), c.bitwiseAND(F.lit(63)).cast("int"))
-    return F.aggregate("codes", F.lit(0).cast("long"), lambda bits, c: bits.bitwiseXOR(bit(c)))
+    words = F.array_remove(F.array_distinct(_hashes(F.col("body"), F.col("plain"))), F.xxhash64(F.lit("")))
+    line = F.col("line_no") + F.when(F.col("late"), _LATE).otherwise(0)
+    sets = rows.select("doc", line.alias("line"), "text_hash", "line_no", F.sort_array(words).alias("words"))
+    sets = sets.select("*", F.xxhash64("words").alias("h1"), F.xxhash64(F.lit(1), "words").alias("h2"))
+    return space.keep(sets, "lines", "zstd").where(F.size("words") > 0)
 
 
-def _earlier(a: str, b: str) -> Column:
-    """Whether line a stands before line b: rows without id last, then document, then line."""
-
-    def rank(name: str) -> Column:
-        return F.struct(F.col(f"line_{name}") >= _LATE, F.col(f"doc_{name}"), F.col(f"line_{name}"))
-
-    return rank(a) < rank(b)
+def _cell(word: Column) -> Column:
+    return word.bitwiseAND(F.lit(CELLS - 1)).cast("int")
+
+
+def _levels(lines: DataFrame, space: Workspace) -> DataFrame:
+    """One row: ``CELLS`` levels, the logarithm of how often a cell's words occur, and the level of common words."""
+    counts = lines.select(F.explode("words").alias("word")).groupBy(_cell(F.col("word")).alias("id")).count()
+    level = lambda n: F.coalesce(F.round(512 * F.log2(n)), F.lit(0)).cast("int")
+    cells = lines.sparkSession.range(CELLS).select(F.col("id").cast("int").alias("id")).join(counts, "id", "left")
+    ordered = F.array_sort(F.collect_list(F.struct("id", level(F.col("count")).alias("level"))))
+    common = level(F.greatest(F.lit(16), F.coalesce(F.sum("count") / CELLS, F.lit(0.0))))
+    return space.keep(cells.agg(F.transform(ordered, lambda c: c["level"]).alias("levels"), common.alias("common")), "levels")
+
+
+def _prefix(n: Column, percent: int) -> Column:
+    """How many words the prefix of a set of n words has."""
+    return n - F.ceil(percent * n / 100).cast("int") + 1
+
+
+def _parity() -> list[Column]:
+    """128 bits, of which each word of a set flips one: the first half by negative hashes, the second by the others."""
+    bit = lambda w: F.call_function("shiftleft", F.lit(1).cast("long"), w.bitwiseAND(F.lit(63)).cast("int"))
+
+    def half(negative: bool) -> Column:
+        return F.aggregate("words", F.lit(0).cast("long"), lambda b, w: F.when((w < 0) == F.lit(negative), b.bitwiseXOR(bit(w))).otherwise(b))
+
+    return [half(True).alias("p"), half(False).alias("q")]
+
+
+def _classes(lines: DataFrame, levels: DataFrame, percent: int) -> DataFrame:
+    """Different sets: name, 128 bits, first place, lines, size, parity, prefix (31 bits a word) and up to six common words of it."""
+    level = lambda w: F.coalesce(F.get(F.col("levels"), _cell(w)), F.lit(0)).cast("long")
+    # never null, so that Spark sorts plain longs
+    code = lambda w: F.coalesce(F.shiftleft(level(w), 48).bitwiseOR(F.shiftrightunsigned(w, 16)), F.lit(0).cast("long"))
+    n = F.size("words")
+    coded = lines.withColumns({c: levels.select(c).scalar() for c in ("levels", "common")}).select(
+        "h1", "h2", _place().alias("first"), n.alias("n"), *_parity(), "common",
+        F.slice(F.sort_array(F.transform("words", code)), F.lit(1), _prefix(n, percent)).alias("prefix"),
+    )
+    coded = coded.select(
+        "h1", "h2", "first", "n", "p", "q",
+        F.transform("prefix", lambda c: c.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")).alias("prefix"),
+        F.filter("prefix", lambda c: F.shiftright(c, 48) >= F.col("common")).alias("commons"),
+    )
+    # the three of least and of largest hash, which one copy seldom differs in from another
+    coded = coded.withColumn("commons", F.sort_array(F.transform("commons", lambda c: c.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"))))
+    coded = coded.withColumn("commons", F.when(F.size("commons") > 6, F.concat(F.slice("commons", 1, 3), F.slice("commons", -3, 3))).otherwise(F.col("commons")))
+    groups = coded.groupBy("h1", "h2").agg(
+        F.min("first").alias("first"), F.count("*").alias("m"), *[F.first(c).alias(c) for c in ("n", "p", "q", "prefix", "commons")]
+    )
+    return groups.withColumn("name", F.monotonically_increasing_id())
 
 
-def _may_reach(percent: int) -> Column:
-    """Length and positional filter for a word at places ``place_a`` and ``place_b`` (from 0)."""
+def _may_match(percent: int) -> Column:
+    """Whether sizes are alike and the parity bits differ in no more places than words may."""
     n_a, n_b = F.col("n_a"), F.col("n_b")
-    most = F.least(n_a - F.col("place_a"), n_b - F.col("place_b"))
     lengths = 100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b)
-    return lengths & ((100 + percent) * most >= percent * (n_a + n_b))
+    # size - 2 * shared words differ, and shared * (100 + percent) >= percent * size at the threshold
+    unlike = F.bit_count(F.col("p_a").bitwiseXOR(F.col("p_b"))) + F.bit_count(F.col("q_a").bitwiseXOR(F.col("q_b")))
+    return lengths & ((100 + percent) * unlike <= (100 - percent) * (n_a + n_b))
 
 
-_NAMES = ["name_a", "name_b"]
-_PAIR = [*_NAMES, "n_a", "n_b"]
+def _may_share(most: Column, percent: int) -> Column:
+    """Whether so many common words may reach the threshold."""
+    return (100 + percent) * most >= percent * (F.col("n_a") + F.col("n_b"))
 
 
-def _side(frame: DataFrame, side: str, *more: str) -> DataFrame:
-    return frame.select(*more, *[F.col(c).alias(f"{c}_{side}") for c in ("name", "n", "p", "place")])
+def _side(frame: DataFrame, side: str, keys: list[str]) -> DataFrame:
+    return frame.select(*keys, *[F.col(c).alias(f"{c}_{side}") for c in frame.columns if c not in keys])
 
 
 def _band(n: Column, percent: int) -> Column:
@@ -138,71 +171,66 @@ def _band(n: Column, percent: int) -> Column:
     return n.cast("long") if percent >= 100 else F.floor(F.log(n.cast("double")) / F.log(F.lit(100.0 / percent)))
 
 
-def _postings(classes: DataFrame, *more: Column) -> DataFrame:
-    """Places of the prefix words of the classes."""
-    return classes.select("name", "n", "p", *more, F.posexplode("prefix").alias("place", "code"))
-
+def _first_pairs(classes: DataFrame, lines: Lines) -> DataFrame:
+    """A few early classes of each group (two common words, like lengths) with the others."""
 
-def _like_parity(percent: int) -> Column:
-    """Whether the parity bits of two classes differ in no more places than words may."""
-    size = F.col("n_a") + F.col("n_b")
-    # size - 2 * shared words differ, and shared * (100 + percent) >= percent * size at the threshold
-    return (100 + percent) * F.bit_count(F.col("p_a").bitwiseXOR(F.col("p_b"))) <= (100 - percent) * size
+    def two(i: int, j: int) -> Column:
+        return F.when(F.size("commons") > j, F.xxhash64(F.get("commons", F.lit(i)), F.get("commons", F.lit(j)), F.col("band")))
 
+    banded = classes.where(F.size("commons") > 1).withColumn("band", _band(F.col("n"), lines.percent))
+    keys = F.array_compact(F.array(*[two(i, j) for i, j in ((0, 1), (0, 2), (1, 2), (3, 4), (3, 5), (4, 5))]))
+    members = banded.select("name", "first", "n", "p", "q", F.explode(keys).alias("group"))
+    large = members.groupBy("group").count().where(F.col("count") >= lines.group).select("group")
+    members = members.join(large, "group")
+    heads = members.groupBy("group", F.pmod(F.xxhash64("name"), F.lit(lines.heads)).alias("part"))
+    heads = heads.agg(F.min(F.struct("first", "name", "n", "p", "q")).alias("h")).select("group", "h.*")
+    pairs = _side(heads, "a", ["group"]).join(_side(members, "b", ["group"]), "group")
+    return pairs.where((F.col("first_a") < F.col("first_b")) & _may_match(lines.percent)).select(*_PAIR).distinct()
 
-def _candidates(pairs: DataFrame, percent: int) -> DataFrame:
-    """Pairs of postings whose classes may match, the class named first as a."""
-    in_order = F.col("name_a") < F.col("name_b")
-    return pairs.where(in_order & _may_reach(percent) & _like_parity(percent)).select(*_PAIR).distinct()
 
-
-def _first_pairs(classes: DataFrame, lines: Lines) -> DataFrame:
-    """The earliest class of each list (word, like lengths) with the others, for the last words of the prefix."""
-    last = F.greatest(F.size("prefix") - lines.first_words, F.lit(0))
-    postings = _postings(classes, _band(F.col("n"), lines.percent).alias("band"), last.alias("skip"))
-    postings = postings.where(F.col("place") >= F.col("skip")).drop("skip")
-    heads = postings.groupBy("code", "band").agg(F.min(F.struct("name", "n", "p", "place")).alias("h"), F.count("*").alias("m"))
-    heads = heads.where("m > 1").select("code", "band", *[F.col(f"h.{c}").alias(f"{c}_a") for c in ("name", "n", "p", "place")])
-    return _candidates(_side(postings, "b", "code", "band").join(heads, ["code", "band"]), lines.percent)
+_PAIR = ["name_a", "name_b", "n_a", "n_b"]
 
 
 def _other_pairs(classes: DataFrame, matched: DataFrame, lines: Lines) -> DataFrame:
-    """Classes without a match with all earlier ones that may match."""
-    open_ = classes.join(matched, "name", "left_anti")
-    return _candidates(_side(_postings(classes), "a", "code").join(_side(_postings(open_), "b", "code"), "code"), lines.percent)
-
-
-def _in_filter(texts: DataFrame, wanted: DataFrame, space: Workspace) -> DataFrame:
-    """Rows of documents that a bitmap of fixed size holds: a superset of the wanted ones."""
-    bit = F.pmod(F.xxhash64("doc"), F.lit(FILTER_BITS)) + 1
-    parts = wanted.groupBy(F.bitmap_bucket_number(bit).alias("id")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits"))
-    dense = texts.sparkSession.range(1, FILTER_BITS // 32768 + 1).join(parts, "id", "left")
-    ordered = F.array_sort(F.collect_list(F.struct("id", F.coalesce("bits", F.lit(b"")).alias("bits"))))
-    maps = space.keep(dense.agg(F.transform(ordered, lambda c: c["bits"]).alias("maps")), "document-filter")
-    rows = texts.withColumn("bit", F.pmod(F.xxhash64(_document()), F.lit(FILTER_BITS)) + 1)
-    rows = rows.withColumn("maps", maps.select("maps").scalar())
-    place = F.bitmap_bit_position(F.col("bit"))
-    byte = F.substring(F.get("maps", (F.bitmap_bucket_number(F.col("bit")) - 1).cast("int")), F.floor(place / 8).cast("int") + 1, F.lit(1))
-    value = F.conv(F.hex(byte), 16, 10).cast("int")
-    return rows.where(F.getbit(value, (place % 8).cast("int")) == 1).drop("bit", "maps")
-
-
-def _matches(pairs: DataFrame, classes: DataFrame, texts: DataFrame, levels: DataFrame, lines: Lines, space: Workspace) -> DataFrame:
+    """All pairs that may match, but those of classes that both found a match."""
+    done = classes.join(matched.withColumn("matched", F.lit(True)), "name", "left")
+    done = done.select("name", "n", "p", "q", F.coalesce("matched", F.lit(False)).alias("done"), F.posexplode("prefix").alias("place", "word"))
+    n_a, n_b, place_a, place_b = (F.col(c) for c in ("n_a", "n_b", "place_a", "place_b"))
+    most = F.least(place_a, place_b) + F.least(n_a - place_a, n_b - place_b)
+    wanted = (F.col("name_a") < F.col("name_b")) & ~(F.col("done_a") & F.col("done_b")) & _may_match(lines.percent)
+    rows = _side(done, "a", ["word"]).join(_side(done, "b", ["word"]), "word").where(wanted & _may_share(most, lines.percent))
+    behind = F.greatest(n_a - _prefix(n_a, lines.percent), n_b - _prefix(n_b, lines.percent))
+    return rows.groupBy(*_PAIR).count().where(_may_share(F.col("count") + behind, lines.percent)).select(*_PAIR)
+
+
+def _in_filter(rows: DataFrame, wanted: DataFrame, space: Workspace) -> DataFrame:
+    """Rows whose first 64 bits a bitmap of fixed size holds: a superset of the wanted ones."""
+    bit = F.pmod(F.col("h1"), F.lit(FILTER_BITS))
+    flag = F.call_function("shiftleft", F.lit(1).cast("long"), bit.bitwiseAND(F.lit(63)).cast("int"))
+    parts = wanted.groupBy(F.shiftright(bit, 6).alias("id")).agg(F.bit_or(flag).alias("bits"))
+    dense = rows.sparkSession.range(FILTER_BITS // 64).join(parts, "id", "left")
+    ordered = F.array_sort(F.collect_list(F.struct("id", F.coalesce("bits", F.lit(0).cast("long")).alias("bits"))))
+    maps = space.keep(dense.agg(F.transform(ordered, lambda c: c["bits"]).alias("maps")), "filter")
+    marked = rows.withColumn("maps", maps.select("maps").scalar())
+    held = F.getbit(F.get("maps", F.shiftright(bit, 6).cast("int")), bit.bitwiseAND(F.lit(63)).cast("int"))
+    return marked.where(held == 1).drop("maps")
+
+
+def _matches(pairs: DataFrame, classes: DataFrame, rows: DataFrame, lines: Lines, space: Workspace) -> DataFrame:
     """Later classes (by name) of the pairs at the threshold."""
     named = pairs.select(F.col("name_a").alias("name")).union(pairs.select("name_b")).distinct()
-    wanted = space.keep(classes.join(named, "name", "left_semi").select("name", "h1", "h2", "doc", "line"), "wanted-lines")
-    found = _lines(_in_filter(texts, wanted.select("doc").distinct(), space)).join(wanted.select("doc", "line").distinct(), ["doc", "line"], "left_semi")
-    coded = _with_codes(found, levels).select(*_identity(), "codes").join(wanted.select("name", "h1", "h2", "doc", "line"), ["h1", "h2"])
-    sets = coded.groupBy("name").agg(F.first("codes").alias("codes"), F.first("doc").alias("doc"), F.first("line").alias("line"))
-    sets = space.keep(sets, "wanted-sets")
-    side = lambda s: sets.select(*[F.col(c).alias(f"{c}_{s}") for c in sets.columns])
-    both = pairs.select(*_NAMES).join(side("a"), "name_a").join(side("b"), "name_b")
-    shared = F.size(F.array_intersect("codes_a", "codes_b"))
-    size = F.size("codes_a") + F.size("codes_b")
+    wanted = space.keep(classes.join(named, "name", "left_semi").select("name", "h1", "h2", "first"), "wanted")
+    found = _in_filter(rows, wanted, space).select("h1", "h2", _place().alias("first"), "words")
+    same = ["h1", "h2", "first"]  # the join's keys, so that grouping the lines of repeated rows shuffles nothing again
+    sets = found.join(wanted, same).groupBy(*same).agg(F.first("name").alias("name"), F.first("words").alias("words"))
+    sets = space.keep(sets.select("name", "words", "first"), "sets", "zstd")
+    both = pairs.join(_side(sets.withColumnRenamed("name", "name_a"), "a", ["name_a"]), "name_a")
+    both = both.join(_side(sets.withColumnRenamed("name", "name_b"), "b", ["name_b"]), "name_b")
+    alike = both.where(_may_share(F.size(F.array_intersect("words_a", "words_b")), lines.percent))
     # Different lines at one place, of rows with the same id, stand before neither.
-    alike = ((100 + lines.percent) * shared >= lines.percent * size) & _earlier("a", "b")
-    matched = space.keep(both.where(alike).select(F.col("name_b").alias("name")).distinct(), "matched")
-    for name in ("wanted-lines", "document-filter", "wanted-sets"):
+    later = F.when(F.col("first_a") < F.col("first_b"), F.col("name_b")).when(F.col("first_b") < F.col("first_a"), F.col("name_a"))
+    matched = space.keep(alike.select(later.alias("name")).where("name IS NOT NULL").distinct(), "matched")
+    for name in ("wanted", "filter", "sets"):
         space.drop(name)
     return matched
 
@@ -211,33 +239,19 @@ def removed_lines(documents: DataFrame, lines: Lines = Lines(), key: str = "doc_
     """Lines that an earlier line matches: key, text_hash and line_no."""
     space = Workspace(documents.sparkSession, "line-dedup")
     body = documents[text]
-    texts = documents.select(documents[key].alias("key"), F.xxhash64(body).alias("text_hash"), body.alias("text"))
-    levels = _levels(texts, space)
-    coded = _with_codes(_lines(texts), levels)
-    n = F.size("codes")
-    prefix = F.slice("codes", F.lit(1), n - F.ceil(lines.percent * n / 100).cast("int") + 1)
-    rank = F.struct((F.col("line") >= _LATE).alias("late"), "doc", "line")
-    classes = (
-        coded.select(*_identity(), "doc", "line", n.alias("n"), _parity().alias("p"), prefix.alias("prefix"))
-        .groupBy("h1", "h2")
-        .agg(F.min(rank).alias("first"), F.count("*").alias("m"), *[F.first(c).alias(c) for c in ("n", "p", "prefix")])
-        .orderBy("first")  # so that names grow with the place of the first line
-        .select(
-            F.monotonically_increasing_id().alias("name"), "h1", "h2", F.col("first.doc").alias("doc"),
-            F.col("first.line").alias("line"), "m", "n", "p", "prefix",
-        )
-    )
-    classes = space.keep(classes, "classes")
+    rows = _lines(documents.select(documents[key].alias("key"), F.xxhash64(body).alias("text_hash"), body.alias("text")), space)
+    classes = space.keep(_classes(rows, _levels(rows, space), lines.percent), "classes", "zstd")
     first = space.keep(_first_pairs(classes, lines), "pairs")
-    matched = _matches(first, classes, texts, levels, lines, space)
-    others = _other_pairs(classes, matched, lines).join(first.select(*_NAMES), _NAMES, "left_anti")
-    others = space.renew(others, "pairs")
-    matched = matched.union(_matches(others, classes, texts, levels, lines, space))
+    matched = _matches(first, classes, rows, lines, space)
+    seen = first.select(F.least("name_a", "name_b").alias("name_a"), F.greatest("name_a", "name_b").alias("name_b"))
+    others = space.renew(_other_pairs(classes, matched, lines).join(seen, ["name_a", "name_b"], "left_anti"), "pairs")
+    classes = space.renew(classes.select("name", "h1", "h2", "first", "m"), "classes")
+    matched = matched.union(_matches(others, classes, rows, lines, space)).distinct()
     flagged = classes.join(matched.withColumn("matched", F.lit(True)), "name", "left")
-    flagged = flagged.where("m > 1 or matched").select("h1", "h2", F.col("doc").alias("doc_a"), F.col("line").alias("line_a"), "matched")
-    all_lines = coded.select(*_identity(), "text_hash", "line_no", F.col("doc").alias("doc_b"), F.col("line").alias("line_b"))
-    gone = all_lines.join(flagged, ["h1", "h2"]).where(_earlier("a", "b") | F.col("matched"))
-    return space.result(gone.select(F.col("doc_b.id").alias("key"), "text_hash", "line_no").distinct(), "removed-lines")
+    flagged = flagged.where("m > 1 or matched").select("h1", "h2", "first", "matched")
+    all_lines = rows.select("h1", "h2", "text_hash", "line_no", F.col("doc.id").alias("key"), _place().alias("here"))
+    gone = all_lines.join(flagged, ["h1", "h2"]).where((F.col("first") < F.col("here")) | F.col("matched"))
+    return space.result(gone.select("key", "text_hash", "line_no").distinct(), "removed-lines")
 
 
 def summarise(documents: DataFrame, lines: Lines = Lines(), key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -79,3 +79,12 @@ def test_one_id_on_two_texts_mixes_nothing_up(spark, kind):
     got = sorted((int(r.doc_id), r.n_removed) for r in d.summarise(frame).collect())
     assert got == [(1, 0), (5, 0), (5, 1), (7, 0), (7, 0), (7, 1)]
     assert sorted(r.text for r in d.without_lines(frame).collect() if r.text) == sorted([one, other, "quite another line", "quite another line here"])
+
+
+def test_long_unlike_lines_with_a_few_rare_words_in_common_are_no_pairs(spark, monkeypatch):
+    draw, seen, matches = random.Random(4), [], d._matches
+    pool = [f"p{i}" for i in range(1000)]
+    texts = [" ".join([*(f"s{n // 2}x{i}" for i in range(5)), *draw.sample(pool, 145)]) for n in range(30)]
+    monkeypatch.setattr(d, "_matches", lambda pairs, *more: (seen.append(pairs.count()), matches(pairs, *more))[1])
+    found = d.summarise(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert len(found) == 30 and all(r.n_removed == 0 for r in found) and sum(seen) == 0
